@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.numeric import nan_to_null, relative_shift
 from ..functions.timeparse import shift_days
+from .sizing import ROWS_PER_TASK, ranges_for
 
 RECENT = "is_recent"
 BASELINE = "is_baseline"
@@ -39,7 +40,13 @@ def present_features(df: DataFrame, registry: Sequence[str] = tuple(fixed.DRIFT_
 
 def period_end(df: DataFrame, time_col: str):
     """Global end of data (a scalar, resolved eagerly from one column)."""
-    return df.agg(F.max(time_col).alias("m")).first()["m"]
+    return period_stats(df, time_col)[0]
+
+
+def period_stats(df: DataFrame, time_col: str):
+    """(max time, row count) in one small job over the time column."""
+    r = df.agg(F.max(time_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    return r["m"], int(r["n"])
 
 
 def split_periods(df: DataFrame, time_col: str, recent_days: int = fixed.RECENT_DAYS,
@@ -181,10 +188,12 @@ def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: in
 
 
 def drift_metrics(flagged: DataFrame, features: Sequence[str], keys: Sequence[str] = (),
-                  value_buckets: int = 32) -> DataFrame:
+                  value_buckets: int | str = "auto") -> DataFrame:
     """One row per (keys, feature): mean_shift, variance_shift, ks_statistic,
     n_recent, n_baseline (plus the period moments)."""
     keys = list(keys)
+    if value_buckets == "auto":
+        value_buckets = ranges_for(flagged.count())
     lv = long_values(flagged, features, keys)
     mom = drift_moments(lv, keys)
     ks = ks_statistic(lv, keys, value_buckets=value_buckets)
@@ -224,11 +233,23 @@ def drift_report(df: DataFrame, time_col: str, features: Sequence[str] | None =
                  keys: Sequence[str] = (), threshold: float = fixed.DRIFT_THRESHOLD,
                  ks: float = fixed.KS_THRESHOLD, recent_days: int = fixed.RECENT_DAYS,
                  baseline_days: int = fixed.BASELINE_DAYS, scope: str = "global",
-                 value_buckets: int = 32) -> DataFrame:
-    """Long drift report: one row per (keys, feature) present in the table."""
+                 value_buckets: int | str = "auto") -> DataFrame:
+    """Long drift report: one row per (keys, feature) present in the table.
+
+    ``value_buckets="auto"`` sizes the KS value ranges from the row count
+    (taken in the same small job as the period end): one range per
+    ``ROWS_PER_TASK`` rows, so small tables use one window per feature and a
+    feature with billions of values is spread over many tasks.
+    """
     feats = present_features(df, features if features is not None else fixed.DRIFT_FEATURES)
-    flagged = split_periods(df.select(*keys, time_col, *[F.col(f"`{f}`") for f in feats]),
-                            time_col, recent_days, baseline_days, keys=keys, scope=scope)
+    narrow = df.select(*keys, time_col, *[F.col(f"`{f}`") for f in feats])
+    end = None
+    if scope == "global" or value_buckets == "auto":
+        end, n_rows = period_stats(narrow, time_col)
+        if value_buckets == "auto":
+            value_buckets = ranges_for(n_rows)
+    flagged = split_periods(narrow, time_col, recent_days, baseline_days, keys=keys, scope=scope,
+                            end=end if scope == "global" else None)
     m = drift_metrics(flagged, feats, keys, value_buckets=value_buckets)
     return label_drift(m, feats, threshold, ks)
 

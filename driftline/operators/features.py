@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.numeric import cyclic, log1p_zero
 from .ranking import POS, add_position, lag_by_position
+from .sizing import ROWS_PER_TASK, needs_split
 
 
 def log_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LOG_COLUMNS),
@@ -60,23 +61,28 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
 
 def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
                  lags: Sequence[int] = tuple(fixed.LAGS), keys: Sequence[str] = (),
-                 order: Sequence[str] = (fixed.TIME_COL,), method: str = "ranked",
-                 bucket: str | float = "day") -> DataFrame:
+                 order: Sequence[str] = (fixed.TIME_COL,), method: str = "auto",
+                 bucket: str | float = "day", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``<c>_lag<k>``: value k ROWS earlier in ``order`` within each key.
 
     Lag is by row position, not by clock: a missing hour shifts the meaning,
     and the first k rows get NULL. ``order`` should be unique within a key
     (add tie-break columns).
 
-    ``method="ranked"`` (default) numbers rows per key through time buckets
-    and joins each row with its predecessors by position (see ``ranking``):
-    no single-partition and no single-key task, so it holds for an unkeyed
+    ``method="ranked"`` numbers rows per key through time buckets and joins
+    each row with its predecessors by position (see ``ranking``): no
+    single-partition and no single-key task, so it holds for an unkeyed
     series and for keys holding a large share of all rows.
     ``method="window"`` is the plain ``lag().over(partitionBy(keys))``: one
-    shuffle, the right choice when keys are many and balanced.
+    shuffle, right while every key's series fits one task.
+    ``method="auto"`` (default) measures the largest series with one
+    aggregate and takes "window" only when it has at most ``rows_per_task``
+    rows, else "ranked".
     """
     keys, order = list(keys), list(order)
     name = (lambda c, k: f"{c}_lag{k}")
+    if method == "auto":
+        method = "ranked" if needs_split(df, keys, rows_per_task) else "window"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name(c, k): F.lag(c, k).over(w) for c in cols for k in lags})
@@ -120,7 +126,7 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 def build_features(new_rows: DataFrame, history: DataFrame | None = None,
                    keys: Sequence[str] = (), time_col: str = fixed.TIME_COL,
-                   lag_method: str = "ranked", lag_bucket: str = "day") -> DataFrame:
+                   lag_method: str = "auto", lag_bucket: str = "day") -> DataFrame:
     """The full feature set for ``new_rows`` (raw columns in, 46 columns out).
 
     Order: log -> scale (fitted on the new rows) -> lags -> calendar ->

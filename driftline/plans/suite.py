@@ -17,7 +17,7 @@ from .. import fixed
 from ..functions.text import extract_json_block
 from ..functions.timeparse import format_time, parse_mixed_timestamp, shift_days
 from ..operators import discovery, drift, features, incremental, matching
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import payload as payload_src
 from ..sources import sinks, tables
 from . import standins
@@ -344,8 +344,12 @@ INT_FEATURES = {"hour", "day_of_week", "is_weekend"}
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
     """The 46-column feature table of the hourly series (first run: every
-    hour is new; scaler fitted on all of them; lags over the whole series)."""
-    return features.build_features(_hourly(spark, sf)).select(*[F.col(f"`{c}`") for c in FEATURE_COLUMNS])
+    hour is new; scaler fitted on all of them; lags over the whole series).
+
+    The hourly series is read three times (scaler fit, positions, rows), so
+    it is materialized once in the shared checkpoint folder first."""
+    hourly = materialize(_hourly(spark, sf), "hourly-series")
+    return features.build_features(hourly).select(*[F.col(f"`{c}`") for c in FEATURE_COLUMNS])
 
 
 def q_feature_table(spark, sf):

@@ -75,3 +75,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return base
+
+
+def materialize(df, name: str = "stage", fmt: str = "parquet"):
+    """Write ``df`` under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor never forces recomputation of the
+    upstream plan) and lets later stages that read the table several times
+    scan a compact file instead of re-running the plan. One job.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
