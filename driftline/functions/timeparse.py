@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -30,14 +31,48 @@ def parse_time(c, fmt: str | None = None, on_bad: str = "fail") -> Column:
     return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
 
 
+_SHAPE_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
+                 ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+
+
+def format_shape(fmt: str) -> str | None:
+    """A regex every text in ``fmt`` matches (None if the pattern has other
+    letters). Used to skip parse attempts that cannot succeed: a failed
+    parse costs an exception, a regex test does not."""
+    out, i = "^", 0
+    while i < len(fmt):
+        if fmt[i] == "'":
+            j = fmt.index("'", i + 1)
+            out += re.escape(fmt[i + 1:j])
+            i = j + 1
+            continue
+        for tok, rx in _SHAPE_TOKENS:
+            if fmt.startswith(tok, i):
+                out += rx
+                i += len(tok)
+                break
+        else:
+            if fmt[i].isalpha():
+                return None
+            out += re.escape(fmt[i])
+            i += 1
+    return out + "$"
+
+
 def parse_mixed_timestamp(c, formats: Sequence[str] = tuple(fixed.MIXED_FORMATS)) -> Column:
     """Per-value mixed formats, day-first before month-first, bad -> NULL.
 
     The first format that parses wins, so ``01/04/2025`` is 1 April and
-    ``04/13/2025`` falls back to month-first (13 April).
+    ``04/13/2025`` falls back to month-first (13 April). A format is only
+    tried on text of its shape.
     """
     c = _col(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    tries = []
+    for f in formats:
+        shape = format_shape(f)
+        attempt = F.try_to_timestamp(c, F.lit(f))
+        tries.append(attempt if shape is None else F.when(c.rlike(shape), attempt))
+    return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def format_time(c, fmt: str = fixed.FMT_ISO) -> Column:

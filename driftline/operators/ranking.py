@@ -81,25 +81,26 @@ def lag_by_position(df: DataFrame, keys: Sequence[str], pos_col: str,
                     name=lambda c, k: f"{c}_lag{k}") -> DataFrame:
     """``lag(c, k)`` for every value column and lag, by position.
 
-    Each row is also sent, narrowed to the value columns, to positions
-    ``pos + k``; one shuffle on ``(keys, pos)`` brings each row together with
-    its at most ``len(lags)`` predecessors. Groups have ``1 + len(lags)`` rows
-    whatever the key distribution.
+    Each row is emitted once as itself (k = 0) and once per lag, narrowed to
+    the value columns, at position ``pos + k`` (one ``explode`` in the same
+    stage, so the input is computed once). One shuffle on ``(keys, pos)``
+    brings each row together with its at most ``len(lags)`` predecessors:
+    groups have ``1 + len(lags)`` rows whatever the key distribution.
     """
     keys = list(keys)
     kcol = "_dl_k"
-    carry = df.withColumn(kcol, F.lit(0))
-    shifted = (df.select(*keys, pos_col, *value_cols,
-                         F.explode(F.array(*[F.lit(int(k)) for k in lags])).alias(kcol))
-               .withColumn(pos_col, F.col(pos_col) + F.col(kcol)))
     vals = {c: f"_dl_v_{i}" for i, c in enumerate(value_cols)}
-    shifted = shifted.select(*keys, pos_col, kcol, *[F.col(c).alias(v) for c, v in vals.items()])
-    u = carry.unionByName(shifted, allowMissingColumns=True)
+    others = [c for c in df.columns if c not in keys and c != pos_col]
+    k = F.col(kcol)
+    fanned = df.select("*", F.explode(F.array(*[F.lit(int(x)) for x in [0, *lags]])).alias(kcol))
+    fanned = fanned.select(
+        *[F.col(f"`{c}`") for c in keys],
+        (F.col(pos_col) + k).alias(pos_col), k,
+        *[F.when(k == 0, F.col(f"`{c}`")).alias(c) for c in others],
+        *[F.when(k > 0, F.col(f"`{c}`")).alias(v) for c, v in vals.items()])
     w = Window.partitionBy(*keys, pos_col)
-    lag_exprs = [F.first(F.when(F.col(kcol) == k, F.col(vals[c])), ignorenulls=True).over(w)
-                 .alias(name(c, k))
-                 for c in value_cols for k in lags]
-    out = (u.select("*", *lag_exprs)
-           .filter(F.col(kcol) == 0)
-           .drop(kcol, *vals.values()))
-    return out
+    lag_exprs = [F.first(F.when(k == lag, F.col(vals[c])), ignorenulls=True).over(w).alias(name(c, lag))
+                 for c in value_cols for lag in lags]
+    return (fanned.select("*", *lag_exprs)
+            .filter(k == 0)
+            .drop(kcol, *vals.values()))

@@ -29,13 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #   purchase / error events; o3 = max(value); aqi_us = number of events;
 #   temp_C = min(value); humidity_% = avg(value); windspeed_kph = distinct
 #   users; precip_mm = error events with value >= 100 (mostly 0).
-def hourly_wide(events: DataFrame) -> DataFrame:
+def hourly_wide(events: DataFrame, keys: list[str] = ()) -> DataFrame:
     et, v = F.col("event_type"), F.col("value")
 
     def avg_of(t: str):
         return F.avg(F.when(et == t, v))
 
-    return (events.groupBy(hour_bucket("ts").alias("datetime"))
+    return (events.groupBy(*keys, hour_bucket("ts").alias("datetime"))
             .agg(avg_of("click").alias("pm10"), avg_of("view").alias("pm2_5"),
                  avg_of("signup").alias("co"), avg_of("purchase").alias("no2"),
                  avg_of("error").alias("so2"), F.max(v).alias("o3"),
@@ -60,3 +60,12 @@ SELECT date_trunc('hour', ts) AS datetime,
        CAST(count(*) FILTER (WHERE event_type = 'error' AND value >= 100) AS DOUBLE) AS precip_mm
 FROM events GROUP BY 1
 """
+
+
+def hourly_wide_sql(keys: str = "") -> str:
+    """The same stand-in, optionally per key (e.g. ``user_id``)."""
+    if not keys:
+        return HOURLY_WIDE_SQL
+    return HOURLY_WIDE_SQL.replace("SELECT date_trunc", f"SELECT {keys}, date_trunc") \
+        .replace("GROUP BY 1", f"GROUP BY {keys}, 2")
+

@@ -356,13 +356,31 @@ def q_feature_table(spark, sf):
     return finish(feature_table(spark, sf))
 
 
-FEATURE_TABLE_CTE = f"""
-hw AS ({HOURLY_WIDE_SQL}),
+def feature_table_by_user(spark: SparkSession, sf: str) -> DataFrame:
+    """One hourly series per user: scaler fitted per user, lags per user."""
+    hourly = materialize(standins.hourly_wide(table(spark, sf, "events"), ["user_id"]),
+                         "hourly-by-user")
+    return features.build_features(hourly, keys=["user_id"]).select(
+        "user_id", *[F.col(f"`{c}`") for c in FEATURE_COLUMNS])
+
+
+def q_feature_table_by_user(spark, sf):
+    return finish(feature_table_by_user(spark, sf))
+
+
+
+
+
+def _feature_table_cte(key: str = "") -> str:
+    part = f"PARTITION BY {key}" if key else ""
+    lag_over = f"OVER ({part} ORDER BY datetime)"
+    return f"""
+hw AS ({standins.hourly_wide_sql(key)}),
 lg AS (SELECT *, {', '.join(f'coalesce(ln(1 + nullif({q(c)}, 0)), 0) AS {q("log_" + c)}' for c in fixed.LOG_COLUMNS)}
        FROM hw),
-sc AS (SELECT *, {', '.join(f'{_scaled_sql(c)} AS {q("scaled_" + c)}' for c in fixed.SCALE_COLUMNS)}
+sc AS (SELECT *, {', '.join(f'{_scaled_sql(c, part)} AS {q("scaled_" + c)}' for c in fixed.SCALE_COLUMNS)}
        FROM lg),
-lgd AS (SELECT *, {', '.join(f'lag({q(c)}, {k}) OVER (ORDER BY datetime) AS {q(f"{c}_lag{k}")}' for c in fixed.LAG_SOURCES for k in fixed.LAGS)}
+lgd AS (SELECT *, {', '.join(f'lag({q(c)}, {k}) {lag_over} AS {q(f"{c}_lag{k}")}' for c in fixed.LAG_SOURCES for k in fixed.LAGS)}
         FROM sc),
 cal AS (SELECT *, CAST(hour(datetime) AS INTEGER) AS hour,
                CAST(isodow(datetime) - 1 AS INTEGER) AS day_of_week,
@@ -387,6 +405,7 @@ def _feature_select(cols) -> str:
     return ", ".join(parts)
 
 
+FEATURE_TABLE_CTE = _feature_table_cte()
 SQL_FEATURE_TABLE = f"WITH {FEATURE_TABLE_CTE} SELECT {_feature_select(FEATURE_COLUMNS)} FROM ft"
 
 
@@ -395,6 +414,8 @@ def q_select_features(spark, sf):
 
 
 SQL_SELECT_FEATURES = f"WITH {FEATURE_TABLE_CTE} SELECT {_feature_select(fixed.SELECTED_COLUMNS)} FROM ft"
+SQL_FEATURE_TABLE_BY_USER = (f"WITH {_feature_table_cte('user_id')} "
+                             f"SELECT user_id, {_feature_select(FEATURE_COLUMNS)} FROM ft")
 
 
 def q_csv_roundtrip(spark, sf):
@@ -1060,6 +1081,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lag_features_global": q_lag_features_global,
     "calendar_features": q_calendar_features,
     "feature_table": q_feature_table,
+    "feature_table_by_user": q_feature_table_by_user,
     "select_features": q_select_features,
     "csv_roundtrip": q_csv_roundtrip,
     "period_bounds": q_period_bounds,
@@ -1094,6 +1116,7 @@ ORACLE_SQL: dict[str, str] = {
     "lag_features_global": _lag_sql(""),
     "calendar_features": SQL_CALENDAR_FEATURES,
     "feature_table": SQL_FEATURE_TABLE,
+    "feature_table_by_user": SQL_FEATURE_TABLE_BY_USER,
     "select_features": SQL_SELECT_FEATURES,
     "csv_roundtrip": SQL_FEATURE_TABLE,
     "period_bounds": SQL_PERIOD_BOUNDS,
