@@ -22,15 +22,30 @@ def log_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LOG_COLUMNS),
     return df.withColumns({f"{prefix}{c}": log1p_zero(F.col(c)) for c in cols})
 
 
+# FIXED VALUE: double-precision machine epsilon (2**-52), used by the
+# constant-column rule of the original's scaler.
+EPS = 2.220446049250313e-16
+
+
 def scaler_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Population mean and std per column (per key): one row per key.
+    """Population mean and scale per column (per key): one row per key.
 
-    A partial aggregate, so a hot key costs one row per map task.
+    A partial aggregate, so a hot key costs one row per map task. The scale
+    is the population std, or 1 for a constant column: no values, or a
+    variance within floating-point noise of zero
+    (``var <= n*eps*var + (n*mean*eps)^2``) or a std below ``10*eps``.
     """
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"_m{i}"), F.stddev_pop(c).alias(f"_s{i}")]
-    return df.groupBy(*keys).agg(*aggs)
+        aggs += [F.avg(c).alias(f"_m{i}"), F.var_pop(c).alias(f"_v{i}"),
+                 F.count(c).cast("double").alias(f"_n{i}")]
+    stats = df.groupBy(*keys).agg(*aggs)
+    out = []
+    for i in range(len(cols)):
+        m, v, n = F.col(f"_m{i}"), F.col(f"_v{i}"), F.col(f"_n{i}")
+        constant = v.isNull() | (v <= n * EPS * v + F.pow(n * m * EPS, 2)) | (F.sqrt(v) < 10 * EPS)
+        out += [m.alias(f"_m{i}"), F.when(constant, F.lit(1.0)).otherwise(F.sqrt(v)).alias(f"_s{i}")]
+    return stats.select(*keys, *out)
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMNS),
@@ -38,8 +53,8 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
                    prefix: str = "scaled_") -> DataFrame:
     """``scaled_<c> = (c - mean) / std`` with the statistics of ``fit_on``.
 
-    Population std; a zero std divides by 1; NULLs are ignored in the fit and
-    stay NULL. ``fit_on`` defaults to the input (the original fits on the new
+    Population std; a constant column divides by 1 (see ``scaler_stats``);
+    NULLs are ignored in the fit and stay NULL. ``fit_on`` defaults to the input (the original fits on the new
     batch only, so results depend on batch boundaries).
 
     Without keys the statistics are one row, joined as a broadcast (size 1).
@@ -50,11 +65,8 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
     stats = scaler_stats(fit_on if fit_on is not None else df, cols, keys)
     joined = df.crossJoin(F.broadcast(stats)) if not keys else \
         df.join(stats, on=keys, how="left")
-    out = {}
-    for i, c in enumerate(cols):
-        std = F.col(f"_s{i}")
-        scale = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-        out[f"{prefix}{c}"] = (F.col(c) - F.col(f"_m{i}")) / scale
+    out = {f"{prefix}{c}": (F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")
+           for i, c in enumerate(cols)}
     helper = [f"_m{i}" for i in range(len(cols))] + [f"_s{i}" for i in range(len(cols))]
     return joined.withColumns(out).drop(*helper)
 

@@ -25,37 +25,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Stand-in metric definitions (fixed for the oracle SQL to mirror):
-#   pm10 / pm2_5 / co / no2 / so2 = avg(value) of click / view / signup /
+#   pm10 / pm2_5 / co / no2 / so2 = mean value of click / view / signup /
 #   purchase / error events; o3 = max(value); aqi_us = number of events;
-#   temp_C = min(value); humidity_% = avg(value); windspeed_kph = distinct
+#   temp_C = min(value); humidity_% = mean value; windspeed_kph = distinct
 #   users; precip_mm = error events with value >= 100 (mostly 0).
+# Values have two decimals; means are taken exactly, as a sum of whole cents
+# divided by the count, so they do not depend on the order of summation.
 def hourly_wide(events: DataFrame, keys: list[str] = ()) -> DataFrame:
     et, v = F.col("event_type"), F.col("value")
 
+    cents = F.round(v * 100).cast("long")
+
+    def mean_of(cond):
+        return F.try_divide(F.sum(F.when(cond, cents)), F.count_if(cond)) / 100.0
+
     def avg_of(t: str):
-        return F.avg(F.when(et == t, v))
+        return mean_of(et == t)
 
     return (events.groupBy(*keys, hour_bucket("ts").alias("datetime"))
             .agg(avg_of("click").alias("pm10"), avg_of("view").alias("pm2_5"),
                  avg_of("signup").alias("co"), avg_of("purchase").alias("no2"),
                  avg_of("error").alias("so2"), F.max(v).alias("o3"),
                  F.count(F.lit(1)).cast("double").alias("aqi_us"),
-                 F.min(v).alias("temp_C"), F.avg(v).alias("humidity_%"),
+                 F.min(v).alias("temp_C"), mean_of(F.lit(True)).alias("humidity_%"),
                  F.count_distinct("user_id").cast("double").alias("windspeed_kph"),
                  F.count_if((et == "error") & (v >= 100)).cast("double").alias("precip_mm")))
 
 
 HOURLY_WIDE_SQL = """
 SELECT date_trunc('hour', ts) AS datetime,
-       avg(value) FILTER (WHERE event_type = 'click') AS pm10,
-       avg(value) FILTER (WHERE event_type = 'view') AS pm2_5,
-       avg(value) FILTER (WHERE event_type = 'signup') AS co,
-       avg(value) FILTER (WHERE event_type = 'purchase') AS no2,
-       avg(value) FILTER (WHERE event_type = 'error') AS so2,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'click') AS DOUBLE)
+         / count(*) FILTER (WHERE event_type = 'click') / 100.0 AS pm10,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'view') AS DOUBLE)
+         / count(*) FILTER (WHERE event_type = 'view') / 100.0 AS pm2_5,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'signup') AS DOUBLE)
+         / count(*) FILTER (WHERE event_type = 'signup') / 100.0 AS co,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'purchase') AS DOUBLE)
+         / count(*) FILTER (WHERE event_type = 'purchase') / 100.0 AS no2,
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) FILTER (WHERE event_type = 'error') AS DOUBLE)
+         / count(*) FILTER (WHERE event_type = 'error') / 100.0 AS so2,
        max(value) AS o3,
        CAST(count(*) AS DOUBLE) AS aqi_us,
        min(value) AS temp_C,
-       avg(value) AS "humidity_%",
+       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / count(*) / 100.0 AS "humidity_%",
        CAST(count(DISTINCT user_id) AS DOUBLE) AS windspeed_kph,
        CAST(count(*) FILTER (WHERE event_type = 'error' AND value >= 100) AS DOUBLE) AS precip_mm
 FROM events GROUP BY 1

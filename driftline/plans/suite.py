@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
+from ..functions.numeric import round_half_away
 from ..functions.text import extract_json_block
 from ..functions.timeparse import format_time, parse_mixed_timestamp, shift_days
 from ..operators import discovery, drift, features, incremental, matching
@@ -28,7 +29,18 @@ from .standins import HOURLY_WIDE_SQL, table
 # ---------------------------------------------------------------------------
 
 
-def finish(df: DataFrame, digits: int = 6) -> DataFrame:
+def normalize_double(c):
+    """Round by magnitude: 6 decimals below 1e3, 3 below 1e6, 0 below 1e12,
+    millions above, so every value keeps 9 to 12 significant digits, well
+    inside double precision (sums in another order differ far below that).
+    The oracle SQL applies the same rule (``r6``)."""
+    a = F.abs(c)
+    return (F.when(a < 1e3, round_half_away(c, 6)).when(a < 1e6, round_half_away(c, 3))
+            .when(a < 1e12, round_half_away(c, 0))
+            .otherwise(round_half_away(c / 1e6, 0) * 1e6)) + 0.0  # -0.0 -> 0.0
+
+
+def finish(df: DataFrame) -> DataFrame:
     """Timestamps -> text, doubles -> rounded (for order-free comparison)."""
     out = []
     for f in df.schema.fields:
@@ -36,7 +48,7 @@ def finish(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = format_time(c, fixed.FMT_ISO)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits)
+            c = normalize_double(c)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -46,7 +58,11 @@ def q(name: str) -> str:
 
 
 def r6(expr: str, alias: str | None = None) -> str:
-    return f"round({expr}, 6) AS {q(alias or expr.strip(chr(34)))}"
+    """SQL twin of ``normalize_double``."""
+    e = f"({expr})"
+    return (f"CASE WHEN abs({e}) < 1e3 THEN round({e}, 6) WHEN abs({e}) < 1e6 THEN round({e}, 3) "
+            f"WHEN abs({e}) < 1e12 THEN round({e}, 0) ELSE round({e} / 1e6, 0) * 1e6 END + 0.0 "
+            f"AS {q(alias or expr.strip(chr(34)))}")
 
 
 def ts(expr: str, alias: str) -> str:
@@ -282,9 +298,11 @@ def q_standard_scale(spark, sf):
 
 def _scaled_sql(c: str, part: str = "") -> str:
     over = f"OVER ({part})"
-    sd = f"stddev_pop({q(c)}) {over}"
-    return (f"({q(c)} - avg({q(c)}) {over}) / "
-            f"CASE WHEN {sd} IS NULL OR {sd} = 0 THEN 1 ELSE {sd} END")
+    v, m, n = f"var_pop({q(c)}) {over}", f"avg({q(c)}) {over}", f"count({q(c)}) {over}"
+    eps = features.EPS
+    return (f"({q(c)} - {m}) / "
+            f"CASE WHEN {v} IS NULL OR {v} <= {n} * {eps} * {v} + power({n} * {m} * {eps}, 2) "
+            f"OR sqrt({v}) < 10 * {eps} THEN 1 ELSE sqrt({v}) END")
 
 
 SQL_STANDARD_SCALE = f"""

@@ -52,6 +52,26 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return df.withColumn(time_col, parsed)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin redistribute a scan that has fewer splits than the
+    cluster has cores (``spark.default.parallelism``).
+
+    A Parquet row group is the smallest unit a scan can split, so a small
+    file written as one row group is read by ONE task, and every per-row
+    step fused into that stage runs single-threaded. Large inputs have many
+    splits and pass through unchanged: the gate never adds a shuffle there.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(want) if n < want else df
+
+
+def read_parquet(spark: SparkSession, path: str, parallel: bool = True) -> DataFrame:
+    df = spark.read.parquet(path)
+    return spread(df) if parallel else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
