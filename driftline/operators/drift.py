@@ -99,8 +99,10 @@ def period_bounds(df: DataFrame, time_col: str, keys: Sequence[str] = (), **kw)
 def long_values(flagged: DataFrame, features: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """``(keys, feature, value, is_recent, is_baseline)``; NaN/NULL dropped."""
     ids = [*keys, RECENT, BASELINE]
-    narrow = flagged.select(*[F.col(k) for k in ids],
-                            *[nan_to_null(F.col(f"`{f}`").cast("double")).alias(f) for f in features])
+    narrow = flagged.selectExpr(
+        *[f"`{k}`" for k in ids],
+        *[f"CASE WHEN isnan(CAST(`{f}` AS DOUBLE)) THEN NULL ELSE CAST(`{f}` AS DOUBLE) END AS `{f}`"
+          for f in features])
     return (narrow.unpivot(ids, list(features), "feature", "value")
             .filter(F.col("value").isNotNull()))
 
@@ -224,8 +226,8 @@ def label_drift(metrics: DataFrame, features: Sequence[str] | None = None,
     out = metrics.withColumn("is_significant", significant(threshold, ks)) \
                  .withColumn("drift_type", classify_drift(threshold, ks))
     if features is not None:
-        pos = F.create_map(*[x for i, f in enumerate(features) for x in (F.lit(f), F.lit(i))])
-        out = out.withColumn("pos", pos[F.col("feature")])
+        names = ", ".join("'" + f.replace("'", "''") + "'" for f in features)
+        out = out.withColumn("pos", F.expr(f"CAST(nullif(array_position(array({names}), feature), 0) AS INT) - 1"))
     return out
 
 

@@ -5,21 +5,28 @@ All DataFrame in, DataFrame out, lazy, built-in functions only.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.numeric import cyclic, log1p_zero
+from ..functions.numeric import cyclic, log1p_zero  # noqa: F401  (Column forms of the same rules)
 from .ranking import POS, add_position, lag_by_position
 from .sizing import ROWS_PER_TASK, needs_split
 
 
+def q(c: str) -> str:
+    """Back-quoted column name for SQL expression strings (names may hold ``%``)."""
+    return f"`{c}`"
+
+
 def log_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LOG_COLUMNS),
                  prefix: str = "log_") -> DataFrame:
-    """``log_<c> = log1p(c)`` with 0 and missing mapped to 0."""
-    return df.withColumns({f"{prefix}{c}": log1p_zero(F.col(c)) for c in cols})
+    """``log_<c> = log1p(c)`` with 0 and missing mapped to 0 (see ``log1p_zero``)."""
+    return df.withColumns({f"{prefix}{c}": F.expr(f"coalesce(log1p(nullif({q(c)}, 0D)), 0D)")
+                           for c in cols})
 
 
 # FIXED VALUE: double-precision machine epsilon (2**-52), used by the
@@ -37,15 +44,16 @@ def scaler_stats(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -
     """
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.avg(c).alias(f"_m{i}"), F.var_pop(c).alias(f"_v{i}"),
-                 F.count(c).cast("double").alias(f"_n{i}")]
+        aggs += [F.expr(f"avg({q(c)}) AS _m{i}"), F.expr(f"var_pop({q(c)}) AS _v{i}"),
+                 F.expr(f"CAST(count({q(c)}) AS DOUBLE) AS _n{i}")]
     stats = df.groupBy(*keys).agg(*aggs)
     out = []
     for i in range(len(cols)):
-        m, v, n = F.col(f"_m{i}"), F.col(f"_v{i}"), F.col(f"_n{i}")
-        constant = v.isNull() | (v <= n * EPS * v + F.pow(n * m * EPS, 2)) | (F.sqrt(v) < 10 * EPS)
-        out += [m.alias(f"_m{i}"), F.when(constant, F.lit(1.0)).otherwise(F.sqrt(v)).alias(f"_s{i}")]
-    return stats.select(*keys, *out)
+        m, v, n = f"_m{i}", f"_v{i}", f"_n{i}"
+        constant = (f"{v} IS NULL OR {v} <= {n} * {EPS!r} * {v} + power({n} * {m} * {EPS!r}, 2) "
+                    f"OR sqrt({v}) < 10 * {EPS!r}")
+        out += [m, f"CASE WHEN {constant} THEN 1D ELSE sqrt({v}) END AS _s{i}"]
+    return stats.selectExpr(*[q(k) for k in keys], *out)
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMNS),
@@ -65,8 +73,7 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
     stats = scaler_stats(fit_on if fit_on is not None else df, cols, keys)
     joined = df.crossJoin(F.broadcast(stats)) if not keys else \
         df.join(stats, on=keys, how="left")
-    out = {f"{prefix}{c}": (F.col(c) - F.col(f"_m{i}")) / F.col(f"_s{i}")
-           for i, c in enumerate(cols)}
+    out = {f"{prefix}{c}": F.expr(f"({q(c)} - _m{i}) / _s{i}") for i, c in enumerate(cols)}
     helper = [f"_m{i}" for i in range(len(cols))] + [f"_s{i}" for i in range(len(cols))]
     return joined.withColumns(out).drop(*helper)
 
@@ -104,24 +111,24 @@ def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
 
 def calendar_features(df: DataFrame, time_col: str = fixed.TIME_COL) -> DataFrame:
     """hour (0-23), day_of_week (Monday = 0), is_weekend (Saturday/Sunday)."""
-    t = F.col(time_col)
-    dow = F.weekday(t)
+    t = q(time_col)
+    weekend = ", ".join(str(d) for d in fixed.WEEKEND_DAYS)
     return df.withColumns({
-        "hour": F.hour(t),
-        "day_of_week": dow,
-        "is_weekend": dow.isin(*fixed.WEEKEND_DAYS).cast("int"),
+        "hour": F.expr(f"hour({t})"),
+        "day_of_week": F.expr(f"weekday({t})"),
+        "is_weekend": F.expr(f"CAST(weekday({t}) IN ({weekend}) AS INT)"),
     })
 
 
 def cyclic_features(df: DataFrame, col: str = "hour", period: int = fixed.CYCLE_HOURS,
                     prefix: str | None = None) -> DataFrame:
-    s, c = cyclic(F.col(col), period)
     p = prefix or col
-    return df.withColumns({f"{p}_sin": s, f"{p}_cos": c})
+    angle = f"CAST({q(col)} AS DOUBLE) * {2.0 * math.pi / period!r}"
+    return df.withColumns({f"{p}_sin": F.expr(f"sin({angle})"), f"{p}_cos": F.expr(f"cos({angle})")})
 
 
 def interactions(df: DataFrame, pairs=tuple(fixed.INTERACTION_PAIRS)) -> DataFrame:
-    return df.withColumns({f"{a}_{b}": F.col(a) * F.col(b) for a, b in pairs})
+    return df.withColumns({f"{a}_{b}": F.expr(f"{q(a)} * {q(b)}") for a, b in pairs})
 
 
 def select_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.SELECTED_COLUMNS)) -> DataFrame:

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..functions.numeric import round_half_away
 from ..functions.text import extract_json_block
 from ..functions.timeparse import format_time, parse_mixed_timestamp, shift_days
 from ..operators import discovery, drift, features, incremental, matching
@@ -29,15 +28,21 @@ from .standins import HOURLY_WIDE_SQL, table
 # ---------------------------------------------------------------------------
 
 
-def normalize_double(c):
+def _magnitude_round_sql(x: str) -> str:
     """Round by magnitude: 6 decimals below 1e3, 3 below 1e6, 0 below 1e12,
-    millions above, so every value keeps 9 to 12 significant digits, well
-    inside double precision (sums in another order differ far below that).
-    The oracle SQL applies the same rule (``r6``)."""
-    a = F.abs(c)
-    return (F.when(a < 1e3, round_half_away(c, 6)).when(a < 1e6, round_half_away(c, 3))
-            .when(a < 1e12, round_half_away(c, 0))
-            .otherwise(round_half_away(c / 1e6, 0) * 1e6)) + 0.0  # -0.0 -> 0.0
+    millions below 1e18 (unchanged above), so every value keeps 9 to 12
+    significant digits, well inside double precision; halves away from zero
+    in plain double arithmetic; -0.0 -> 0.0. The oracle SQL applies the same
+    rule (``r6``)."""
+    def rnd(m: str) -> str:
+        return f"signum({x}) * floor(abs({x}) * {m} + 0.5) / {m}"
+    return (f"CASE WHEN abs({x}) < 1e3 THEN {rnd('1e6')} WHEN abs({x}) < 1e6 THEN {rnd('1e3')} "
+            f"WHEN abs({x}) < 1e12 THEN {rnd('1e0')} WHEN abs({x}) < 1e18 THEN {rnd('1e-6')} "
+            f"ELSE {x} END + 0.0")
+
+
+def normalize_double(name: str):
+    return F.expr(_magnitude_round_sql(f"`{name}`"))
 
 
 def finish(df: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ def finish(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = format_time(c, fixed.FMT_ISO)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = normalize_double(c)
+            c = normalize_double(f.name)
         out.append(c.alias(f.name))
     return df.select(*out)
 
@@ -61,8 +66,8 @@ def r6(expr: str, alias: str | None = None) -> str:
     """SQL twin of ``normalize_double``."""
     e = f"({expr})"
     return (f"CASE WHEN abs({e}) < 1e3 THEN round({e}, 6) WHEN abs({e}) < 1e6 THEN round({e}, 3) "
-            f"WHEN abs({e}) < 1e12 THEN round({e}, 0) ELSE round({e} / 1e6, 0) * 1e6 END + 0.0 "
-            f"AS {q(alias or expr.strip(chr(34)))}")
+            f"WHEN abs({e}) < 1e12 THEN round({e}, 0) WHEN abs({e}) < 1e18 THEN round({e} / 1e6, 0) * 1e6 "
+            f"ELSE {e} END + 0.0 AS {q(alias or expr.strip(chr(34)))}")
 
 
 def ts(expr: str, alias: str) -> str:
