@@ -31,25 +31,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 #   users; precip_mm = error events with value >= 100 (mostly 0).
 # Values have two decimals; means are taken exactly, as a sum of whole cents
 # divided by the count, so they do not depend on the order of summation.
-def hourly_wide(events: DataFrame, keys: list[str] = ()) -> DataFrame:
-    et, v = F.col("event_type"), F.col("value")
-
-    cents = F.round(v * 100).cast("long")
+EVENT_TYPES = {"click": "pm10", "view": "pm2_5", "signup": "co", "purchase": "no2", "error": "so2"}
 
-    def mean_of(cond):
-        return F.try_divide(F.sum(F.when(cond, cents)), F.count_if(cond)) / 100.0
 
-    def avg_of(t: str):
-        return mean_of(et == t)
-
-    return (events.groupBy(*keys, hour_bucket("ts").alias("datetime"))
-            .agg(avg_of("click").alias("pm10"), avg_of("view").alias("pm2_5"),
-                 avg_of("signup").alias("co"), avg_of("purchase").alias("no2"),
-                 avg_of("error").alias("so2"), F.max(v).alias("o3"),
-                 F.count(F.lit(1)).cast("double").alias("aqi_us"),
-                 F.min(v).alias("temp_C"), mean_of(F.lit(True)).alias("humidity_%"),
-                 F.count_distinct("user_id").cast("double").alias("windspeed_kph"),
-                 F.count_if((et == "error") & (v >= 100)).cast("double").alias("precip_mm")))
+def hourly_wide(events: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """One row per (keys, hour) with the 11 stand-in metrics.
+
+    Two partial aggregations instead of a distinct count: first per (keys,
+    hour, user) -- cents, counts, min, max -- then per (keys, hour), where
+    the number of distinct users is the number of rows.
+    """
+    keys = list(keys)
+    inner = ["user_id"] if "user_id" not in keys else []
+    first = [F.expr("CAST(round(value * 100) AS BIGINT) AS _c"), "event_type", "value",
+             *keys, *inner, F.expr("CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS datetime")]
+    e = events.select(*first)
+    aggs1 = []
+    for t in EVENT_TYPES:
+        aggs1 += [F.expr(f"sum(_c) FILTER (WHERE event_type = '{t}') AS s_{t}"),
+                  F.expr(f"count_if(event_type = '{t}') AS n_{t}")]
+    aggs1 += [F.expr("max(value) AS mx"), F.expr("min(value) AS mn"), F.expr("sum(_c) AS s_all"),
+              F.expr("count(1) AS n_all"),
+              F.expr("count_if(event_type = 'error' AND value >= 100) AS n_rain")]
+    per_user = e.groupBy(*keys, *inner, "datetime").agg(*aggs1)
+    aggs2 = []
+    for t, col in EVENT_TYPES.items():
+        aggs2.append(F.expr(f"try_divide(CAST(sum(s_{t}) AS DOUBLE), sum(n_{t})) / 100.0 AS {col}"))
+    aggs2 += [F.expr("max(mx) AS o3"), F.expr("CAST(sum(n_all) AS DOUBLE) AS aqi_us"),
+              F.expr("min(mn) AS temp_C"),
+              F.expr("CAST(sum(s_all) AS DOUBLE) / sum(n_all) / 100.0 AS `humidity_%`"),
+              F.expr("CAST(count(1) AS DOUBLE) AS windspeed_kph"),
+              F.expr("CAST(sum(n_rain) AS DOUBLE) AS precip_mm")]
+    return per_user.groupBy(*keys, "datetime").agg(*aggs2).select(*keys, *[F.col(f"`{c}`") for c in
+                                                                          ["datetime", *COLUMNS]])
+
+
+COLUMNS = ["pm10", "pm2_5", "co", "no2", "so2", "o3", "aqi_us", "temp_C", "humidity_%",
+           "windspeed_kph", "precip_mm"]
 
 
 HOURLY_WIDE_SQL = """

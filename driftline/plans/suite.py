@@ -166,7 +166,7 @@ def _mixed_text(c, key):
 def q_mixed_time_parse(spark, sf):
     """Dates written in four styles by order key (ISO, day-first, month-first,
     garbage) and parsed back with day-first before month-first."""
-    o = _orders(spark, sf)
+    o = tables.spread(_orders(spark, sf))  # per-row text work: use every core
     txt = o.select("o_orderkey", _mixed_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("time_text"))
     return finish(txt.withColumn("parsed", parse_mixed_timestamp("time_text", MIXED_QUERY_FORMATS)))
 
@@ -1049,7 +1049,7 @@ FROM s
 def q_extract_json_block(spark, sf):
     """events.props wrapped as a closed fence, bare JSON in text, an unclosed
     fence, or no JSON at all (by event id); block extracted and parsed."""
-    ev = table(spark, sf, "events").select("event_id", "props")
+    ev = tables.spread(table(spark, sf, "events").select("event_id", "props"))  # per-row text work
     e = F.col("event_id") % 4
     text = (F.when(e == 0, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```")))
             .when(e == 1, F.concat(F.lit("result: "), F.col("props"), F.lit(" end")))
