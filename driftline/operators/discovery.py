@@ -200,9 +200,20 @@ def remaining(requested: DataFrame, processed: DataFrame, key: str = "feature")
     return requested.join(p, requested[key].eqNullSafe(p["_dl_key"]), "left_anti")
 
 
-def disposition_report(disp: DataFrame) -> DataFrame:
-    """Nested report: one row, three result lists. The lists hold one entry
-    per requested feature, so this is for the final (small) report only."""
+MAX_REPORT_FEATURES = 100_000
+
+
+def disposition_report(disp: DataFrame, max_features: int = MAX_REPORT_FEATURES) -> DataFrame:
+    """Nested report: one row, three result lists (the original's file format).
+
+    The lists hold one entry per requested feature in ONE row, so the size is
+    checked first; above ``max_features`` write the ``dispositions`` table
+    itself (one JSON line per feature) instead.
+    """
+    n = disp.count()
+    if n > max_features:
+        raise ValueError(f"{n} features is too many for one report row; "
+                         "write the dispositions table instead")
     c = categorize(disp)
     entry = F.struct("original_feature", F.col("report_confidence").alias("confidence"),
                      F.col("reason").alias("reasoning"), "mapped_to", "similarity_scores",

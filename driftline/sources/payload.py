@@ -31,14 +31,13 @@ def explode_payload(df: DataFrame, fields: dict[str, str], keys: list[str] = (),
     """
     h = F.col(hourly_col)
     srcs = [time_field, *fields]
-    x = df
-    if check_lengths:
-        sizes = [F.size(h[s]) for s in srcs]
-        same = F.greatest(*sizes) == F.least(*sizes) if len(sizes) > 1 else F.lit(True)
-        x = x.withColumn("_dl_ok", F.assert_true(same, "payload arrays differ in length")) \
-             .drop("_dl_ok")
     zipped = F.arrays_zip(*[h[s].alias(s) for s in srcs])
-    rows = x.select(*keys, F.inline(zipped))
+    if check_lengths and len(srcs) > 1:
+        # part of the exploded expression itself, so it cannot be pruned away
+        sizes = [F.size(h[s]) for s in srcs]
+        zipped = F.when(F.greatest(*sizes) == F.least(*sizes), zipped).otherwise(
+            F.raise_error(F.lit("payload arrays differ in length")))
+    rows = df.select(*keys, F.inline(zipped))
     out = [*[F.col(k) for k in keys],
            parse_time(F.col(time_field), time_format).alias(time_col)]
     out += [nan_to_null(F.col(src)).alias(dst) for src, dst in fields.items()]
