@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.numeric import cyclic, log1p_zero  # noqa: F401  (Column forms of the same rules)
 from .ranking import POS, add_position, lag_by_position
-from .sizing import ROWS_PER_TASK, needs_split
+from .sizing import ROWS_PER_TASK, bucket_width, series_profile
 
 
 def q(c: str) -> str:
@@ -81,7 +81,7 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
 def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
                  lags: Sequence[int] = tuple(fixed.LAGS), keys: Sequence[str] = (),
                  order: Sequence[str] = (fixed.TIME_COL,), method: str = "auto",
-                 bucket: str | float = "day", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                 bucket: str | float | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``<c>_lag<k>``: value k ROWS earlier in ``order`` within each key.
 
     Lag is by row position, not by clock: a missing hour shifts the meaning,
@@ -96,12 +96,19 @@ def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
     shuffle, right while every key's series fits one task.
     ``method="auto"`` (default) measures the largest series with one
     aggregate and takes "window" only when it has at most ``rows_per_task``
-    rows, else "ranked".
+    rows, else "ranked" with ordered buckets sized from that measurement
+    (``bucket=None``), so even a key holding a third of all rows is cut into
+    pieces of about ``rows_per_task / 4`` rows. An explicit ``bucket`` (a
+    ``date_trunc`` unit or a width) overrides the sizing.
     """
     keys, order = list(keys), list(order)
     name = (lambda c, k: f"{c}_lag{k}")
-    if method == "auto":
-        method = "ranked" if needs_split(df, keys, rows_per_task) else "window"
+    if method == "auto" or (method == "ranked" and bucket is None):
+        prof = series_profile(df, keys, order[0])
+        if method == "auto":
+            method = "ranked" if prof["max_rows"] > rows_per_task else "window"
+        if bucket is None:
+            bucket = bucket_width(prof, rows_per_task)
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name(c, k): F.lag(c, k).over(w) for c in cols for k in lags})
@@ -145,7 +152,7 @@ def feature_columns(df: DataFrame) -> list[str]:
 
 def build_features(new_rows: DataFrame, history: DataFrame | None = None,
                    keys: Sequence[str] = (), time_col: str = fixed.TIME_COL,
-                   lag_method: str = "auto", lag_bucket: str = "day") -> DataFrame:
+                   lag_method: str = "auto", lag_bucket: str | float | None = None) -> DataFrame:
     """The full feature set for ``new_rows`` (raw columns in, 46 columns out).
 
     Order: log -> scale (fitted on the new rows) -> lags -> calendar ->

@@ -35,14 +35,15 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
 def time_bucket(df: DataFrame, order_col: str, bucket: str | float) -> Column:
     """Coarse, order-preserving bucket of the leading order column.
 
-    ``bucket`` is a ``date_trunc`` unit ("hour", "day", "month", ...) for
-    timestamps, or a numeric width for numbers.
+    ``bucket`` is a ``date_trunc`` unit ("hour", "day", "month", ...) or a
+    width in seconds for timestamps, or a width for numbers.
     """
     dtype = df.schema[order_col].dataType
     c = F.col(order_col)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        unit = bucket if isinstance(bucket, str) else "day"
-        return F.unix_micros(F.date_trunc(unit, c).cast("timestamp"))
+        if isinstance(bucket, str):
+            return F.unix_micros(F.date_trunc(bucket, c).cast("timestamp"))
+        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(float(bucket) * 1e6))
     width = float(bucket) if not isinstance(bucket, str) else 1.0e6
     return F.floor(c.cast("double") / F.lit(width))
 

@@ -23,15 +23,18 @@ def format_for_text(df: DataFrame, time_col: str = fixed.TIME_COL,
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
                 time_col: str | None = fixed.TIME_COL, time_format: str = fixed.FMT_ISO,
-                partition_by: Sequence[str] = (), sort_within: bool = True) -> str:
+                partition_by: Sequence[str] = (), sort: str = "global") -> str:
     """Write a table; CSV gets a header and the time as text.
 
-    Rows are sorted by time inside each output file (a full global sort is
-    only needed for a single-file export and is not done at scale).
+    ``sort="global"``: rows ordered by time, NULLs last, across the output
+    files in name order (a distributed range sort: sampled bounds, one
+    shuffle, no single task). ``"within"``: each file sorted only.
+    ``"none"``: as is.
     """
     out = df
-    if sort_within and time_col and time_col in df.columns:
-        out = out.sortWithinPartitions(F.col(time_col).asc_nulls_last())
+    if time_col and time_col in df.columns and sort != "none":
+        key = F.col(time_col).asc_nulls_last()
+        out = out.orderBy(key) if sort == "global" else out.sortWithinPartitions(key)
     if fmt in ("csv", "json") and time_col:
         out = format_for_text(out, time_col, time_format)
     w = out.write.mode(mode)

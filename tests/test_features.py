@@ -85,3 +85,14 @@ def test_history_supplies_lags(spark):
     out = features.build_features(new, history=old).orderBy("datetime").collect()
     assert [r["aqi_us_lag1"] for r in out] == [25.0, 26.0, 27.0, 28.0]
     assert out[0]["aqi_us_lag24"] == 2.0
+
+
+def test_auto_split_with_measured_buckets(spark):
+    # a tiny per-task bound forces the split plan; a hot key holds 70 % of rows
+    ev = _events(spark).withColumn("user_id", F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id")))
+    auto = features.lag_features(ev, ["value"], [1, 12, 24], keys=["user_id"], order=["ts", "event_id"],
+                                 method="auto", rows_per_task=50)
+    got = sorted(tuple(r) for r in auto.select("event_id", "value_lag1", "value_lag12", "value_lag24").collect())
+    assert got == _lags(ev, ["user_id"], "window")
+    # explicit width in seconds for a timestamp order column
+    assert _lags(ev, [], "ranked", bucket=7200.0) == _lags(ev, [], "window")
