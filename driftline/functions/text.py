@@ -12,6 +12,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def normalize_name_sql(x: str, suffixes=tuple(fixed.NAME_SUFFIXES)) -> str:
+    """SQL text of ``normalize_name`` for an expression ``x`` (one JVM call
+    when used through ``F.expr``/``selectExpr``)."""
+    alt = "|".join(suffixes)
+    return (f"regexp_replace(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]+', '_'), "
+            f"'^_+|_+$', ''), '_({alt})$', '')")
+
+
 def normalize_name(c, suffixes=tuple(fixed.NAME_SUFFIXES)) -> Column:
     """lower, non-alphanumerics -> ``_``, trim ``_``, drop one trailing suffix word."""
     s = F.lower(_col(c))
@@ -48,6 +56,20 @@ def strip_ws(c) -> Column:
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
 
 
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def extract_json_block_sql(x: str) -> str:
+    """SQL text of ``extract_json_block`` for an expression ``x``."""
+    ws = _lit(r"^\s+|\s+$")
+    t = f"regexp_replace({x}, {ws}, '')"
+    fenced = f"regexp_replace(regexp_extract({t}, {_lit('(?s)```json(.*?)(```|\\z)')}, 1), {ws}, '')"
+    braces = f"regexp_extract({t}, {_lit('(?s)(\\{.*\\})')}, 1)"
+    return (f"CASE WHEN instr({t}, '```json') > 0 THEN {fenced} "
+            f"WHEN instr({t}, '{{') > 0 THEN nullif({braces}, '') ELSE {t} END")
+
+
 def extract_json_block(c) -> Column:
     """JSON text inside free text.
 

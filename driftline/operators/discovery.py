@@ -15,12 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.numeric import percent_rate
-from ..functions.text import extract_json_block, is_http_url, join_url
+from ..functions.text import extract_json_block_sql
 
 CANDIDATE_TYPE = ("struct<name: string, url: string, endpoint: string, description: string, "
                   "documentation_url: string, rate_limit: string, auth_required: boolean>")
@@ -28,18 +27,26 @@ RESPONSE_SCHEMA = (f"search_keywords array<string>, candidate_api {CANDIDATE_TYP
                    "confidence double, reason string, suggestions array<string>")
 
 
+def _q(s: str) -> str:
+    """SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+EMPTY_STRINGS = "CAST(array() AS array<string>)"
+
+
 def parse_responses(df: DataFrame, text_col: str = "response_text") -> DataFrame:
     """Add parse_ok, search_keywords, candidate_api, confidence, parse_reason."""
-    block = extract_json_block(F.col(text_col))
-    ok = F.coalesce(F.try_parse_json(block).isNotNull(), F.lit(False))
-    j = F.from_json(block, RESPONSE_SCHEMA)
-    return df.withColumns({
-        "parse_ok": ok,
-        "search_keywords": F.when(ok, F.coalesce(j["search_keywords"], F.array().cast("array<string>"))),
-        "candidate_api": F.when(ok, j["candidate_api"]),
-        "confidence": F.when(ok, F.coalesce(j["confidence"], F.lit(0.0))),
-        "parse_reason": F.when(ok, j["reason"]),
-    })
+    block = extract_json_block_sql(f"`{text_col}`")
+    x = df.withColumns({"_dl_block": F.expr(block)})
+    x = x.withColumns({"parse_ok": F.expr("coalesce(try_parse_json(_dl_block) IS NOT NULL, false)"),
+                       "_dl_j": F.expr(f"from_json(_dl_block, {_q(RESPONSE_SCHEMA)})")})
+    return x.withColumns({
+        "search_keywords": F.expr(f"CASE WHEN parse_ok THEN coalesce(_dl_j.search_keywords, {EMPTY_STRINGS}) END"),
+        "candidate_api": F.expr("CASE WHEN parse_ok THEN _dl_j.candidate_api END"),
+        "confidence": F.expr("CASE WHEN parse_ok THEN coalesce(_dl_j.confidence, 0.0D) END"),
+        "parse_reason": F.expr("CASE WHEN parse_ok THEN _dl_j.reason END"),
+    }).drop("_dl_block", "_dl_j")
 
 
 def carry_forward(df: DataFrame, keys: Sequence[str] = ("feature",),
@@ -47,16 +54,16 @@ def carry_forward(df: DataFrame, keys: Sequence[str] = ("feature",),
     """A failed parse keeps the previous attempt's candidate, keywords and
     confidence (the original only replaces them after a good parse); before
     any good parse they are NULL / [] / 0.0."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    over = (f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY `{order}` "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
-    def last_good(c: str) -> Column:
-        return F.last(F.when(F.col("parse_ok"), F.struct(F.col(c).alias("v"))), ignorenulls=True) \
-            .over(w)["v"]
+    def last_good(c: str) -> str:
+        return f"last(CASE WHEN parse_ok THEN named_struct('v', `{c}`) END, true) {over}.v"
 
     return df.withColumns({
-        "candidate_api": last_good("candidate_api"),
-        "search_keywords": F.coalesce(last_good("search_keywords"), F.array().cast("array<string>")),
-        "confidence": F.coalesce(last_good("confidence"), F.lit(0.0)),
+        "candidate_api": F.expr(last_good("candidate_api")),
+        "search_keywords": F.expr(f"coalesce({last_good('search_keywords')}, {EMPTY_STRINGS})"),
+        "confidence": F.expr(f"coalesce({last_good('confidence')}, 0.0D)"),
     })
 
 
@@ -64,31 +71,32 @@ def classify_probes(df: DataFrame, candidate_col: str = "candidate_api") -> Data
     """is_valid, reason and probe_url per attempt (first matching rule wins):
     no candidate; URL not http(s); HTTP status 200/401/403 valid, 404/410 not
     found, other unexpected; timeout; connection; request error; other."""
-    cand = F.col(candidate_col)
-    url = cand["url"]
-    status = F.col("http_status")
-    outcome = F.col("outcome")
-    detail = F.coalesce(F.col("detail"), F.lit("")) if "detail" in df.columns else F.lit("")
-    has_cand = cand.isNotNull()
-    good_url = is_http_url(url)
-    http = outcome == "http"
-    valid = has_cand & good_url & http & status.isin(*fixed.VALID_STATUSES)
-    reason = (F.when(~has_cand, F.lit(fixed.REASON_NO_CANDIDATE))
-              .when(~good_url, F.lit(fixed.REASON_BAD_URL))
-              .when(http & (status == 200), F.lit(None).cast("string"))
-              .when(http & (status == 401), F.lit(fixed.REASON_401))
-              .when(http & (status == 403), F.lit(fixed.REASON_403))
-              .when(http & status.isin(*fixed.NOT_FOUND_STATUSES),
-                    F.format_string(fixed.REASON_NOT_FOUND, status))
-              .when(http, F.format_string(fixed.REASON_UNEXPECTED, status))
-              .when(outcome == "timeout", F.lit(fixed.REASON_TIMEOUT))
-              .when(outcome == "connection", F.lit(fixed.REASON_CONNECTION))
-              .when(outcome == "request_error", F.format_string(fixed.REASON_REQUEST, detail))
-              .otherwise(F.format_string(fixed.REASON_OTHER, detail)))
+    cand = f"`{candidate_col}`"
+    detail = "coalesce(detail, '')" if "detail" in df.columns else "''"
+    has = f"({cand} IS NOT NULL)"
+    url = f"{cand}.url"
+    good = "(" + " OR ".join(f"coalesce(startswith({url}, {_q(p)}), false)" for p in fixed.URL_PREFIXES) + ")"
+    http = "(outcome = 'http')"
+    valid_st = ", ".join(map(str, fixed.VALID_STATUSES))
+    nf_st = ", ".join(map(str, fixed.NOT_FOUND_STATUSES))
+    reason = (f"CASE WHEN NOT {has} THEN {_q(fixed.REASON_NO_CANDIDATE)} "
+              f"WHEN NOT {good} THEN {_q(fixed.REASON_BAD_URL)} "
+              f"WHEN {http} AND http_status = 200 THEN CAST(NULL AS STRING) "
+              f"WHEN {http} AND http_status = 401 THEN {_q(fixed.REASON_401)} "
+              f"WHEN {http} AND http_status = 403 THEN {_q(fixed.REASON_403)} "
+              f"WHEN {http} AND http_status IN ({nf_st}) THEN format_string({_q(fixed.REASON_NOT_FOUND)}, http_status) "
+              f"WHEN {http} THEN format_string({_q(fixed.REASON_UNEXPECTED)}, http_status) "
+              f"WHEN outcome = 'timeout' THEN {_q(fixed.REASON_TIMEOUT)} "
+              f"WHEN outcome = 'connection' THEN {_q(fixed.REASON_CONNECTION)} "
+              f"WHEN outcome = 'request_error' THEN format_string({_q(fixed.REASON_REQUEST)}, {detail}) "
+              f"ELSE format_string({_q(fixed.REASON_OTHER)}, {detail}) END")
+    endpoint = f"coalesce({cand}.endpoint, '')"
+    joined = (f"CASE WHEN {endpoint} = '' THEN {url} ELSE concat(regexp_replace({url}, '/+$', ''), '/', "
+              f"regexp_replace({endpoint}, '^/+', '')) END")
     return df.withColumns({
-        "is_valid": F.coalesce(valid, F.lit(False)),
-        "reason": reason,
-        "probe_url": F.when(has_cand, join_url(url, F.coalesce(cand["endpoint"], F.lit("")))),
+        "is_valid": F.expr(f"coalesce({has} AND {good} AND {http} AND http_status IN ({valid_st}), false)"),
+        "reason": F.expr(reason),
+        "probe_url": F.expr(f"CASE WHEN {has} THEN {joined} END"),
     })
 
 
@@ -103,25 +111,27 @@ def resolve_attempts(log: DataFrame, keys: Sequence[str] = ("feature",),
     Groups are at most ``max_attempts`` rows.
     """
     keys = list(keys)
-    x = log.filter(F.col("attempt_no") <= max_attempts)
+    part = ", ".join(f"`{k}`" for k in keys)
+    x = log.where(f"attempt_no <= {int(max_attempts)}")
     if not parsed:
         x = parse_responses(x)
     x = classify_probes(carry_forward(x, keys))
-    w = Window.partitionBy(*keys)
-    x = x.withColumn("_first_valid", F.min(F.when(F.col("is_valid"), F.col("attempt_no"))).over(w))
-    x = x.filter(F.col("_first_valid").isNull() | (F.col("attempt_no") <= F.col("_first_valid")))
-    last = F.max_by(F.struct("confidence", "search_keywords", "reason", "is_valid",
-                             "candidate_api", "probe_url"), F.col("attempt_no"))
-    r = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("search_attempts"), last.alias("_last"))
-    return r.select(
-        *keys,
-        F.col("_last.is_valid").alias("api_found"),
-        F.when(F.col("_last.is_valid"), F.col("_last.candidate_api")).alias("api_details"),
-        F.when(F.col("_last.is_valid"), F.col("_last.probe_url")).alias("api_url"),
-        F.col("_last.confidence").alias("confidence_score"),
-        F.col("_last.search_keywords").alias("search_keywords"),
-        F.col("_last.reason").alias("reason"),
-        F.col("search_attempts").cast("int").alias("search_attempts"))
+    x = x.withColumn("_first_valid", F.expr(
+        f"min(CASE WHEN is_valid THEN attempt_no END) OVER (PARTITION BY {part})"))
+    x = x.where("_first_valid IS NULL OR attempt_no <= _first_valid")
+    r = x.groupBy(*keys).agg(
+        F.expr("count(1) AS search_attempts"),
+        F.expr("max_by(struct(confidence, search_keywords, reason, is_valid, candidate_api, probe_url), "
+               "attempt_no) AS _last"))
+    return r.selectExpr(
+        *[f"`{k}`" for k in keys],
+        "_last.is_valid AS api_found",
+        "CASE WHEN _last.is_valid THEN _last.candidate_api END AS api_details",
+        "CASE WHEN _last.is_valid THEN _last.probe_url END AS api_url",
+        "_last.confidence AS confidence_score",
+        "_last.search_keywords AS search_keywords",
+        "_last.reason AS reason",
+        "CAST(search_attempts AS INT) AS search_attempts")
 
 
 EXISTS_REASON = "Feature already exists in dataset"
@@ -136,62 +146,59 @@ def dispositions(matches: DataFrame, resolved: DataFrame, key: str = "feature")
     0 attempts). A missing feature whose attempts all failed is ``not_found``.
     """
     r = resolved.withColumnRenamed(key, "_dl_key")
-    j = matches.join(r, matches[key] == r["_dl_key"], "left").drop("_dl_key")
-    st = F.col("status")
-    missing = st == fixed.STATUS_MISSING
-    found = missing & F.coalesce(F.col("api_found"), F.lit(False))
-    return j.select(
-        *[c for c in matches.columns if c not in ("status", "mapped_to", "confidence",
-                                                   "similarity_scores")],
-        st.alias("normalization_status"),
-        F.col("mapped_to"),
-        F.col("similarity_scores"),
-        F.col("confidence").alias("normalization_confidence"),
-        F.when(missing, F.coalesce(F.col("search_keywords"), F.array().cast("array<string>")))
-        .otherwise(F.array().cast("array<string>")).alias("search_keywords"),
-        found.alias("api_found"),
-        F.when(found, F.col("api_details")).alias("api_details"),
-        F.when(found, F.col("api_url")).alias("api_url"),
-        F.when(missing, F.coalesce(F.col("confidence_score"), F.lit(0.0))).otherwise(F.lit(0.0))
-        .alias("confidence_score"),
-        F.when(st == fixed.STATUS_EXISTS, F.lit(EXISTS_REASON))
-        .when(missing, F.coalesce(F.col("reason"),
-                                  F.when(~found, F.lit(MISSING_REASON)))).alias("reason"),
-        F.array().cast("array<string>").alias("suggested_alternatives"),
-        F.when(missing, F.coalesce(F.col("search_attempts"), F.lit(0))).otherwise(F.lit(0))
-        .alias("search_attempts"),
-        F.when(st == fixed.STATUS_EXISTS, F.lit(fixed.STATUS_EXISTS))
-        .when(found, F.lit(fixed.FINAL_FOUND)).otherwise(F.lit(fixed.FINAL_NOT_FOUND))
-        .alias("final_status"))
+    keep = [c for c in matches.columns if c not in ("status", "mapped_to", "confidence",
+                                                     "similarity_scores")]
+    j = matches.join(r, matches[key] == r["_dl_key"], "left")
+    missing = f"(status = '{fixed.STATUS_MISSING}')"
+    found = f"({missing} AND coalesce(api_found, false))"
+    return j.selectExpr(
+        *[f"`{c}`" for c in keep],
+        "status AS normalization_status", "mapped_to", "similarity_scores",
+        "confidence AS normalization_confidence",
+        f"CASE WHEN {missing} THEN coalesce(search_keywords, {EMPTY_STRINGS}) ELSE {EMPTY_STRINGS} END "
+        "AS search_keywords",
+        f"{found} AS api_found",
+        f"CASE WHEN {found} THEN api_details END AS api_details",
+        f"CASE WHEN {found} THEN api_url END AS api_url",
+        f"CASE WHEN {missing} THEN coalesce(confidence_score, 0.0D) ELSE 0.0D END AS confidence_score",
+        f"CASE WHEN status = '{fixed.STATUS_EXISTS}' THEN {_q(EXISTS_REASON)} "
+        f"WHEN {missing} THEN coalesce(reason, CASE WHEN NOT {found} THEN {_q(MISSING_REASON)} END) END "
+        "AS reason",
+        f"{EMPTY_STRINGS} AS suggested_alternatives",
+        f"CASE WHEN {missing} THEN coalesce(search_attempts, 0) ELSE 0 END AS search_attempts",
+        f"CASE WHEN status = '{fixed.STATUS_EXISTS}' THEN '{fixed.STATUS_EXISTS}' "
+        f"WHEN {found} THEN '{fixed.FINAL_FOUND}' ELSE '{fixed.FINAL_NOT_FOUND}' END AS final_status")
 
 
 def categorize(disp: DataFrame) -> DataFrame:
     """Result category (first match wins) and the confidence a report shows:
     the match confidence for existing features, the source confidence else."""
-    exists = F.col("normalization_status") == fixed.STATUS_EXISTS
+    exists = f"(normalization_status = '{fixed.STATUS_EXISTS}')"
     return disp.withColumns({
-        "category": F.when(exists, F.lit(fixed.CATEGORY_EXISTING))
-        .when(F.col("api_found"), F.lit(fixed.CATEGORY_NEW))
-        .otherwise(F.lit(fixed.CATEGORY_NOT_FOUND)),
-        "report_confidence": F.when(exists, F.col("normalization_confidence"))
-        .otherwise(F.col("confidence_score")),
+        "category": F.expr(f"CASE WHEN {exists} THEN '{fixed.CATEGORY_EXISTING}' "
+                           f"WHEN api_found THEN '{fixed.CATEGORY_NEW}' "
+                           f"ELSE '{fixed.CATEGORY_NOT_FOUND}' END"),
+        "report_confidence": F.expr(f"CASE WHEN {exists} THEN normalization_confidence "
+                                    "ELSE confidence_score END"),
     })
 
 
 def disposition_summary(disp: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Counts and percent rates; ``not_found`` = total - existing - found."""
-    fs = F.col("final_status")
     s = disp.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_features"),
-        F.count_if(fs == fixed.STATUS_EXISTS).alias("already_exists"),
-        F.count_if(fs == fixed.FINAL_FOUND).alias("new_apis_found"))
-    return s.select(
-        *keys, "total_features", "already_exists", "new_apis_found",
-        (F.col("total_features") - F.col("already_exists") - F.col("new_apis_found")).alias("not_found"),
-        percent_rate(F.col("already_exists"), F.col("total_features")).alias("already_exists_rate"),
-        percent_rate(F.col("new_apis_found"), F.col("total_features")).alias("api_discovery_rate"),
-        percent_rate(F.col("already_exists") + F.col("new_apis_found"), F.col("total_features"))
-        .alias("overall_success_rate"))
+        F.expr("count(1) AS total_features"),
+        F.expr(f"count_if(final_status = '{fixed.STATUS_EXISTS}') AS already_exists"),
+        F.expr(f"count_if(final_status = '{fixed.FINAL_FOUND}') AS new_apis_found"))
+
+    def rate(part: str) -> str:
+        return f"coalesce(try_divide(CAST({part} AS DOUBLE), total_features) * 100.0D, 0.0D)"
+
+    return s.selectExpr(
+        *[f"`{k}`" for k in keys], "total_features", "already_exists", "new_apis_found",
+        "total_features - already_exists - new_apis_found AS not_found",
+        f"{rate('already_exists')} AS already_exists_rate",
+        f"{rate('new_apis_found')} AS api_discovery_rate",
+        f"{rate('already_exists + new_apis_found')} AS overall_success_rate")
 
 
 def remaining(requested: DataFrame, processed: DataFrame, key: str = "feature") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.text import normalize_name, squash_name
+from ..functions.text import normalize_name_sql
 
 
 def alias_table(spark: SparkSession, aliases: dict[str, list[str]] | None = None) -> DataFrame:
@@ -32,14 +32,28 @@ def alias_table(spark: SparkSession, aliases: dict[str, list[str]] | None = None
     return spark.createDataFrame(rows, "canonical string, alias string")
 
 
+def _squash(x: str) -> str:
+    return f"replace({normalize_name_sql(x)}, '_', '')"
+
+
 def _alias_pairs(aliases: DataFrame) -> DataFrame:
     """Both directions, on squashed names."""
-    a = aliases.select(squash_name("canonical").alias("a"), squash_name("alias").alias("b"))
-    return a.unionByName(a.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    a = aliases.selectExpr(f"{_squash('canonical')} AS a", f"{_squash('alias')} AS b")
+    return a.unionByName(a.selectExpr("b AS a", "a AS b")).distinct()
+
+
+def deletion_variants_sql(x: str, max_edits: int) -> str:
+    """SQL: array of the distinct strings made by deleting 0..max_edits characters."""
+    out = f"array({x})"
+    for _ in range(max_edits):
+        out = ("array_distinct(flatten(transform(" + out + ", s -> concat(array(s), "
+               "transform(sequence(1, greatest(length(s), 1)), "
+               "i -> concat(substr(s, 1, i - 1), substr(s, i + 1)))))))")
+    return out
 
 
 def deletion_variants(c: Column, max_edits: int) -> Column:
-    """Array of the distinct strings made by deleting 0..max_edits characters."""
+    """Column form of ``deletion_variants_sql`` (for callers holding a Column)."""
     def drop1(arr: Column) -> Column:
         return F.flatten(F.transform(arr, lambda s: F.concat(
             F.array(s),
@@ -58,42 +72,41 @@ def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFram
     """``(feature, column_name, score)``: every scored pair, best score kept."""
     spark = requested.sparkSession
     aliases = aliases if aliases is not None else alias_table(spark)
-    req = requested.select(F.col(feature_col).alias("feature")).distinct() \
-        .withColumns({"_rn": normalize_name("feature"), "_rs": squash_name("feature")})
-    cat = catalog.select(F.col(column_col).alias("column_name")).distinct() \
-        .withColumns({"_cn": normalize_name("column_name"), "_cs": squash_name("column_name")})
-
-    exact = req.join(cat, req["_rs"] == cat["_cs"]).select(
-        "feature", "column_name", F.lit(fixed.EXACT_SCORE).alias("score"))
+    req = requested.selectExpr(f"`{feature_col}` AS feature").distinct() \
+        .selectExpr("feature", f"{normalize_name_sql('feature')} AS _rn", f"{_squash('feature')} AS _rs")
+    cat = catalog.selectExpr(f"`{column_col}` AS column_name").distinct() \
+        .selectExpr("column_name", f"{normalize_name_sql('column_name')} AS _cn",
+                    f"{_squash('column_name')} AS _cs")
+
+    exact = req.join(cat, req["_rs"] == cat["_cs"]).selectExpr(
+        "feature", "column_name", f"{fixed.EXACT_SCORE!r} AS score")
     pairs = F.broadcast(_alias_pairs(aliases))  # fixed, small
-    via = req.join(pairs, req["_rs"] == pairs["a"]).select("feature", "b")
-    alias = via.join(cat, via["b"] == cat["_cs"]).select(
-        "feature", "column_name", F.lit(fixed.ALIAS_SCORE).alias("score"))
+    via = req.join(pairs, req["_rs"] == pairs["a"]).selectExpr("feature", "b")
+    alias = via.join(cat, via["b"] == cat["_cs"]).selectExpr(
+        "feature", "column_name", f"{fixed.ALIAS_SCORE!r} AS score")
     parts = [exact, alias]
     if max_edits > 0:
-        rv = req.select("feature", "_rn", F.explode(deletion_variants(F.col("_rn"), max_edits))
-                        .alias("_v"))
-        cv = cat.select("column_name", "_cn", F.explode(deletion_variants(F.col("_cn"), max_edits))
-                        .alias("_v"))
-        near = rv.join(cv, "_v").select("feature", "column_name", "_rn", "_cn").distinct()
-        lev = F.levenshtein("_rn", "_cn")
-        near = (near.withColumn("_lev", lev).filter(F.col("_lev") <= max_edits)
-                .select("feature", "column_name",
-                        F.least(F.lit(fixed.FUZZY_CAP),
-                                1.0 - F.col("_lev") / F.greatest(F.length("_rn"), F.length("_cn"),
-                                                                 F.lit(1)))
-                        .alias("score")))
+        rv = req.selectExpr("feature", "_rn", f"explode({deletion_variants_sql('_rn', max_edits)}) AS _v")
+        cv = cat.selectExpr("column_name", "_cn",
+                            f"explode({deletion_variants_sql('_cn', max_edits)}) AS _v")
+        near = (rv.join(cv, "_v").select("feature", "column_name", "_rn", "_cn").distinct()
+                .selectExpr("feature", "column_name", "levenshtein(_rn, _cn) AS _lev",
+                            "greatest(length(_rn), length(_cn), 1) AS _len")
+                .where(f"_lev <= {int(max_edits)}")
+                .selectExpr("feature", "column_name",
+                            f"least({fixed.FUZZY_CAP!r}, 1.0D - _lev / _len) AS score"))
         parts.append(near)
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return u.groupBy("feature", "column_name").agg(F.max("score").alias("score"))
+    return u.groupBy("feature", "column_name").agg(F.expr("max(score) AS score"))
 
 
 def top_candidates(cands: DataFrame, top_n: int = fixed.TOP_N_SCORES) -> DataFrame:
     """Best ``top_n`` columns per feature (score desc, then name); adds rank."""
-    w = Window.partitionBy("feature").orderBy(F.col("score").desc(), F.col("column_name"))
-    return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
+    return (cands.withColumn("rank", F.expr("row_number() OVER (PARTITION BY feature "
+                                            "ORDER BY score DESC, column_name)"))
+            .where(f"rank <= {int(top_n)}"))
 
 
 def match_features(requested: DataFrame, catalog: DataFrame, aliases: DataFrame | None = None,
@@ -108,17 +121,15 @@ def match_features(requested: DataFrame, catalog: DataFrame, aliases: DataFrame
     top = top_candidates(match_candidates(requested, catalog, aliases, max_edits,
                                           feature_col, column_col), top_n)
     best = top.groupBy("feature").agg(
-        F.max_by(F.col("column_name"), F.struct(F.col("score"), -F.col("rank"))).alias("_best"),
-        F.max("score").alias("_score"),
-        F.map_from_entries(F.collect_list(F.struct("column_name", "score")))
-        .alias("similarity_scores"))
+        F.expr("max_by(column_name, struct(score, -rank)) AS _best"),
+        F.expr("max(score) AS _score"),
+        F.expr("map_from_entries(collect_list(struct(column_name, score))) AS similarity_scores"))
     req = requested.withColumnRenamed(feature_col, "feature") if feature_col != "feature" else requested
-    j = req.join(best, "feature", "left")
-    exists = F.coalesce(F.col("_score") > threshold, F.lit(False))
-    return j.select(
-        *[c for c in req.columns],
-        F.when(exists, F.lit(fixed.STATUS_EXISTS)).otherwise(F.lit(fixed.STATUS_MISSING)).alias("status"),
-        F.when(exists, F.col("_best")).alias("mapped_to"),
-        F.coalesce(F.col("_score"), F.lit(0.0)).alias("confidence"),
-        F.coalesce(F.col("similarity_scores"), F.create_map().cast("map<string,double>"))
-        .alias("similarity_scores"))
+    cols = req.columns
+    exists = f"coalesce(_score > {threshold!r}, false)"
+    return req.join(best, "feature", "left").selectExpr(
+        *[f"`{c}`" for c in cols],
+        f"CASE WHEN {exists} THEN '{fixed.STATUS_EXISTS}' ELSE '{fixed.STATUS_MISSING}' END AS status",
+        f"CASE WHEN {exists} THEN _best END AS mapped_to",
+        "coalesce(_score, 0.0D) AS confidence",
+        "coalesce(similarity_scores, CAST(map() AS map<string,double>)) AS similarity_scores")

@@ -688,13 +688,12 @@ SELECT feature, {r6('mean_shift')}, {r6('variance_shift')}, {r6('ks_statistic')}
 def requested_features(spark, sf) -> DataFrame:
     """One requested feature per part: a spelling of its name chosen by key
     (upper case + " INDEX", vowels rotated, type_brand, run together)."""
-    p = table(spark, sf, "part")
-    k = F.col("p_partkey") % 4
-    name = (F.when(k == 0, F.concat(F.upper("p_name"), F.lit(" INDEX")))
-            .when(k == 1, F.translate("p_name", "aeiou", "eioua"))
-            .when(k == 2, F.concat_ws("_", "p_type", "p_brand"))
-            .otherwise(F.regexp_replace("p_name", " ", "")))
-    return p.select(F.col("p_partkey").alias("pos"), name.alias("feature"))
+    return table(spark, sf, "part").selectExpr(
+        "p_partkey AS pos",
+        "CASE p_partkey % 4 WHEN 0 THEN concat(upper(p_name), ' INDEX') "
+        "WHEN 1 THEN translate(p_name, 'aeiou', 'eioua') "
+        "WHEN 2 THEN concat_ws('_', p_type, p_brand) "
+        "ELSE regexp_replace(p_name, ' ', '') END AS feature")
 
 
 REQUESTED_SQL = """
@@ -784,20 +783,18 @@ PROBE_STATUSES = [200, 401, 403, 404, 410, 500, 301]
 def probes(spark, sf) -> DataFrame:
     """One probe per page: candidate from the page URL (ftp for some, none for
     some), an endpoint, and an outcome/status picked by page id."""
-    pg = table(spark, sf, "pages").select("page_id", "url")
-    pid = F.col("page_id")
-    url = F.when(pid % 11 == 0, F.regexp_replace("url", "^https?", "ftp")).otherwise(F.col("url"))
-    endpoint = (F.when(pid % 3 == 0, F.lit("")).when(pid % 3 == 1, F.lit("/api/v1"))
-                .otherwise(F.lit("data/")))
-    cand = F.when(pid % 13 == 0, F.lit(None)).otherwise(F.struct(
-        F.concat(F.lit("page "), pid.cast("string")).alias("name"), url.alias("url"),
-        endpoint.alias("endpoint")))
-    outcome = (F.when(pid % 10 == 7, F.lit("timeout")).when(pid % 10 == 8, F.lit("connection"))
-               .when(pid % 10 == 9, F.lit("request_error")).otherwise(F.lit("http")))
-    status = F.element_at(F.array(*[F.lit(s) for s in PROBE_STATUSES]),
-                          (pid % len(PROBE_STATUSES) + 1).cast("int"))
-    return pg.select("page_id", cand.alias("candidate_api"), outcome.alias("outcome"),
-                     status.alias("http_status"), F.lit("read timed out").alias("detail"))
+    statuses = ", ".join(map(str, PROBE_STATUSES))
+    return table(spark, sf, "pages").selectExpr(
+        "page_id",
+        "CASE WHEN page_id % 13 = 0 THEN NULL ELSE named_struct("
+        "'name', concat('page ', CAST(page_id AS STRING)), "
+        "'url', CASE WHEN page_id % 11 = 0 THEN regexp_replace(url, '^https?', 'ftp') ELSE url END, "
+        "'endpoint', CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN '/api/v1' ELSE 'data/' END) "
+        "END AS candidate_api",
+        "CASE page_id % 10 WHEN 7 THEN 'timeout' WHEN 8 THEN 'connection' "
+        "WHEN 9 THEN 'request_error' ELSE 'http' END AS outcome",
+        f"element_at(array({statuses}), CAST(page_id % {len(PROBE_STATUSES)} + 1 AS INT)) AS http_status",
+        "'read timed out' AS detail")
 
 
 def q_classify_probes(spark, sf):
@@ -849,29 +846,30 @@ def attempt_log(spark, sf) -> DataFrame:
     """events as a source-search log: feature = user id, attempts in time
     order (only the first ``MAX_ATTEMPTS`` are ever used; the top-k per key
     is limited map-side), response text and probe outcome from the event."""
-    ev = table(spark, sf, "events")
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    first = (ev.withColumn("attempt_no", F.row_number().over(w))
-             .filter(F.col("attempt_no") <= fixed.MAX_ATTEMPTS))
-    eid, et, uid = F.col("event_id"), F.col("event_type"), F.col("user_id").cast("string")
-    conf = F.concat(F.lit("0."), F.lpad((F.floor("value") % 100).cast("string"), 2, "0"))
-    scheme = F.when(et == "view", F.lit("ftp")).otherwise(F.lit("https"))
-    cand = F.concat(F.lit('{"name": "source '), uid, F.lit('", "url": "'), scheme,
-                    F.lit("://api.example.com/u"), uid, F.lit('", "endpoint": "/v1/'), et, F.lit('"}'))
-    body = F.concat(F.lit('{"search_keywords": ["'), et, F.lit('", "u'), uid,
-                    F.lit('"], "candidate_api": '), cand, F.lit(', "confidence": '), conf, F.lit("}"))
-    text = (F.when(eid % 4 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
-            .when(eid % 4 == 1, F.concat(F.lit("Found one: "), body, F.lit(" (checked)")))
-            .when(eid % 4 == 2, F.lit('{"search_keywords": [], "candidate_api": null, '
-                                      '"confidence": 0.0, "reason": "nothing suitable"}'))
-            .otherwise(F.concat(F.lit("no answer for "), et)))
-    outcome = F.coalesce(*[F.when(et == k, F.lit(v)) for k, v in HTTP_FOR.items()], F.lit("other"))
-    status = F.element_at(F.array(*[F.lit(s) for s in ATTEMPT_STATUSES]),
-                          (F.floor("value") % len(ATTEMPT_STATUSES) + 1).cast("int"))
-    return first.select(F.col("user_id").alias("feature"), "attempt_no", text.alias("response_text"),
-                        outcome.alias("outcome"), status.alias("http_status"),
-                        F.lit("bad response").alias("detail"))
+    statuses = ", ".join(map(str, ATTEMPT_STATUSES))
+    outcome = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HTTP_FOR.items())
+    first = (table(spark, sf, "events")
+             .withColumn("attempt_no", F.expr("row_number() OVER (PARTITION BY user_id "
+                                              "ORDER BY ts, event_id)"))
+             .where(f"attempt_no <= {fixed.MAX_ATTEMPTS}")
+             .selectExpr("*", "CAST(user_id AS STRING) AS uid",
+                         "concat('0.', lpad(CAST(floor(value) % 100 AS STRING), 2, '0')) AS conf",
+                         "CASE WHEN event_type = 'view' THEN 'ftp' ELSE 'https' END AS scheme"))
+    body = ("concat('{\"search_keywords\": [\"', event_type, '\", \"u', uid, "
+            "'\"], \"candidate_api\": {\"name\": \"source ', uid, '\", \"url\": \"', scheme, "
+            "'://api.example.com/u', uid, '\", \"endpoint\": \"/v1/', event_type, "
+            "'\"}, \"confidence\": ', conf, '}')")
+    text = (f"CASE event_id % 4 WHEN 0 THEN concat('```json\\n', {body}, '\\n```') "
+            f"WHEN 1 THEN concat('Found one: ', {body}, ' (checked)') "
+            "WHEN 2 THEN '{\"search_keywords\": [], \"candidate_api\": null, "
+            "\"confidence\": 0.0, \"reason\": \"nothing suitable\"}' "
+            "ELSE concat('no answer for ', event_type) END")
+    return first.selectExpr(
+        "user_id AS feature", "attempt_no", f"{text} AS response_text",
+        f"CASE event_type {outcome} ELSE 'other' END AS outcome",
+        f"element_at(array({statuses}), CAST(floor(value) % {len(ATTEMPT_STATUSES)} + 1 AS INT)) "
+        "AS http_status",
+        "'bad response' AS detail")
 
 
 def q_resolve_attempts(spark, sf):
