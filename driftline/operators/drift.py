@@ -24,9 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.numeric import nan_to_null, relative_shift
+from ..functions.numeric import relative_shift
 from ..functions.timeparse import shift_days
-from .sizing import ROWS_PER_TASK, ranges_for
+from .sizing import ranges_for
 
 RECENT = "is_recent"
 BASELINE = "is_baseline"

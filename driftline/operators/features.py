@@ -8,11 +8,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.numeric import cyclic, log1p_zero  # noqa: F401  (Column forms of the same rules)
 from .ranking import POS, add_position, lag_by_position
 from .sizing import ROWS_PER_TASK, bucket_width, series_profile
 

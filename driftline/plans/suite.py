@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions.text import extract_json_block
-from ..functions.timeparse import format_time, parse_mixed_timestamp, shift_days
+from ..functions.timeparse import format_time, parse_mixed_timestamp
 from ..operators import discovery, drift, features, incremental, matching
 from ..session import materialize, scratch_dir
 from ..sources import payload as payload_src
