@@ -590,6 +590,48 @@ def q_drift_report(spark, sf):
                            "is_significant", "drift_type"))
 
 
+def _drift_sql(source_ctes: str, source: str, time_col: str, feats: list[str],
+               t: float = fixed.DRIFT_THRESHOLD, k: float = fixed.KS_THRESHOLD) -> str:
+    """Oracle SQL of ``drift_report`` over any relation (global period end)."""
+    r, b = fixed.RECENT_DAYS, fixed.RECENT_DAYS + fixed.BASELINE_DAYS
+    pos = " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(feats))
+    casts = ", ".join(f"CAST({q(f)} AS DOUBLE) AS {q(f)}" for f in feats)
+    return f"""
+WITH {source_ctes},
+dm AS (SELECT max({time_col}) AS e FROM {source}),
+df AS (SELECT {time_col} >= e - INTERVAL {r} DAYS AND {time_col} <= e AS is_recent,
+              {time_col} >= e - INTERVAL {b} DAYS AND {time_col} <= e - INTERVAL {r} DAYS AS is_baseline,
+              {casts}
+       FROM {source}, dm),
+lv AS (SELECT feature, value, is_recent, is_baseline FROM df
+       UNPIVOT (value FOR feature IN ({', '.join(q(f) for f in feats)}))
+       WHERE (is_recent OR is_baseline) AND value IS NOT NULL AND NOT isnan(value)),
+{MOMENTS_SQL}, {KS_SQL},
+rep AS (SELECT ms.feature, n_recent, n_baseline, mean_shift, variance_shift,
+               CASE WHEN n_recent = 0 OR n_baseline = 0 THEN 0.0 ELSE coalesce(ks_raw, 0.0) END
+                 AS ks_statistic,
+               CASE ms.feature {pos} END AS pos
+        FROM ms LEFT JOIN ks USING (feature))
+SELECT feature, pos, n_recent, n_baseline, {r6('mean_shift')}, {r6('variance_shift')},
+       {r6('ks_statistic')},
+       coalesce(mean_shift > {t}, false) OR coalesce(variance_shift > {t}, false)
+         OR coalesce(ks_statistic > {k}, false) AS is_significant,
+       {_classify_sql(t, k)} AS drift_type
+FROM rep
+"""
+
+
+def q_drift_report_features(spark, sf):
+    """The flagship: drift of all registered features of the feature table."""
+    from .flagship import flagship
+    return finish(flagship(spark, sf))
+
+
+SQL_DRIFT_REPORT_FEATURES = _drift_sql(
+    FEATURE_TABLE_CTE.strip(), "ft", "datetime",
+    [f for f in fixed.DRIFT_FEATURES if f in FEATURE_COLUMNS])
+
+
 # lower thresholds so that the lineitem periods do produce summary lines
 SUMMARY_T, SUMMARY_KS = 0.05, 0.05
 
@@ -1112,6 +1154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_summary_lines": q_drift_summary_lines,
     "drift_report_by_flag": q_drift_report_by_flag,
     "report_json_roundtrip": q_report_json_roundtrip,
+    "drift_report_features": q_drift_report_features,
     "match_features": q_match_features,
     "match_candidates": q_match_candidates,
     "classify_probes": q_classify_probes,
@@ -1147,6 +1190,7 @@ ORACLE_SQL: dict[str, str] = {
     "drift_summary_lines": SQL_DRIFT_SUMMARY_LINES,
     "drift_report_by_flag": _keyed_drift_sql(),
     "report_json_roundtrip": SQL_REPORT_JSON_ROUNDTRIP,
+    "drift_report_features": SQL_DRIFT_REPORT_FEATURES,
     "match_features": SQL_MATCH_FEATURES,
     "match_candidates": SQL_MATCH_CANDIDATES,
     "classify_probes": SQL_CLASSIFY_PROBES,
