@@ -39,10 +39,13 @@ def new_rows(source: DataFrame, target: DataFrame, keys: Sequence[str] = (),
              time_col: str = fixed.TIME_COL) -> DataFrame:
     """Source rows whose (keys, time) is not in the target (null-safe anti-join).
 
-    Only the key columns of the target are read.
+    Only the key columns of the target are read, and they are de-duplicated
+    (a partial aggregate) before the shuffle: existence is all the anti-join
+    needs, so a key repeated many times in the target costs one row per map
+    task.
     """
     on = [*keys, time_col]
-    t = target.select(*on)
+    t = target.select(*on).distinct()
     return source.join(t, _null_safe_on(source, t, on), "left_anti")
 
 
