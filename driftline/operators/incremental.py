@@ -64,6 +64,8 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (),
     row per map task.
     """
     on = [*keys] + ([time_col] if time_col else [])
+    if not on:
+        raise ValueError("upsert needs key columns (keys and/or time_col)")
     prio = "_dl_side"
     u = existing.withColumn(prio, F.lit(0)).unionByName(
         batch.withColumn(prio, F.lit(1)), allowMissingColumns=True)
@@ -81,6 +83,8 @@ def upsert(existing: DataFrame, batch: DataFrame, keys: Sequence[str] = (),
 def dedup(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = (),
           keep: str = "first") -> DataFrame:
     """One row per key, first/last in ``order_cols`` (never ``dropDuplicates``)."""
+    if not keys:
+        raise ValueError("dedup needs key columns")
     order = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order_cols]
     w = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
     return (df.withColumn("_dl_rn", F.row_number().over(w))
