@@ -96,3 +96,21 @@ def test_auto_split_with_measured_buckets(spark):
     assert got == _lags(ev, ["user_id"], "window")
     # explicit width in seconds for a timestamp order column
     assert _lags(ev, [], "ranked", bucket=7200.0) == _lags(ev, [], "window")
+
+
+def test_lag_history_slice_is_exact(spark):
+    # full history vs the bounded slice give the same lags for new rows, keyed and not
+    ev = _events(spark).withColumnRenamed("ts", "datetime")
+    cut = ev.agg(F.expr("percentile_approx(event_id, 0.8)")).first()[0]
+    hist, new = ev.filter(F.col("event_id") < cut), ev.filter(F.col("event_id") >= cut)
+    for keys in ([], ["user_id"]):
+        sl = features.lag_history(hist, new, keys, "datetime", 24)
+        full = hist.withColumn("_n", F.lit(False)).unionByName(new.withColumn("_n", F.lit(True)))
+        part = sl.withColumn("_n", F.lit(False)).unionByName(new.withColumn("_n", F.lit(True)))
+
+        def lags(df):
+            out = features.lag_features(df, ["value"], [1, 12, 24], keys=keys, order=["datetime", "event_id"],
+                                        method="window").filter("_n")
+            return sorted(tuple(r) for r in out.select("event_id", "value_lag1", "value_lag12", "value_lag24").collect())
+        assert lags(part) == lags(full)
+        assert sl.count() < hist.count()
