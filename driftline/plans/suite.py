@@ -1094,7 +1094,7 @@ def q_extract_json_block(spark, sf):
     text = (F.when(e == 0, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n```")))
             .when(e == 1, F.concat(F.lit("result: "), F.col("props"), F.lit(" end")))
             .when(e == 2, F.concat(F.lit("```json\n"), F.col("props"), F.lit("\n")))
-            .otherwise(F.concat(F.lit("no json: k="), F.col("props").substr(7, 3))))
+            .otherwise(F.concat(F.lit("no json: "), F.translate("props", "{}", "()"))))
     block = extract_json_block(text)
     ok = F.coalesce(F.try_parse_json(block).isNotNull(), F.lit(False))
     k = F.when(ok, F.from_json(block, "k bigint")["k"])
@@ -1107,7 +1107,7 @@ WITH t AS (
          CASE event_id % 4 WHEN 0 THEN '```json' || chr(10) || props || chr(10) || '```'
                            WHEN 1 THEN 'result: ' || props || ' end'
                            WHEN 2 THEN '```json' || chr(10) || props || chr(10)
-                           ELSE 'no json: k=' || substr(props, 7, 3) END AS txt
+                           ELSE 'no json: ' || translate(props, '{}', '()') END AS txt
   FROM events),
 b AS (
   SELECT event_id,
