@@ -37,9 +37,10 @@ def _squash(x: str) -> str:
 
 
 def _alias_pairs(aliases: DataFrame) -> DataFrame:
-    """Both directions, on squashed names."""
+    """Both directions, on squashed names (duplicates are harmless: candidate
+    pairs are de-duplicated by the per-pair aggregate)."""
     a = aliases.selectExpr(f"{_squash('canonical')} AS a", f"{_squash('alias')} AS b")
-    return a.unionByName(a.selectExpr("b AS a", "a AS b")).distinct()
+    return a.unionByName(a.selectExpr("b AS a", "a AS b"))
 
 
 def deletion_variants_sql(x: str, max_edits: int) -> str:
@@ -78,28 +79,27 @@ def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFram
         .selectExpr("column_name", f"{normalize_name_sql('column_name')} AS _cn",
                     f"{_squash('column_name')} AS _cs")
 
+    # candidate pairs from three equi-joins, tagged by kind; one aggregate per
+    # pair afterwards (dedup + scoring), so edit distance is computed once
     exact = req.join(cat, req["_rs"] == cat["_cs"]).selectExpr(
-        "feature", "column_name", f"{fixed.EXACT_SCORE!r} AS score")
+        "feature", "column_name", "_rn", "_cn", "1 AS _kind")
     pairs = F.broadcast(_alias_pairs(aliases))  # fixed, small
-    via = req.join(pairs, req["_rs"] == pairs["a"]).selectExpr("feature", "b")
+    via = req.join(pairs, req["_rs"] == pairs["a"]).selectExpr("feature", "_rn", "b")
     alias = via.join(cat, via["b"] == cat["_cs"]).selectExpr(
-        "feature", "column_name", f"{fixed.ALIAS_SCORE!r} AS score")
-    parts = [exact, alias]
+        "feature", "column_name", "_rn", "_cn", "2 AS _kind")
+    u = exact.unionByName(alias)
     if max_edits > 0:
         rv = req.selectExpr("feature", "_rn", f"explode({deletion_variants_sql('_rn', max_edits)}) AS _v")
         cv = cat.selectExpr("column_name", "_cn",
                             f"explode({deletion_variants_sql('_cn', max_edits)}) AS _v")
-        near = (rv.join(cv, "_v").select("feature", "column_name", "_rn", "_cn").distinct()
-                .selectExpr("feature", "column_name", "levenshtein(_rn, _cn) AS _lev",
-                            "greatest(length(_rn), length(_cn), 1) AS _len")
-                .where(f"_lev <= {int(max_edits)}")
-                .selectExpr("feature", "column_name",
-                            f"least({fixed.FUZZY_CAP!r}, 1.0D - _lev / _len) AS score"))
-        parts.append(near)
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy("feature", "column_name").agg(F.expr("max(score) AS score"))
+        u = u.unionByName(rv.join(cv, "_v").selectExpr("feature", "column_name", "_rn", "_cn",
+                                                        "3 AS _kind"))
+    per_pair = u.groupBy("feature", "column_name").agg(
+        F.expr("min(_kind) AS _k"), F.expr("first(_rn) AS _rn"), F.expr("first(_cn) AS _cn"))
+    score = (f"CASE _k WHEN 1 THEN {fixed.EXACT_SCORE!r} WHEN 2 THEN {fixed.ALIAS_SCORE!r} "
+             f"ELSE CASE WHEN levenshtein(_rn, _cn) <= {int(max_edits)} THEN least({fixed.FUZZY_CAP!r}, "
+             "1.0D - levenshtein(_rn, _cn) / greatest(length(_rn), length(_cn), 1)) END END")
+    return per_pair.selectExpr("feature", "column_name", f"{score} AS score").where("score IS NOT NULL")
 
 
 def top_candidates(cands: DataFrame, top_n: int = fixed.TOP_N_SCORES) -> DataFrame:
