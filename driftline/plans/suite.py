@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions.text import extract_json_block
-from ..functions.timeparse import format_time, parse_mixed_timestamp
+from ..functions.timeparse import parse_mixed_timestamp
 from ..operators import discovery, drift, features, incremental, matching
 from ..session import materialize, scratch_dir
 from ..sources import payload as payload_src
@@ -46,16 +46,18 @@ def normalize_double(name: str):
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Timestamps -> text, doubles -> rounded (for order-free comparison)."""
+    """Timestamps -> text, doubles -> rounded (for order-free comparison).
+    One ``selectExpr`` call: the whole projection is parsed on the JVM side."""
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = format_time(c, fixed.FMT_ISO)
+            out.append(f"date_format({c}, '{fixed.FMT_ISO}') AS {c}")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = normalize_double(f.name)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            out.append(f"{_magnitude_round_sql(c)} AS {c}")
+        else:
+            out.append(c)
+    return df.selectExpr(*out)
 
 
 def q(name: str) -> str:
