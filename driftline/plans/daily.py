@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .. import fixed
 from ..operators import discovery as disc
 from ..operators import drift, features, incremental, matching
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import payload, sinks, tables
 
 
@@ -80,7 +80,9 @@ def update_feature_table(spark: SparkSession, raw_path: str, feature_path: str,
                             time_formats=fixed.FMT_ISO, on_bad="fail")
     prev = tables.load_or_empty(spark, feature_path, feature_schema(),
                                 time_formats=fixed.FMT_DAY_FIRST, on_bad="fail")
-    new = incremental.new_rows(raw, prev, keys=keys)
+    # the anti-join reads the whole raw table and the feature table's keys:
+    # run it once and keep the (small) result in the shared folder
+    new = materialize(incremental.new_rows(raw, prev, keys=keys), "new-rows")
     if not incremental.has_rows(new):
         return {"new_rows": 0}
     feats = features.build_features(new, history=prev, keys=keys)
