@@ -49,15 +49,24 @@ def _swap(spark, df: DataFrame, path: str, **kw) -> None:
 
 
 def ingest_day(spark: SparkSession, pollutant_path: str, weather_path: str, raw_path: str,
-               keys: Sequence[str] = ()) -> dict:
+               keys: Sequence[str] = (), mode: str = "rewrite") -> dict:
     """Append one day of payloads to the raw table; existing hours win.
 
-    Raises (before writing) when the merge would lose rows or the existing
-    table cannot be read.
+    ``mode="rewrite"`` (the original's behaviour): union, keep first, guards,
+    sorted full rewrite of a CSV table through a staged swap. Raises before
+    writing when the merge would lose rows or the table cannot be read.
+    ``mode="append"``: a Parquet table partitioned by date; only hours not yet
+    present are appended (anti-join against the partitions of the batch's
+    dates), so the daily cost follows the day, not the table, and a re-run
+    appends nothing.
     """
     pol = payload.read_hourly_payload(spark, pollutant_path, fixed.POLLUTANT_FIELDS)
     wea = payload.read_hourly_payload(spark, weather_path, fixed.WEATHER_FIELDS)
     merged = incremental.join_on_time(pol, wea, keys=keys)
+    if mode == "append":
+        from ..streaming.landing import append_new_hours
+        cols = [F.col(f"`{c}`") for c in [*keys, *fixed.RAW_COLUMNS]]
+        return {"rows_added": append_new_hours(merged.select(*cols), raw_path, keys=keys)}
     existing = tables.load_or_empty(spark, raw_path, tables.raw_schema(),
                                     time_formats=fixed.FMT_ISO, on_bad="null")
     combined = incremental.upsert(existing, merged, keys=keys, keep="first") \

@@ -76,3 +76,15 @@ def test_discovery_job(spark, tmp_dir):
     assert d["relative_humidity_at_10m"]["final_status"] == "already_exists"
     assert d["pm25"]["final_status"] == "already_exists" and d["pm25"]["mapped_to"] == "pm2_5"
     assert d["wind_direction"]["final_status"] == "found" and d["wind_direction"]["search_attempts"] == 1
+
+
+def test_ingest_append_mode(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw_parquet")
+    d1, d2 = dt.date(2025, 9, 20), dt.date(2025, 9, 21)
+    assert daily.ingest_day(spark, *_payloads(tmp_dir, d1, 1), raw, mode="append")["rows_added"] == 24
+    assert daily.ingest_day(spark, *_payloads(tmp_dir, d2, 2, gap=5), raw, mode="append")["rows_added"] == 23
+    # a replay appends only the missing hour; a second replay appends nothing
+    assert daily.ingest_day(spark, *_payloads(tmp_dir, d2, 9), raw, mode="append")["rows_added"] == 1
+    assert daily.ingest_day(spark, *_payloads(tmp_dir, d2, 9), raw, mode="append")["rows_added"] == 0
+    df = spark.read.parquet(raw)
+    assert df.count() == 48 and df.select("datetime").distinct().count() == 48
