@@ -174,3 +174,17 @@ def test_nested_report(spark):
     assert len(n["detailed_analysis"]["drift_metrics"]) == 44
     sig = n["detailed_analysis"]["significant_drifts"]
     assert len(sig) == 36 and sig[0]["feature"] == "temp_C" and sig[-1]["feature"].startswith("scaled_temp_C")
+
+
+def test_keyed_ks_ranges_equal_plain(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    fl = drift.split_periods(li, "l_shipdate", keys=["l_returnflag"], scope="key")
+    lv = drift.long_values(fl, ["l_quantity", "l_extendedprice"], ["l_returnflag"])
+
+    def ks(vb):
+        return {(r["l_returnflag"], r["feature"]): r["ks_statistic"]
+                for r in drift.ks_statistic(lv, ["l_returnflag"], value_buckets=vb).collect()}
+    plain = ks(1)
+    ranged = ks(8)
+    assert plain.keys() == ranged.keys() and len(plain) == 6
+    assert all(abs(plain[k] - ranged[k]) < 1e-12 for k in plain)
