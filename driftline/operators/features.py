@@ -145,10 +145,6 @@ def select_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.SELECTED_CO
     return df.select(*[F.col(f"`{c}`") for c in cols])
 
 
-def feature_columns(df: DataFrame) -> list[str]:
-    return list(df.columns)
-
-
 def build_features(new_rows: DataFrame, history: DataFrame | None = None,
                    keys: Sequence[str] = (), time_col: str = fixed.TIME_COL,
                    lag_method: str = "auto", lag_bucket: str | float | None = None) -> DataFrame:

@@ -41,10 +41,6 @@ def _magnitude_round_sql(x: str) -> str:
             f"ELSE {x} END + 0.0")
 
 
-def normalize_double(name: str):
-    return F.expr(_magnitude_round_sql(f"`{name}`"))
-
-
 def finish(df: DataFrame) -> DataFrame:
     """Timestamps -> text, doubles -> rounded (for order-free comparison).
     One ``selectExpr`` call: the whole projection is parsed on the JVM side."""
@@ -65,7 +61,7 @@ def q(name: str) -> str:
 
 
 def r6(expr: str, alias: str | None = None) -> str:
-    """SQL twin of ``normalize_double``."""
+    """DuckDB twin of ``_magnitude_round_sql`` (same thresholds, C ``round``)."""
     e = f"({expr})"
     return (f"CASE WHEN abs({e}) < 1e3 THEN round({e}, 6) WHEN abs({e}) < 1e6 THEN round({e}, 3) "
             f"WHEN abs({e}) < 1e12 THEN round({e}, 0) WHEN abs({e}) < 1e18 THEN round({e} / 1e6, 0) * 1e6 "
