@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -46,35 +45,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh folder under the cluster's shared checkpoint directory.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor shares, as named by ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; it is read
-    from the session and only set here when it is unset (local runs, tests).
-    Every call returns a new sub-folder, so concurrent jobs never collide.
+    It is read from the session. Only a local session, where driver and
+    executors are one process, may do without it: then a temporary folder is
+    set. On any other master an unset folder is an error, because a
+    machine-local folder would be lost with its machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="driftline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+    return base.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``SparkContext.checkpoint`` has a directory (same rule as above)."""
-    cur = spark.sparkContext.getCheckpointDir()
-    if cur:
-        return cur
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="driftline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-    return base
+def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
+    """A fresh sub-folder of the shared folder; concurrent jobs never collide."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that nothing will read again."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df, name: str = "stage", fmt: str = "parquet"):
