@@ -49,3 +49,18 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Iterat
     if batch.num_rows > start:
         yield start, batch.num_rows
 
+
+
+def join_by_size(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int) -> DataFrame:
+    """``left`` inner-joined to ``right``, which has one row per key and in ``rows`` how many rows of
+    ``left`` its key has (``total`` in all).
+
+    A key may have a third of all rows. At most 4 * partitions keys have more than
+    total / (4 * partitions) rows; these are broadcast, all others are joined by a shuffle.
+    """
+    limit = max(1, total // (4 * shuffle_partitions(left.sparkSession)))
+    often = F.broadcast(right.where(F.col(rows) > limit).withColumn("__often", F.lit(True)))
+    marked = left.join(often, keys, "left")
+    rest = marked.where(F.col("__often").isNull()).select(*left.columns)
+    return marked.where("__often").drop("__often").unionByName(
+        rest.join(right.where(F.col(rows) <= limit), keys))

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WS, scratch_dir, shuffle_partitions, text_or_empty
+from .common import WS, join_by_size, scratch_dir, shuffle_partitions, text_or_empty
 
 MIN_CHARS = 10
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -99,7 +99,6 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
     docs = docs.select(*[text_or_empty(c).alias(c) if c == text_col else docs[c] for c in docs.columns])
     own = docs.columns
     lines = F.split(F.col(text_col), "\n", -1)
-    n = shuffle_partitions(spark)
 
     # Distinct (id, hash) pairs by batch, batches cut at quantiles of the id.
     cuts = docs.approxQuantile(id_col, [i / batches for i in range(1, batches)], 0.01)
@@ -133,15 +132,7 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
     drops = spark.read.schema(f"h string, __first {kind}, __new boolean, __n long, __batch int") \
         .parquet(f"{drops_dir}/drops")
 
-    # A line may be in a third of all documents. At most 4 * partitions hashes have over
-    # pairs / (4 * partitions) pairs, so these may be broadcast; the others are joined by a shuffle.
-    limit = max(1, pairs.count() // (4 * n))
-    hot = F.col("__n") > limit
-    often = F.broadcast(drops.where(hot).withColumn("__hot", F.lit(True)))
-    marked = pairs.join(often, ["h", "__batch"], "left")
-    marked = marked.where("__hot").unionByName(
-        marked.where("__hot IS NULL").select("__id", "h", "__batch").join(drops.where(~hot), ["h", "__batch"]),
-        allowMissingColumns=True)
+    marked = join_by_size(pairs, drops, ["h", "__batch"], "__n", pairs.count())
     goes = ~F.col("__new") | F.col("__id").isNull() & F.col("__first").isNotNull() | (F.col("__id") > F.col("__first"))
     gone = marked.where(goes).groupBy(F.col("__id").alias("__gone")).agg(F.collect_set("h").alias("__hashes"))
 

@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import materialize, shuffle_partitions, text_or_empty
 
 #: Weights of the sources in code point order (null last), repeating.
 WEIGHTS = (3, 1, 2)
 #: Words of the mix as a share of all words, and times a source may be repeated.
 TOTAL, MOST = 1.5, 2
-#: Documents that one range of keys holds on average.
+#: Most documents that one range of keys holds on average.
 RANGE_ROWS = 20_000
 
 
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
         n_words(text_col).alias("size"),
         F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("__key")),
         "mix-sizes")
-    ranges = max(1, rows.count() // RANGE_ROWS)
+    ranges = max(2 * shuffle_partitions(docs.sparkSession), rows.count() // RANGE_ROWS)
     place = F.conv(F.substring("__key", 1, 8), 16, 10).cast("bigint")
     # null sources get a name that no other source can have
     rows = rows.withColumn("__name", F.coalesce(F.concat(F.lit("s"), F.col("__source")), F.lit(""))) \
