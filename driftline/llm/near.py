@@ -10,7 +10,10 @@
    neighbour and with those of its own deeper region.
 3. The signatures' agreement drops candidates that are far from the limit. The
    best candidate of every class is checked on the full sets, and so is every
-   other one whose classes aren't connected yet. The components are the result.
+   other one whose classes aren't connected yet.
+4. In a region with more classes than neighbours reach, classes outside the
+   region's main component are compared with all of that component, and with
+   each other, on the full sets, block by block. Then the components are final.
 
 A tree's region may hold a third of all classes: the trees are range-partitioned
 over whole prefixes and the class, so a region spreads over many tasks, and a
@@ -36,6 +39,8 @@ WORDS = 5
 VALUES, TREES = 128, 32
 #: Neighbours on each side that a class is paired with at most in one tree.
 NEIGHBOURS = 8
+#: Classes in one block of the comparison inside crowded regions.
+BLOCK = 2048
 #: Candidates are checked on full sets if this share of their signatures agrees. At a true
 #: similarity of 0.75 the share's standard deviation is 0.038, so a link is lost once in 10^5.
 AGREEMENT = 0.59
@@ -126,7 +131,8 @@ def _runs(same: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs from rows in the order of (tree, p1, p2, p3, node)."""
+    """From rows in the order of (tree, p1, p2, p3, node): candidate pairs (a, b), and (a, tree, p1)
+    for each row of a crowded region. What partitions cut apart, other trees have together."""
     carried: list[np.ndarray] | None = None
     for table in _gathered(batches, 200_000):
         columns = [table.column(i).to_numpy() for i in range(5)]
@@ -154,11 +160,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = at[at >= old]
             if len(at):
                 pairs.append(np.stack([node[at], node[at - lag]]))
-        carried = [c[-NEIGHBOURS:] for c in columns]
+        names = ["a", "b", "tree", "p1"]
         if pairs:
             both = np.concatenate(pairs, axis=1)
             both = np.unique(np.sort(both, axis=0), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([
+                pa.array(both[0]), pa.array(both[1]), pa.nulls(both.shape[1], pa.int32()),
+                pa.nulls(both.shape[1], pa.int64())], names=names)
+        crowd = np.flatnonzero(r4 > small)
+        crowd = crowd[crowd >= old]
+        if len(crowd):
+            yield pa.RecordBatch.from_arrays([
+                pa.array(node[crowd]), pa.nulls(len(crowd), pa.int64()), pa.array(tree[crowd]), pa.array(p1[crowd])],
+                names=names)
+        carried = [c[-NEIGHBOURS:] for c in columns]
 
 
 def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
@@ -212,6 +227,80 @@ def _linked(similarity: float):
     return run
 
 
+def _compared(similarity: float):
+    percent = round(similarity * 100)
+
+    def run(open_: pa.Table, members: pa.Table) -> pa.Table:
+        """Links of each open class to the block's classes of other components, one for each component."""
+        out: list[tuple[int, int]] = []
+        if open_.num_rows and members.num_rows:
+            sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in members["members"].combine_chunks()]
+            sizes = np.array([len(x) for x in sets])
+            known, place = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.cumsum(sizes) - sizes
+            nodes, of = members["node"].to_numpy(), members["component"].to_numpy()
+            mask = np.zeros(len(known), dtype=np.int64)
+            for node, component, x in zip(open_["node"].to_pylist(), open_["component"].to_pylist(),
+                                          open_["members"].combine_chunks()):
+                x = np.frombuffer(x.as_buffer(), dtype=np.uint64)
+                at = np.minimum(np.searchsorted(known, x), len(known) - 1)
+                at = at[known[at] == x]
+                mask[at] = 1
+                both = np.add.reduceat(mask[place], starts)
+                mask[at] = 0
+                good = np.flatnonzero((100 * both >= percent * (len(x) + sizes - both)) & (of != component))
+                _, first = np.unique(of[good], return_index=True)
+                out += [(node, int(nodes[i])) for i in good[first]]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def crowded_links(crowd: DataFrame, near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) inside crowded regions that neighbours alone may miss.
+
+    ``crowd``: (tree, p1, node) of such regions; ``near``: (node, component);
+    ``sets``: (node, members). Classes that aren't in their region's main
+    component are open; they are compared with that component's classes and with
+    the other open classes of it, in blocks of ``BLOCK`` by ``BLOCK``.
+    """
+    labelled = crowd.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counts = labelled.groupBy("tree", "p1", "component").agg(F.count(F.lit(1)).alias("n"))
+    mains = counts.groupBy("tree", "p1").agg(F.max(F.struct("n", "component")).alias("main")) \
+        .select("tree", "p1", F.col("main.component").alias("main"))
+    open_ = materialize(labelled.join(mains, ["tree", "p1"]).where("component <> main")
+                        .select("node", "component", "main").distinct(), "open")
+    owners = open_.groupBy("main").agg(F.count(F.lit(1)).alias("n_open"))
+    every = near.select("node", "component").withColumn("main", F.col("component")).unionAll(
+        open_.select("node", "component", "main"))
+    # a main component of one class has no row in near
+    alone = owners.join(near.select(F.col("component").alias("main")).distinct(), "main", "left_anti")
+    every = every.unionAll(alone.select(F.col("main").alias("node"), F.col("main").alias("component"), "main"))
+    sizes = every.join(owners, "main").groupBy("main").agg(
+        F.count(F.lit(1)).alias("n"), F.first("n_open").alias("n_open"))
+    blocks = sizes.select("main", F.ceil(F.col("n") / BLOCK).alias("m_blocks"),
+                          F.ceil(F.col("n_open") / BLOCK).alias("o_blocks"))
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Each row to its own block, against all blocks of the other side."""
+        # new names, as both sides come from the same tables
+        return rows.join(blocks, "main").join(sets, "node").select(
+            *[F.col(c).alias(c) for c in ("main", "node", "component", "members")],
+            F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).alias(f"{own}_block"),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"))
+
+    grid = ["main", "m_block", "o_block"]
+    left = dealt(open_, "o", "m").groupBy(*grid)
+    right = dealt(every, "m", "o").groupBy(*grid)
+    return left.cogroup(right).applyInArrow(_compared(similarity), "a long, b long")
+
+
+def component_of(edges: DataFrame, near: DataFrame, end: str) -> DataFrame:
+    """``edges`` with the component of one end, the end itself where it has no row in ``near``."""
+    own = near.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
+    return edges.join(own, end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, kept.
@@ -239,7 +328,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
     forest = arrow_map(classes.select("node", "__signature"), _ordered,
                        "tree int, p1 long, p2 long, p3 long, node long") \
         .repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
-    pairs = arrow_map(forest, _neighbours, "a long, b long").distinct()
+    found = materialize(arrow_map(forest, _neighbours, "a long, b long, tree int, p1 long"), "forest")
+    pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
+    crowd = found.where("b IS NULL").select("tree", "p1", F.col("a").alias("node"))
 
     # The low byte of each value is enough to compare signatures.
     short = classes.select("node", F.unhex(F.regexp_replace(F.hex("__signature"), "(..)..", "$1")).alias("s"))
@@ -248,7 +339,8 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
         .join(short.select(F.col("node").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y"),
         _agreement, "a long, b long, share double"), "candidates")
 
-    ends = candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))).distinct()
+    ends = candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))) \
+        .unionAll(crowd.select("node")).distinct()
     wanted = classes.join(ends, "node").select("node", "__set", "__first")
     sets = materialize(arrow_map(
         wanted.join(texts, wanted["__first"].eqNullSafe(texts["__id"])).select("node", "__set", "__text"),
@@ -266,22 +358,26 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
         .select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
     near = materialize(components(confirmed(best)), "near")
 
-    def component_of(edges: DataFrame, end: str) -> DataFrame:
-        own = near.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
-        return edges.join(own, end, "left").withColumn(f"{end}_in", F.coalesce(f"{end}_in", end))
-
-    apart = component_of(component_of(candidates.select("a", "b"), "a"), "b").where("a_in <> b_in")
-    links = component_of(component_of(confirmed(apart), "a"), "b")
-    more = materialize(components(links.select(F.col("a_in").alias("a"), F.col("b_in").alias("b"))), "far")
-
+    def merged(links: DataFrame, before: DataFrame) -> DataFrame:
+        """Components after ``links`` join some of the components ``before``."""
+        ends = component_of(component_of(links, before, "a"), before, "b")
+        joined = components(ends.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
+        joined = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        # classes that were alone have no row before
+        return materialize(
+            before.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+            .unionAll(joined.join(before, joined["component"] == before["node"], "left_anti")
+                      .select(F.col("component").alias("node"), F.col("joined").alias("component"))), "components")
+
+    apart = component_of(component_of(candidates.select("a", "b"), near, "a"), near, "b").where("a_in <> b_in")
+    near = merged(confirmed(apart), near)
+    near = merged(materialize(crowded_links(crowd, near, sets, similarity), "crowded-links"), near)
     labelled = classes.select("node", "__set", "__first", "__rows").join(near, "node", "left") \
-        .withColumn("component", F.coalesce("component", "node")) \
-        .join(more.select(F.col("node").alias("component"), F.col("component").alias("joined")), "component", "left") \
-        .withColumn("component", F.coalesce("joined", "component"))
+        .withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("__first").alias("component_id"))
-    of_set = materialize(labelled.join(least, "component").select("__set", "component_id", "__rows"), "components")
-    found = join_by_size(rows.select("__id", "n_shingles", "__set"), of_set, ["__set"], "__rows", rows.count())
-    found = found.select("__id", "n_shingles", "component_id").unionAll(
+    of_set = materialize(labelled.join(least, "component").select("__set", "component_id", "__rows"), "set-components")
+    result = join_by_size(rows.select("__id", "n_shingles", "__set"), of_set, ["__set"], "__rows", rows.count())
+    result = result.select("__id", "n_shingles", "component_id").unionAll(
         rows.where("__set IS NULL").select("__id", "n_shingles", F.col("__id").alias("component_id")))
-    return found.select(F.col("__id").alias(id_col), "n_shingles", "component_id",
+    return result.select(F.col("__id").alias(id_col), "n_shingles", "component_id",
                         F.col("__id").eqNullSafe(F.col("component_id")).alias("kept"))

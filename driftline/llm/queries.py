@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, counts, exact, html, lines, mixing, packing, quality, tokens
+from . import chat, counts, exact, html, lines, mixing, near, packing, quality, tokens
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,6 +27,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_html(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
@@ -60,8 +64,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_quality_rules, op3_line_dedup, op5_html_extraction, op6_source_mixing, op7_packing,
-    op8_chat_formatting, op9_token_counts)}
+    op1_exact_dedup, op2_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op5_html_extraction,
+    op6_source_mixing, op7_packing, op8_chat_formatting, op9_token_counts)}
 
 WS = r"[\x20\x09-\x0D]"
 
