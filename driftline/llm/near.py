@@ -140,22 +140,20 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if carried is not None:
             old = len(carried[0])
             columns = [np.concatenate(x) for x in zip(carried, columns)]
-        tree, p1, p2, p3, node = columns
+        tree, p1, p2, _, node = columns
         four = np.r_[False, (tree[1:] == tree[:-1]) & (p1[1:] == p1[:-1])]
         eight = four & np.r_[False, p2[1:] == p2[:-1]]
-        twelve = eight & np.r_[False, p3[1:] == p3[:-1]]
         small = NEIGHBOURS + 1
         r4, r8 = _runs(four), _runs(eight)
         pairs = []
-        in4, in8, in12 = four.copy(), eight.copy(), twelve.copy()
+        in4, in8 = four.copy(), eight.copy()
         for lag in range(1, NEIGHBOURS + 1):
             if lag > 1:  # all rows in between share the prefix
                 shift = lag - 1
                 in4[shift:] &= four[:-shift]
                 in8[shift:] &= eight[:-shift]
-                in12[shift:] &= twelve[:-shift]
-                in4[:shift] = in8[:shift] = in12[:shift] = False
-            take = in4 & (r4 <= small) | in8 & (r8 <= small) | in12 | (in4 if lag == 1 else False)
+                in4[:shift] = in8[:shift] = False
+            take = in4 & (r4 <= small) | in8 & (r8 <= small) | (in4 if lag == 1 else False)
             at = np.flatnonzero(take)
             at = at[at >= old]
             if len(at):

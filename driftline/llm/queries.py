@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, counts, exact, html, lines, mixing, near, packing, quality, tokens
+from . import chat, counts, exact, html, lines, mixing, near, packing, pii, quality, tokens
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -63,9 +63,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(table(spark, sf_dir, "documents"), tokens.default_path(VOCABULARY))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[pii.number_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op5_html_extraction,
-    op6_source_mixing, op7_packing, op8_chat_formatting, op9_token_counts)}
+    op6_source_mixing, op7_packing, op8_chat_formatting, op9_token_counts, op10_pii)}
 
 WS = r"[\x20\x09-\x0D]"
 
