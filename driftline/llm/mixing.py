@@ -58,8 +58,8 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """One row per input row: ``id_col``, size, source_size, target, taken (words).
+        source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``id_col``, size, source_size, target, taken (words), and the columns ``carry``.
 
     Null texts have no words; null sources form one source, the last. Rows that
     repeat an id share its key and are ordered by size. A source without words
@@ -68,7 +68,7 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
     """
     rows = materialize(docs.select(
         F.col(id_col).alias("__id"), F.col(source_col).cast("string").alias("__source"),
-        n_words(text_col).alias("size"),
+        n_words(text_col).alias("size"), F.struct(*carry).alias("__carried") if carry else F.lit(0).alias("__carried"),
         F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("__key")),
         "mix-sizes")
     ranges = max(2 * shuffle_partitions(docs.sparkSession), rows.count() // RANGE_ROWS)
@@ -94,4 +94,21 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("bigint"), F.col("__rest") - start))
     return rows.join(offsets, ["__name", "__range"]).select(
         F.col("__id").alias(id_col), "size", "source_size", "target",
-        (F.col("__epochs") * F.col("size") + part).cast("bigint").alias("taken"))
+        (F.col("__epochs") * F.col("size") + part).cast("bigint").alias("taken"),
+        *[F.col(f"__carried.`{c}`").alias(c) for c in carry])
+
+
+def repeated(mixed: DataFrame, text_col: str = "text") -> DataFrame:
+    """The mix itself: each row of ``mixed`` as often as it is taken whole, and its first words for the rest.
+
+    ``mixed``: the result of ``mix`` with ``text_col`` carried. Rows that aren't taken, and those without
+    words, go.
+    """
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    # possessive, so that many words need no stack
+    first_words = F.regexp_substr(F.col(text_col), F.concat(
+        F.lit("^(?:[ \\t-\\r]*+[^ \\t-\\r]++){"), rest.cast("string"), F.lit("}+")))
+    copies = F.concat(F.array_repeat(F.col(text_col), F.expr("cast(taken div size as int)")),
+                      F.when(rest > 0, F.array(first_words)).otherwise(F.expr("cast(array() as array<string>)")))
+    others = [c for c in mixed.columns if c != text_col]
+    return mixed.where("taken > 0").select(*others, F.explode(copies).alias(text_col))
