@@ -40,7 +40,7 @@ VALUES, TREES = 128, 32
 #: Neighbours on each side that a class is paired with at most in one tree.
 NEIGHBOURS = 8
 #: Classes in one block of the comparison inside crowded regions.
-BLOCK = 2048
+BLOCK = 512
 #: Candidates are checked on full sets if this share of their signatures agrees. At a true
 #: similarity of 0.75 the share's standard deviation is 0.038, so a link is lost once in 10^5.
 AGREEMENT = 0.59
