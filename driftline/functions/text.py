@@ -16,14 +16,14 @@ def normalize_name_sql(x: str, suffixes=tuple(fixed.NAME_SUFFIXES)) -> str:
     """SQL text of ``normalize_name`` for an expression ``x`` (one JVM call
     when used through ``F.expr``/``selectExpr``)."""
     alt = "|".join(suffixes)
-    return (f"regexp_replace(regexp_replace(regexp_replace(lower({x}), '[^a-z0-9]+', '_'), "
+    return (f"regexp_replace(regexp_replace(regexp_replace(lower({x}), '[^\\\\p{{L}}\\\\p{{N}}]+', '_'), "
             f"'^_+|_+$', ''), '_({alt})$', '')")
 
 
 def normalize_name(c, suffixes=tuple(fixed.NAME_SUFFIXES)) -> Column:
     """lower, non-alphanumerics -> ``_``, trim ``_``, drop one trailing suffix word."""
     s = F.lower(_col(c))
-    s = F.regexp_replace(s, r"[^a-z0-9]+", "_")
+    s = F.regexp_replace(s, r"[^\p{L}\p{N}]+", "_")
     s = F.regexp_replace(s, r"^_+|_+$", "")
     alt = "|".join(suffixes)
     return F.regexp_replace(s, rf"_({alt})$", "")

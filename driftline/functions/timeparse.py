@@ -75,6 +75,22 @@ def parse_mixed_timestamp(c, formats: Sequence[str] = tuple(fixed.MIXED_FORMATS)
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
+def scalar(df, value: Column) -> Column | None:
+    """The one value of an aggregate as a literal of its own type; None if it is NULL.
+
+    The value travels as text (microseconds for zoned timestamps), so neither the
+    driver's nor the session's clock zone can shift it, and as a literal it
+    reaches the scan's filters.
+    """
+    one = df.agg(value.alias("v"))
+    kind = one.schema["v"].dataType.simpleString()
+    if kind == "timestamp":
+        v = one.select(F.unix_micros("v").alias("v")).first()["v"]
+        return None if v is None else F.timestamp_micros(F.lit(v))
+    v = one.select(F.col("v").cast("string").alias("v")).first()["v"]
+    return None if v is None else F.lit(v).cast(kind)
+
+
 def format_time(c, fmt: str = fixed.FMT_ISO) -> Column:
     return F.date_format(_col(c), fmt)
 

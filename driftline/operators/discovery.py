@@ -207,29 +207,19 @@ def remaining(requested: DataFrame, processed: DataFrame, key: str = "feature")
     return requested.join(p, requested[key].eqNullSafe(p["_dl_key"]), "left_anti")
 
 
-MAX_REPORT_FEATURES = 100_000
+def disposition_report(disp: DataFrame) -> DataFrame:
+    """The report's result lists as rows: ``category`` and one entry per feature, of any number.
 
+    The one-object file of the original would need all features in one row; here a
+    list is the rows of one category (``sinks.write_disposition_report``).
+    """
+    return categorize(disp).select(
+        "category", "original_feature", F.col("report_confidence").alias("confidence"),
+        F.col("reason").alias("reasoning"), "mapped_to", "similarity_scores", "api_details",
+        "search_attempts", "suggested_alternatives")
 
-def disposition_report(disp: DataFrame, max_features: int = MAX_REPORT_FEATURES) -> DataFrame:
-    """Nested report: one row, three result lists (the original's file format).
 
-    The lists hold one entry per requested feature in ONE row, so the size is
-    checked first; above ``max_features`` write the ``dispositions`` table
-    itself (one JSON line per feature) instead.
-    """
-    n = disp.count()
-    if n > max_features:
-        raise ValueError(f"{n} features is too many for one report row; "
-                         "write the dispositions table instead")
-    c = categorize(disp)
-    entry = F.struct("original_feature", F.col("report_confidence").alias("confidence"),
-                     F.col("reason").alias("reasoning"), "mapped_to", "similarity_scores",
-                     "api_details", "search_attempts", "suggested_alternatives")
-    lists = c.groupBy().agg(*[
-        F.collect_list(F.when(F.col("category") == cat, entry)).alias(cat)
-        for cat in (fixed.CATEGORY_EXISTING, fixed.CATEGORY_NEW, fixed.CATEGORY_NOT_FOUND)])
-    summary = disposition_summary(disp)
-    return summary.crossJoin(lists).select(
-        F.struct(*summary.columns).alias("processing_summary"),
-        F.struct(fixed.CATEGORY_EXISTING, fixed.CATEGORY_NEW, fixed.CATEGORY_NOT_FOUND)
-        .alias("results"))
+def report_metadata(disp: DataFrame, catalog: DataFrame, run_at: str) -> DataFrame:
+    """One row: the summary counts and rates, the catalog's column count and the run's time."""
+    columns = catalog.agg(F.count(F.lit(1)).alias("total_columns"))
+    return disposition_summary(disp).crossJoin(columns).withColumn("run_at", F.lit(run_at))

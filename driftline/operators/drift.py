@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.numeric import relative_shift
-from ..functions.timeparse import shift_days
+from ..functions.timeparse import scalar, shift_days
+from .incremental import join_keys
 from .sizing import ranges_for
 
 RECENT = "is_recent"
@@ -44,9 +45,8 @@ def period_end(df: DataFrame, time_col: str):
 
 
 def period_stats(df: DataFrame, time_col: str):
-    """(max time, row count) in one small job over the time column."""
-    r = df.agg(F.max(time_col).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    return r["m"], int(r["n"])
+    """(max time as a literal Column or None, row count): small jobs over the time column."""
+    return scalar(df, F.max(time_col)), df.count()
 
 
 def split_periods(df: DataFrame, time_col: str, recent_days: int = fixed.RECENT_DAYS,
@@ -66,11 +66,11 @@ def split_periods(df: DataFrame, time_col: str, recent_days: int = fixed.RECENT_
             end = period_end(df, time_col)
         if end is None:
             return df.withColumn(RECENT, F.lit(False)).withColumn(BASELINE, F.lit(False)).limit(0)
-        e = F.lit(end)
+        e = end if isinstance(end, Column) else F.lit(end)
         x = df
     else:
         ends = df.groupBy(*keys).agg(F.max(time_col).alias("_dl_end"))
-        x = df.join(ends, on=list(keys), how="inner")
+        x = join_keys(df, ends, keys, "inner")
         e = F.col("_dl_end")
     r_start = shift_days(e, recent_days)
     b_start = shift_days(r_start, baseline_days)
@@ -134,15 +134,14 @@ def _value_counts(long_df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: int = 32,
-                 accuracy: int = 10000, bounded_groups: bool | None = None) -> DataFrame:
+                 accuracy: int = 10000) -> DataFrame:
     """Two-sample KS distance ``max |F_recent(v) - F_baseline(v)|`` per
     ``(keys, feature)``, exact (p-value not computed).
 
     ``value_buckets`` ordered value ranges per feature (from approximate
     quantiles of the distinct values) bound the size of any one window task;
     1 means one window per feature. Range edges only affect balance, never the
-    result. ``bounded_groups`` says the ``(keys, feature)`` list is small (no
-    keys: one row per feature), so the range edges are broadcast.
+    result. NULL keys are a series of their own.
     """
     keys = list(keys)
     grp = [*keys, "feature"]
@@ -155,13 +154,10 @@ def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: in
                             F.try_divide(F.sum("c_b").over(w_run), F.sum("c_b").over(w_all)).alias("f_b"))
         return cdf.groupBy(*grp).agg(F.max(F.abs(F.col("f_r") - F.col("f_b"))).alias("ks_statistic"))
 
-    if bounded_groups is None:
-        bounded_groups = not keys
     probs = [i / value_buckets for i in range(1, value_buckets)]
     edges = counts.groupBy(*grp).agg(
         F.percentile_approx("value", probs, accuracy).alias("_dl_edges"))
-    edges = F.broadcast(edges) if bounded_groups else edges
-    bucketed = counts.join(edges, on=grp, how="inner").withColumn(
+    bucketed = join_keys(counts, edges, grp, "inner").withColumn(
         "_dl_vb", F.size(F.filter("_dl_edges", lambda e: e < F.col("value")))).drop("_dl_edges")
     # per-range totals -> running offsets per feature (tiny: ranges x features)
     tot = bucketed.groupBy(*grp, "_dl_vb").agg(F.sum("c_r").alias("t_r"), F.sum("c_b").alias("t_b"))
@@ -199,7 +195,7 @@ def drift_metrics(flagged: DataFrame, features: Sequence[str], keys: Sequence[st
     lv = long_values(flagged, features, keys)
     mom = drift_moments(lv, keys)
     ks = ks_statistic(lv, keys, value_buckets=value_buckets)
-    j = mom.join(ks, on=[*keys, "feature"], how="left")
+    j = join_keys(mom, ks, [*keys, "feature"], "left")
     empty = (F.col("n_recent") == 0) | (F.col("n_baseline") == 0)
     return j.withColumn("ks_statistic",
                         F.when(empty, F.lit(0.0)).otherwise(F.coalesce("ks_statistic", F.lit(0.0))))

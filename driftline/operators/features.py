@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..functions.timeparse import scalar
 from .ranking import POS, add_position, lag_by_position
+from .incremental import join_keys
 from .sizing import ROWS_PER_TASK, bucket_width, series_profile
 
 
@@ -71,7 +73,7 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
     keys = list(keys)
     stats = scaler_stats(fit_on if fit_on is not None else df, cols, keys)
     joined = df.crossJoin(F.broadcast(stats)) if not keys else \
-        df.join(stats, on=keys, how="left")
+        join_keys(df, stats, keys, "left")
     out = {f"{prefix}{c}": F.expr(f"({q(c)} - _m{i}) / _s{i}") for i, c in enumerate(cols)}
     helper = [f"_m{i}" for i in range(len(cols))] + [f"_s{i}" for i in range(len(cols))]
     return joined.withColumns(out).drop(*helper)
@@ -183,13 +185,13 @@ def lag_history(history: DataFrame, new_rows: DataFrame, keys: Sequence[str], ti
     keys = list(keys)
     t = F.col(time_col)
     if not keys:
-        first_new = new_rows.agg(F.min(time_col).alias("m")).first()["m"]
+        first_new = scalar(new_rows, F.min(time_col))
         if first_new is None:
             return history.limit(0)
-        before = history.filter(t < F.lit(first_new)).orderBy(t.desc()).limit(depth)
-        return before.unionByName(history.filter(t >= F.lit(first_new)))
+        before = history.filter(t < first_new).orderBy(t.desc()).limit(depth)
+        return before.unionByName(history.filter(t >= first_new))
     firsts = new_rows.groupBy(*keys).agg(F.min(time_col).alias("_dl_first"))
-    h = history.join(firsts, on=keys, how="inner")   # keys with no new rows drop out
+    h = join_keys(history, firsts, keys, "inner")   # keys with no new rows drop out
     w = Window.partitionBy(*keys).orderBy(t.desc())
     before = (h.filter(t < F.col("_dl_first")).withColumn("_dl_rn", F.row_number().over(w))
               .filter(F.col("_dl_rn") <= depth).drop("_dl_rn"))

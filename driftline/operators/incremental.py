@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..functions.timeparse import scalar
 
 
 def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
@@ -18,6 +19,16 @@ def _null_safe_on(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> Column:
     return cond
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL; the key columns of ``left`` stay."""
+    own = {k: f"_dl_key{i}" for i, k in enumerate(keys)}
+    cond = None
+    for k, r in own.items():
+        e = F.col(f"`{k}`").eqNullSafe(F.col(r))
+        cond = e if cond is None else cond & e
+    return left.join(right.withColumnsRenamed(own), cond, how).drop(*own.values())
+
+
 def join_on_time(a: DataFrame, b: DataFrame, keys: Sequence[str] = (),
                  time_col: str = fixed.TIME_COL, how: str = "inner") -> DataFrame:
     """Equi-join two tables on ``keys + [time_col]``; key columns appear once.
@@ -92,12 +103,12 @@ def dedup(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = (),
 
 
 def watermark(df: DataFrame, time_col: str = fixed.TIME_COL):
-    """Max time of a table as a Python value (one scalar, one-column scan).
+    """Max time of a table as a literal Column, None if it has none (one-column scan).
 
     Resolving it before filtering lets the filter reach the Parquet scan as a
     literal (row-group skipping), which a join against a computed max cannot.
     """
-    return df.agg(F.max(time_col).alias("m")).first()["m"]
+    return scalar(df, F.max(time_col))
 
 
 def rows_after_watermark(source: DataFrame, target: DataFrame,
@@ -112,7 +123,7 @@ def rows_after_watermark(source: DataFrame, target: DataFrame,
         m = watermark(target, time_col)
         if m is None:
             return source if bootstrap else source.limit(0)
-        return source.filter(F.col(time_col) > F.lit(m))
+        return source.filter(F.col(time_col) > m)
     mx = target.agg(F.max(time_col).alias("_dl_wm"))
     j = source.crossJoin(F.broadcast(mx))
     cond = F.col(time_col) > F.col("_dl_wm")

@@ -19,24 +19,9 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 4_000_000
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """(total rows, rows of the largest group) in one job."""
-    keys = list(keys)
-    if not keys:
-        n = df.count()
-        return n, n
-    r = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-         .agg(F.sum("n").alias("t"), F.max("n").alias("m")).first())
-    return int(r["t"] or 0), int(r["m"] or 0)
-
-
-def needs_split(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
-    return group_sizes(df, keys)[1] > rows_per_task
-
-
-def ranges_for(rows: int, rows_per_task: int = ROWS_PER_TASK, cap: int = 4096) -> int:
+def ranges_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
     """Number of ordered ranges so that each holds about ``rows_per_task``."""
-    return max(1, min(cap, math.ceil(rows / max(1, rows_per_task))))
+    return max(1, math.ceil(rows / max(1, rows_per_task)))
 
 
 def series_profile(df: DataFrame, keys: Sequence[str], order_col: str) -> dict:

@@ -140,9 +140,11 @@ def drift_analysis(spark: SparkSession, feature_path: str, out_path: str | None
 
 
 def discovery(spark: SparkSession, requested: DataFrame, table: DataFrame, attempt_log: DataFrame,
-              out_path: str | None = None) -> DataFrame:
+              out_path: str | None = None, run_at: str | None = None) -> DataFrame:
     """Dispositions for the requested features (``pos, feature``).
 
+    With ``out_path`` the report is written there; ``run_at`` is its time stamp.
+
     ``table`` only supplies its column names; ``attempt_log`` has one row per
     (feature, attempt) with the model's response text and the probe outcome.
     """
@@ -155,5 +157,6 @@ def discovery(spark: SparkSession, requested: DataFrame, table: DataFrame, attem
                           .withColumn("feature", F.col("original_feature")),
                           resolved, key="feature").drop("feature")
     if out_path:
-        sinks.write_report(disc.disposition_report(d).coalesce(1), out_path)
+        sinks.write_disposition_report(disc.disposition_report(d),
+                                       disc.report_metadata(d, catalog, run_at or ""), out_path)
     return d

@@ -48,28 +48,50 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
 
 
 def replace_table(spark, df: DataFrame, path: str, staging: str, **kw) -> str:
-    """Write ``df`` to ``staging``, then move it over ``path`` (the swap).
+    """Write ``df`` beside ``path``, then swap the two.
 
     Lets a job rewrite the table it read from, which Spark cannot do in place.
+    The new table is complete before anything moves; the old one is renamed
+    aside and deleted only once the new one has its place, and comes back if
+    that fails. All names are in one folder, so renames stay in one file system.
+    ``staging`` gives the name of the new table until then.
     """
+    staging = f"{path.rstrip('/')}._{staging.rstrip('/').rsplit('/', 1)[-1]}"
     write_table(df, staging, **kw)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(path)
     src = jvm.org.apache.hadoop.fs.Path(staging)
     fs = dst.getFileSystem(conf)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    if not fs.rename(src, dst):
-        raise IOError(f"could not move {staging} to {path}")
+    old = jvm.org.apache.hadoop.fs.Path(f"{staging}-old")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise IOError(f"could not set {path} aside; the new table is {staging}")
+    if not _rename(fs, src, dst):
+        if had:
+            fs.rename(old, dst)
+        raise IOError(f"could not move {staging} to {path}; the old table is kept")
+    if had:
+        fs.delete(old, True)
     return path
 
 
+def _rename(fs, src, dst) -> bool:
+    return fs.rename(src, dst)
+
+
 def publish(df: DataFrame, uri: str, fmt: str = "csv", **kw) -> str:
     """Publish to any Hadoop file system URI (object stores included)."""
     return write_table(df, uri, fmt=fmt, **kw)
 
 
+def write_disposition_report(rows: DataFrame, metadata: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """The discovery report: ``path/metadata`` (one JSON line) and ``path/results``, JSON lines by category."""
+    metadata.write.mode(mode).json(f"{path}/metadata")
+    rows.write.mode(mode).partitionBy("category").json(f"{path}/results")
+    return path
+
+
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> str:
     """A nested report as JSON (one object per row)."""
     report.write.mode(mode).json(path)

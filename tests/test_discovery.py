@@ -109,9 +109,11 @@ def test_golden_dispositions_and_summary(spark):
     assert (s["total_features"], s["already_exists"], s["new_apis_found"], s["not_found"]) == (6, 1, 3, 2)
     assert (round(s["already_exists_rate"], 2), round(s["api_discovery_rate"], 2),
             round(s["overall_success_rate"], 2)) == (16.67, 50.0, 66.67)
-    rep = disc.disposition_report(d).first()
-    assert [len(rep["results"][k]) for k in (fixed.CATEGORY_EXISTING, fixed.CATEGORY_NEW,
-                                              fixed.CATEGORY_NOT_FOUND)] == [1, 3, 2]
+    rep = {r["category"]: r["count"] for r in disc.disposition_report(d).groupBy("category").count().collect()}
+    assert [rep[k] for k in (fixed.CATEGORY_EXISTING, fixed.CATEGORY_NEW, fixed.CATEGORY_NOT_FOUND)] == [1, 3, 2]
+    catalog = spark.createDataFrame([("a",), ("b",)], "column string")
+    meta = disc.report_metadata(d, catalog, "2025-01-01T00:00:00").first()
+    assert (meta["total_columns"], meta["total_features"], meta["run_at"]) == (2, 6, "2025-01-01T00:00:00")
 
 
 def test_zero_features_rates(spark):
