@@ -262,34 +262,38 @@ def crowded_links(crowd: DataFrame, near: DataFrame, sets: DataFrame, similarity
     component are open; they are compared with that component's classes and with
     the other open classes of it, in blocks of ``BLOCK`` by ``BLOCK``.
     """
-    labelled = crowd.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = materialize(
+        crowd.join(near, "node", "left").withColumn("component", F.coalesce("component", "node")), "crowd")
     counts = labelled.groupBy("tree", "p1", "component").agg(F.count(F.lit(1)).alias("n"))
-    mains = counts.groupBy("tree", "p1").agg(F.max(F.struct("n", "component")).alias("main")) \
-        .select("tree", "p1", F.col("main.component").alias("main"))
-    open_ = materialize(labelled.join(mains, ["tree", "p1"]).where("component <> main")
-                        .select("node", "component", "main").distinct(), "open")
+    mains = counts.groupBy("tree", "p1").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("rows")) \
+        .select("tree", "p1", F.col("main.component").alias("main"), "rows")
+    open_ = materialize(join_by_size(labelled, mains, ["tree", "p1"], "rows", labelled.count())
+                        .where("component <> main").select("node", "component", "main").distinct(), "open")
     owners = open_.groupBy("main").agg(F.count(F.lit(1)).alias("n_open"))
     every = near.select("node", "component").withColumn("main", F.col("component")).unionAll(
         open_.select("node", "component", "main"))
     # a main component of one class has no row in near
     alone = owners.join(near.select(F.col("component").alias("main")).distinct(), "main", "left_anti")
     every = every.unionAll(alone.select(F.col("main").alias("node"), F.col("main").alias("component"), "main"))
-    sizes = every.join(owners, "main").groupBy("main").agg(
-        F.count(F.lit(1)).alias("n"), F.first("n_open").alias("n_open"))
-    blocks = sizes.select("main", F.ceil(F.col("n") / BLOCK).alias("m_blocks"),
-                          F.ceil(F.col("n_open") / BLOCK).alias("o_blocks"))
-
-    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+    every = materialize(every, "crowd-members")
+    # counted before the join, as one component may hold most of the rows
+    sizes = every.groupBy("main").agg(F.count(F.lit(1)).alias("n")).join(owners, "main", "left")
+    blocks = materialize(sizes.select("main", "n", F.coalesce("n_open", F.lit(0)).alias("n_open"),
+                                      F.ceil(F.col("n") / BLOCK).alias("m_blocks"),
+                                      F.ceil(F.col("n_open") / BLOCK).alias("o_blocks")), "crowd-blocks")
+
+    def dealt(rows: DataFrame, count: str, own: str, other: str) -> DataFrame:
         """Each row to its own block, against all blocks of the other side."""
+        placed = join_by_size(rows, blocks, ["main"], count, rows.count()).where("o_blocks IS NOT NULL")
         # new names, as both sides come from the same tables
-        return rows.join(blocks, "main").join(sets, "node").select(
+        return placed.join(sets, "node").select(
             *[F.col(c).alias(c) for c in ("main", "node", "component", "members")],
             F.pmod(F.xxhash64("node"), F.col(f"{own}_blocks")).alias(f"{own}_block"),
             F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"))
 
     grid = ["main", "m_block", "o_block"]
-    left = dealt(open_, "o", "m").groupBy(*grid)
-    right = dealt(every, "m", "o").groupBy(*grid)
+    left = dealt(open_, "n_open", "o", "m").groupBy(*grid)
+    right = dealt(every, "n", "m", "o").groupBy(*grid)
     return left.cogroup(right).applyInArrow(_compared(similarity), "a long, b long")
 
 
@@ -361,9 +365,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
         ends = component_of(component_of(links, before, "a"), before, "b")
         joined = components(ends.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
         joined = joined.select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        after = before.groupBy("component").agg(F.count(F.lit(1)).alias("rows")).join(joined, "component", "left")
         # classes that were alone have no row before
         return materialize(
-            before.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+            join_by_size(before, after, ["component"], "rows", before.count())
+            .select("node", F.coalesce("joined", "component").alias("component"))
             .unionAll(joined.join(before, joined["component"] == before["node"], "left_anti")
                       .select(F.col("component").alias("node"), F.col("joined").alias("component"))), "components")
 
@@ -372,8 +378,9 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
     near = merged(materialize(crowded_links(crowd, near, sets, similarity), "crowded-links"), near)
     labelled = classes.select("node", "__set", "__first", "__rows").join(near, "node", "left") \
         .withColumn("component", F.coalesce("component", "node"))
-    least = labelled.groupBy("component").agg(F.min("__first").alias("component_id"))
-    of_set = materialize(labelled.join(least, "component").select("__set", "component_id", "__rows"), "set-components")
+    least = labelled.groupBy("component").agg(F.min("__first").alias("component_id"), F.count(F.lit(1)).alias("nodes"))
+    of_set = materialize(join_by_size(labelled, least, ["component"], "nodes", classes.count())
+                         .select("__set", "component_id", "__rows"), "set-components")
     result = join_by_size(rows.select("__id", "n_shingles", "__set"), of_set, ["__set"], "__rows", rows.count())
     result = result.select("__id", "n_shingles", "component_id").unionAll(
         rows.where("__set IS NULL").select("__id", "n_shingles", F.col("__id").alias("component_id")))
