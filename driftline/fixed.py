@@ -64,8 +64,12 @@ FMT_ISO = "yyyy-MM-dd HH:mm:ss"
 FMT_PAYLOAD = "yyyy-MM-dd'T'HH:mm"
 FMT_DAY_FIRST = "dd/MM/yyyy HH:mm"
 FMT_MONTH_FIRST = "MM/dd/yyyy HH:mm"
-MIXED_FORMATS = [FMT_ISO, "yyyy-MM-dd HH:mm", FMT_PAYLOAD, "yyyy-MM-dd",
-                 FMT_DAY_FIRST, FMT_MONTH_FIRST]
+
+# own choice: shapes that mixed parsing accepts, day-first before month-first; d, M and H
+# take one or two digits
+MIXED_FORMATS = [FMT_ISO, "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", FMT_PAYLOAD, "yyyy-MM-dd",
+                 "d/M/yyyy H:mm:ss", "d/M/yyyy H:mm", "d/M/yyyy",
+                 "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy"]
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — drift monitoring

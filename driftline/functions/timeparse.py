@@ -32,7 +32,7 @@ def parse_time(c, fmt: str | None = None, on_bad: str = "fail") -> Column:
 
 
 _SHAPE_TOKENS = [("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("HH", r"\d{2}"),
-                 ("mm", r"\d{2}"), ("ss", r"\d{2}")]
+                 ("mm", r"\d{2}"), ("ss", r"\d{2}"), ("M", r"\d{1,2}"), ("d", r"\d{1,2}"), ("H", r"\d{1,2}")]
 
 
 def format_shape(fmt: str) -> str | None:

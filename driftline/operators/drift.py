@@ -10,8 +10,7 @@ Shape of the computation, for any number of features and keys:
   partial aggregate.
 * ``ks_statistic``: exact two-sample Kolmogorov-Smirnov distance. Counts are
   pre-aggregated per distinct value (ties handled, hot values collapse
-  map-side), values are cut into ordered ranges by approximate quantiles,
-  and running sums are taken per range plus the range's offset, so one
+  map-side), values are range-partitioned, and running sums are taken per range plus the range's offset, so one
   feature's values are spread over many tasks.
 * ``drift_report`` joins the two small results and labels each feature.
 """
@@ -27,6 +26,7 @@ from .. import fixed
 from ..functions.numeric import relative_shift
 from ..functions.timeparse import scalar, shift_days
 from .incremental import join_keys
+from .ranking import BUCKET, in_ranges
 from .sizing import ranges_for
 
 RECENT = "is_recent"
@@ -133,15 +133,14 @@ def _value_counts(long_df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count_if(F.col(RECENT)).alias("c_r"), F.count_if(F.col(BASELINE)).alias("c_b"))
 
 
-def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: int = 32,
-                 accuracy: int = 10000) -> DataFrame:
+def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: int = 32) -> DataFrame:
     """Two-sample KS distance ``max |F_recent(v) - F_baseline(v)|`` per
     ``(keys, feature)``, exact (p-value not computed).
 
-    ``value_buckets`` ordered value ranges per feature (from approximate
-    quantiles of the distinct values) bound the size of any one window task;
-    1 means one window per feature. Range edges only affect balance, never the
-    result. NULL keys are a series of their own.
+    ``value_buckets`` ordered ranges of ``(keys, feature, value)``, of about as
+    many distinct values each, bound the size of any one window task, so only a
+    feature that needs it is cut; 1 means one window per feature. Ranges only
+    affect balance, never the result. NULL keys are a series of their own.
     """
     keys = list(keys)
     grp = [*keys, "feature"]
@@ -154,23 +153,19 @@ def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: in
                             F.try_divide(F.sum("c_b").over(w_run), F.sum("c_b").over(w_all)).alias("f_b"))
         return cdf.groupBy(*grp).agg(F.max(F.abs(F.col("f_r") - F.col("f_b"))).alias("ks_statistic"))
 
-    probs = [i / value_buckets for i in range(1, value_buckets)]
-    edges = counts.groupBy(*grp).agg(
-        F.percentile_approx("value", probs, accuracy).alias("_dl_edges"))
-    bucketed = join_keys(counts, edges, grp, "inner").withColumn(
-        "_dl_vb", F.size(F.filter("_dl_edges", lambda e: e < F.col("value")))).drop("_dl_edges")
-    # per-range totals -> running offsets per feature (tiny: ranges x features)
-    tot = bucketed.groupBy(*grp, "_dl_vb").agg(F.sum("c_r").alias("t_r"), F.sum("c_b").alias("t_b"))
-    w_prev = Window.partitionBy(*grp).orderBy("_dl_vb").rowsBetween(Window.unboundedPreceding, -1)
+    bucketed = in_ranges(counts, [*[F.col(f"`{g}`") for g in grp], "value"], value_buckets, "ks-ranges")
+    # per-range totals -> running offsets per feature (tiny: ranges + features)
+    tot = bucketed.groupBy(*grp, BUCKET).agg(F.sum("c_r").alias("t_r"), F.sum("c_b").alias("t_b"))
+    w_prev = Window.partitionBy(*grp).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     w_grp = Window.partitionBy(*grp)
-    offs = tot.select(*grp, "_dl_vb",
+    offs = tot.select(*grp, BUCKET,
                       F.coalesce(F.sum("t_r").over(w_prev), F.lit(0)).alias("o_r"),
                       F.coalesce(F.sum("t_b").over(w_prev), F.lit(0)).alias("o_b"),
                       F.sum("t_r").over(w_grp).alias("n_r"),
                       F.sum("t_b").over(w_grp).alias("n_b"),
                       F.lit(True).alias("_dl_mark"))
     u = bucketed.withColumn("_dl_mark", F.lit(False)).unionByName(offs, allowMissingColumns=True)
-    w = Window.partitionBy(*grp, "_dl_vb").orderBy(F.col("_dl_mark").desc(), "value") \
+    w = Window.partitionBy(*grp, BUCKET).orderBy(F.col("_dl_mark").desc(), "value") \
         .rowsBetween(Window.unboundedPreceding, 0)
 
     def carried(c: str) -> Column:
@@ -191,7 +186,7 @@ def drift_metrics(flagged: DataFrame, features: Sequence[str], keys: Sequence[st
     n_recent, n_baseline (plus the period moments)."""
     keys = list(keys)
     if value_buckets == "auto":
-        value_buckets = ranges_for(flagged.count())
+        value_buckets = ranges_for(flagged.count() * len(features))
     lv = long_values(flagged, features, keys)
     mom = drift_moments(lv, keys)
     ks = ks_statistic(lv, keys, value_buckets=value_buckets)
@@ -235,9 +230,9 @@ def drift_report(df: DataFrame, time_col: str, features: Sequence[str] | None =
     """Long drift report: one row per (keys, feature) present in the table.
 
     ``value_buckets="auto"`` sizes the KS value ranges from the row count
-    (taken in the same small job as the period end): one range per
-    ``ROWS_PER_TASK`` rows, so small tables use one window per feature and a
-    feature with billions of values is spread over many tasks.
+    times the features: one range per ``ROWS_PER_TASK`` values, so small tables
+    use one window per feature and a feature with billions of values is spread
+    over many tasks.
     """
     feats = present_features(df, features if features is not None else fixed.DRIFT_FEATURES)
     narrow = df.select(*keys, time_col, *[F.col(f"`{f}`") for f in feats])
@@ -245,7 +240,7 @@ def drift_report(df: DataFrame, time_col: str, features: Sequence[str] | None =
     if scope == "global" or value_buckets == "auto":
         end, n_rows = period_stats(narrow, time_col)
         if value_buckets == "auto":
-            value_buckets = ranges_for(n_rows)
+            value_buckets = ranges_for(n_rows * len(feats))
     flagged = split_periods(narrow, time_col, recent_days, baseline_days, keys=keys, scope=scope,
                             end=end if scope == "global" else None)
     m = drift_metrics(flagged, feats, keys, value_buckets=value_buckets)

@@ -15,7 +15,7 @@ from .. import fixed
 from ..functions.timeparse import scalar
 from .ranking import POS, add_position, lag_by_position
 from .incremental import join_keys
-from .sizing import ROWS_PER_TASK, bucket_width, series_profile
+from .sizing import RANGE_SPREAD, ROWS_PER_TASK, ranges_for, series_profile
 
 
 def q(c: str) -> str:
@@ -82,38 +82,34 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
 def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
                  lags: Sequence[int] = tuple(fixed.LAGS), keys: Sequence[str] = (),
                  order: Sequence[str] = (fixed.TIME_COL,), method: str = "auto",
-                 bucket: str | float | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``<c>_lag<k>``: value k ROWS earlier in ``order`` within each key.
 
     Lag is by row position, not by clock: a missing hour shifts the meaning,
     and the first k rows get NULL. ``order`` should be unique within a key
     (add tie-break columns).
 
-    ``method="ranked"`` numbers rows per key through time buckets and joins
+    ``method="ranked"`` numbers rows per key through ordered ranges and joins
     each row with its predecessors by position (see ``ranking``): no
     single-partition and no single-key task, so it holds for an unkeyed
-    series and for keys holding a large share of all rows.
+    series and for keys holding a large share of all rows. Ranges hold about
+    ``rows_per_task / 4`` rows.
     ``method="window"`` is the plain ``lag().over(partitionBy(keys))``: one
     shuffle, right while every key's series fits one task.
     ``method="auto"`` (default) measures the largest series with one
     aggregate and takes "window" only when it has at most ``rows_per_task``
-    rows, else "ranked" with ordered buckets sized from that measurement
-    (``bucket=None``), so even a key holding a third of all rows is cut into
-    pieces of about ``rows_per_task / 4`` rows. An explicit ``bucket`` (a
-    ``date_trunc`` unit or a width) overrides the sizing.
+    rows, else "ranked".
     """
     keys, order = list(keys), list(order)
     name = (lambda c, k: f"{c}_lag{k}")
-    if method == "auto" or (method == "ranked" and bucket is None):
-        prof = series_profile(df, keys, order[0])
+    if method != "window":
+        rows, largest = series_profile(df, keys)
         if method == "auto":
-            method = "ranked" if prof["max_rows"] > rows_per_task else "window"
-        if bucket is None:
-            bucket = bucket_width(prof, rows_per_task)
+            method = "ranked" if largest > rows_per_task else "window"
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name(c, k): F.lag(c, k).over(w) for c in cols for k in lags})
-    ranked = add_position(df, keys, order, bucket=bucket, pos_col=POS)
+    ranked = add_position(df, keys, order, ranges_for(rows, rows_per_task) * RANGE_SPREAD, POS)
     return lag_by_position(ranked, keys, POS, cols, lags, name=name).drop(POS)
 
 
@@ -149,7 +145,7 @@ def select_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.SELECTED_CO
 
 def build_features(new_rows: DataFrame, history: DataFrame | None = None,
                    keys: Sequence[str] = (), time_col: str = fixed.TIME_COL,
-                   lag_method: str = "auto", lag_bucket: str | float | None = None) -> DataFrame:
+                   lag_method: str = "auto") -> DataFrame:
     """The full feature set for ``new_rows`` (raw columns in, 46 columns out).
 
     Order: log -> scale (fitted on the new rows) -> lags -> calendar ->
@@ -164,7 +160,7 @@ def build_features(new_rows: DataFrame, history: DataFrame | None = None,
         old = lag_history(history.select(*keys, time_col, *fixed.LAG_SOURCES), new_rows,
                           keys, time_col, max(fixed.LAGS))
         x = old.withColumn("_new", F.lit(False)).unionByName(x, allowMissingColumns=True)
-    x = lag_features(x, keys=keys, order=[time_col], method=lag_method, bucket=lag_bucket)
+    x = lag_features(x, keys=keys, order=[time_col], method=lag_method)
     x = x.filter("_new").drop("_new")
     x = calendar_features(x, time_col)
     x = cyclic_features(x, "hour")

@@ -2,16 +2,18 @@
 
 ``Window.partitionBy(keys).orderBy(t)`` puts a whole series into one task,
 and with no keys at all into ONE partition for the whole table. The helpers
-here give the same answer with work split by time bucket:
-
-1. count rows per ``(keys, bucket)`` (partial aggregation, tiny result);
-2. prefix-sum those counts per key -> first position of each bucket;
-3. number rows inside ``(keys, bucket)`` and add the bucket's offset.
-
-Step 3 is one shuffle on ``(keys, bucket)``; a hot key is spread over its
-buckets. The per-bucket offset is fed into that same window as an extra
-marker row per bucket (a union, not a join), so there is no second shuffle
-of the wide rows.
+here give the same answer with work split by ordered ranges:
+
+1. deal rows to ranges of ``(keys, order)`` (sampled splitters, so ranges hold
+   about as many rows whatever the values are) and stage them;
+2. count rows per ``(keys, range)`` and prefix-sum the counts per key -> first
+   position of each range;
+3. number rows inside ``(keys, range)`` and add the range's offset.
+
+Step 3 is one shuffle on ``(keys, range)``; a hot key is spread over its
+ranges, and a hot instant too if ``order`` has tie-break columns. The offset
+of a range is fed into that same window as an extra marker row (a union, not
+a join), so there is no second shuffle of the wide rows.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..session import materialize
 
 BUCKET = "_dl_bucket"
 POS = "_dl_pos"
@@ -32,35 +35,24 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def time_bucket(df: DataFrame, order_col: str, bucket: str | float) -> Column:
-    """Coarse, order-preserving bucket of the leading order column.
-
-    ``bucket`` is a ``date_trunc`` unit ("hour", "day", "month", ...) or a
-    width in seconds for timestamps, or a width for numbers.
-    """
-    dtype = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        if isinstance(bucket, str):
-            return F.unix_micros(F.date_trunc(bucket, c).cast("timestamp"))
-        return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(float(bucket) * 1e6))
-    width = float(bucket) if not isinstance(bucket, str) else 1.0e6
-    return F.floor(c.cast("double") / F.lit(width))
+def in_ranges(df: DataFrame, order: Sequence[str | Column], ranges: int, name: str) -> DataFrame:
+    """``df`` with the number of its range in ``BUCKET``: rows that come earlier in ``order`` have
+    no larger number, equal rows the same one. Staged, so that every reader sees the same ranges."""
+    dealt = df.repartitionByRange(max(1, int(ranges)), *_order_cols(order))
+    return materialize(dealt.withColumn(BUCKET, F.spark_partition_id()), name)
 
 
 def add_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                 bucket: str | float = "day", pos_col: str = POS) -> DataFrame:
+                 ranges: int = 32, pos_col: str = POS) -> DataFrame:
     """Add ``pos_col``: 1-based row position within each key, in ``order``.
 
     Exactly ``row_number().over(partitionBy(keys).orderBy(order))`` (ties
     broken by the remaining ``order`` columns, which should make it unique),
-    but never a single-partition or single-key task.
+    but never a single-partition or single-key task. ``order`` may be of any
+    sortable type.
     """
     keys = list(keys)
-    lead = order[0] if isinstance(order[0], str) else None
-    if lead is None:
-        raise ValueError("the first order column must be a column name")
-    b = df.withColumn(BUCKET, time_bucket(df, lead, bucket))
+    b = in_ranges(df, [*[F.col(f"`{k}`") for k in keys], *order], ranges, "series-ranges")
     counts = (b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n")))
     w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()) \
         .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

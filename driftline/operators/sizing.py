@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # Rows one task may sort in a window before the operator splits the group.
 ROWS_PER_TASK = 4_000_000
+# Ranges per that many rows in a split plan.
+RANGE_SPREAD = 4
 
 
 def ranges_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
@@ -24,26 +26,8 @@ def ranges_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
     return max(1, math.ceil(rows / max(1, rows_per_task)))
 
 
-def series_profile(df: DataFrame, keys: Sequence[str], order_col: str) -> dict:
-    """One job: total rows, rows of the largest key, and the order column's
-    span (as epoch seconds for timestamps, raw for numbers)."""
-    keys = list(keys)
-    o = F.col(order_col)
-    num = F.unix_micros(o.cast("timestamp")) / 1e6 if dict(df.dtypes)[order_col].startswith(
-        ("timestamp", "date")) else o.cast("double")
-    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(num).alias("lo"),
-                                F.max(num).alias("hi")) if keys else \
-        df.agg(F.count(F.lit(1)).alias("n"), F.min(num).alias("lo"), F.max(num).alias("hi"))
-    r = per.agg(F.sum("n").alias("t"), F.max("n").alias("m"), F.min("lo").alias("lo"),
-                F.max("hi").alias("hi")).first()
-    return {"rows": int(r["t"] or 0), "max_rows": int(r["m"] or 0),
-            "lo": r["lo"], "hi": r["hi"]}
-
-
-def bucket_width(profile: dict, rows_per_task: int = ROWS_PER_TASK, spread: int = 4) -> float:
-    """Width of ordered buckets so that the largest series is cut into about
-    ``spread * max_rows / rows_per_task`` pieces (``spread`` absorbs uneven
-    density). Only balance depends on it, never the result."""
-    span = (profile["hi"] or 0) - (profile["lo"] or 0)
-    pieces = max(1, math.ceil(profile["max_rows"] / max(1, rows_per_task))) * spread
-    return max(span / pieces, 1e-6)
+def series_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """One job: all rows, and the rows of the largest key."""
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    r = per.agg(F.sum("n").alias("t"), F.max("n").alias("m")).first()
+    return int(r["t"] or 0), int(r["m"] or 0)

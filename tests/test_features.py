@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from driftline import fixed
 from driftline.operators import features
-from driftline.operators.ranking import add_position
+from driftline.operators.ranking import BUCKET, add_position, in_ranges
 from driftline.plans import suite
 
 
@@ -13,9 +13,9 @@ def _events(spark):
     return spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "user_id", "ts", "value")
 
 
-def _lags(df, keys, method, bucket="day"):
-    out = features.lag_features(df, ["value"], [1, 12, 24], keys=keys, order=["ts", "event_id"],
-                                method=method, bucket=bucket)
+def _lags(df, keys, method, rows_per_task=100, order=("ts", "event_id")):
+    out = features.lag_features(df, ["value"], [1, 12, 24], keys=keys, order=order,
+                                method=method, rows_per_task=rows_per_task)
     return sorted(tuple(r) for r in out.select("event_id", "value_lag1", "value_lag12", "value_lag24").collect())
 
 
@@ -28,13 +28,13 @@ def test_lag_ranked_equals_window_global(spark):
     ev = _events(spark)
     w = _lags(ev, [], "window")
     assert _lags(ev, [], "ranked") == w
-    assert _lags(ev, [], "ranked", bucket="hour") == w
+    assert _lags(ev, [], "ranked", rows_per_task=10) == w
 
 
 def test_lag_hot_key(spark):
-    # one key holding most rows: ranked plan splits it by time bucket, same answer
+    # one key holding most rows: ranked plan cuts it into ranges, same answer
     ev = _events(spark).withColumn("user_id", F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id")))
-    assert _lags(ev, ["user_id"], "ranked", bucket="hour") == _lags(ev, ["user_id"], "window")
+    assert _lags(ev, ["user_id"], "ranked") == _lags(ev, ["user_id"], "window")
 
 
 def test_position_is_row_number(spark):
@@ -87,15 +87,26 @@ def test_history_supplies_lags(spark):
     assert out[0]["aqi_us_lag24"] == 2.0
 
 
-def test_auto_split_with_measured_buckets(spark):
+def test_auto_split_with_measured_ranges(spark):
     # a tiny per-task bound forces the split plan; a hot key holds 70 % of rows
     ev = _events(spark).withColumn("user_id", F.when(F.col("event_id") % 10 < 7, F.lit(0)).otherwise(F.col("user_id")))
     auto = features.lag_features(ev, ["value"], [1, 12, 24], keys=["user_id"], order=["ts", "event_id"],
                                  method="auto", rows_per_task=50)
     got = sorted(tuple(r) for r in auto.select("event_id", "value_lag1", "value_lag12", "value_lag24").collect())
     assert got == _lags(ev, ["user_id"], "window")
-    # explicit width in seconds for a timestamp order column
-    assert _lags(ev, [], "ranked", bucket=7200.0) == _lags(ev, [], "window")
+    # the order may be text
+    text = ev.withColumn("ts", F.date_format("ts", fixed.FMT_ISO))
+    assert _lags(text, [], "ranked") == _lags(text, [], "window") == _lags(text, [], "auto")
+
+
+def test_one_far_timestamp_leaves_ranges_even(spark):
+    rows = spark.range(20_001).selectExpr(
+        "id", "CASE WHEN id = 0 THEN TIMESTAMP'1970-01-01' ELSE TIMESTAMP'2025-01-01' + make_interval(0, 0, 0, 0, 0, id) END AS t")
+    sizes = [r["count"] for r in in_ranges(rows, ["t", "id"], 20, "even").groupBy(BUCKET).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3000
+    # one instant for all rows: the tie-break column cuts it
+    same = rows.withColumn("t", F.lit("2025-01-01"))
+    assert max(r["count"] for r in in_ranges(same, ["t", "id"], 20, "same").groupBy(BUCKET).count().collect()) < 3000
 
 
 def test_lag_history_slice_is_exact(spark):
