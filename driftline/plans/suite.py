@@ -72,6 +72,8 @@ def ts(expr: str, alias: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {q(alias)}"
 
 
+# a key column with NULLs: return flag N, about half of all rows
+NULLED_FLAG = "nullif(l_returnflag, 'N')"
 DRIFT_FEATURES_LI = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_TIME = "l_shipdate"
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
@@ -151,36 +153,44 @@ SELECT {ts('datetime', 'datetime')},
 FROM hw
 """
 
-MIXED_QUERY_FORMATS = [fixed.FMT_ISO, fixed.FMT_DAY_FIRST, fixed.FMT_MONTH_FIRST]
+# (Spark format, DuckDB format) of the styles that order dates are written in, by order key
+MIXED_STYLES = [
+    (fixed.FMT_ISO, "%Y-%m-%d %H:%M:%S"), (fixed.FMT_DAY_FIRST, "%d/%m/%Y %H:%M"),
+    (fixed.FMT_MONTH_FIRST, "%m/%d/%Y %H:%M"), ("dd/MM/yyyy HH:mm:ss", "%d/%m/%Y %H:%M:%S"),
+    ("dd/MM/yyyy", "%d/%m/%Y"), ("d/M/yyyy H:mm", "%-d/%-m/%Y %-H:%M"),
+    ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S"), ("yyyy-MM-dd", "%Y-%m-%d"),
+]
 
 
 def _mixed_text(c, key):
-    return (F.when(key % 4 == 0, F.date_format(c, fixed.FMT_ISO))
-            .when(key % 4 == 1, F.date_format(c, fixed.FMT_DAY_FIRST))
-            .when(key % 4 == 2, F.date_format(c, fixed.FMT_MONTH_FIRST))
-            .otherwise(F.concat(F.lit("bad-"), key.cast("string"))))
+    n = len(MIXED_STYLES) + 1
+    text = F.concat(F.lit("bad-"), key.cast("string"))
+    for i, (fmt, _) in enumerate(MIXED_STYLES):
+        text = F.when(key % n == i, F.date_format(c, fmt)).otherwise(text)
+    return text
 
 
 def q_mixed_time_parse(spark, sf):
-    """Dates written in four styles by order key (ISO, day-first, month-first,
-    garbage) and parsed back with day-first before month-first."""
+    """Dates written in eight styles by order key, or garbage, moved by some
+    hours so that times of day count, and parsed back, day-first first."""
     o = tables.spread(_orders(spark, sf))  # per-row text work: use every core
-    txt = o.select("o_orderkey", _mixed_text(F.col("o_orderdate"), F.col("o_orderkey")).alias("time_text"))
-    return finish(txt.withColumn("parsed", parse_mixed_timestamp("time_text", MIXED_QUERY_FORMATS)))
-
-
-SQL_MIXED_TIME_PARSE = """
-WITH t AS (
-  SELECT o_orderkey,
-         CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
-                             WHEN 1 THEN strftime(o_orderdate, '%d/%m/%Y %H:%M')
-                             WHEN 2 THEN strftime(o_orderdate, '%m/%d/%Y %H:%M')
-                             ELSE 'bad-' || CAST(o_orderkey AS VARCHAR) END AS time_text
-  FROM orders)
+    when = F.expr("CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(0, o_orderkey % 24, o_orderkey % 60, 0)")
+    txt = o.select("o_orderkey", _mixed_text(when, F.col("o_orderkey")).alias("time_text"))
+    return finish(txt.withColumn("parsed", parse_mixed_timestamp("time_text")))
+
+
+SQL_MIXED_TIME_PARSE = f"""
+WITH w AS (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_hours(o_orderkey % 24)
+                              + to_minutes(o_orderkey % 60) AS t FROM orders),
+t AS (SELECT o_orderkey,
+             CASE o_orderkey % {len(MIXED_STYLES) + 1}
+             {' '.join(f"WHEN {i} THEN strftime(t, '{d}')" for i, (_, d) in enumerate(MIXED_STYLES))}
+             ELSE 'bad-' || CAST(o_orderkey AS VARCHAR) END AS time_text
+      FROM w)
 SELECT o_orderkey, time_text,
-       strftime(coalesce(try_strptime(time_text, '%Y-%m-%d %H:%M:%S'),
-                         try_strptime(time_text, '%d/%m/%Y %H:%M'),
-                         try_strptime(time_text, '%m/%d/%Y %H:%M')), '%Y-%m-%d %H:%M:%S') AS parsed
+       strftime(try_strptime(time_text, [
+           '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d', '%d/%m/%Y %H:%M:%S', '%d/%m/%Y %H:%M',
+           '%d/%m/%Y', '%m/%d/%Y %H:%M']), '%Y-%m-%d %H:%M:%S') AS parsed
 FROM t
 """
 
@@ -314,12 +324,30 @@ SELECT l_orderkey, l_linenumber, l_returnflag,
 FROM lineitem
 """
 
+
+def q_standard_scale_null_keys(spark, sf):
+    """Keyed scaling where one key, about half of the rows, is NULL: a series of its own."""
+    li = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{NULLED_FLAG} AS flag",
+                                                 *DRIFT_FEATURES_LI)
+    return finish(features.standard_scale(li, DRIFT_FEATURES_LI, keys=["flag"]).drop(*DRIFT_FEATURES_LI))
+
+
+SQL_STANDARD_SCALE_NULL_KEYS = f"""
+WITH li AS (SELECT l_orderkey, l_linenumber, {NULLED_FLAG} AS flag, {', '.join(DRIFT_FEATURES_LI)} FROM lineitem)
+SELECT l_orderkey, l_linenumber, flag,
+       {', '.join(r6(_scaled_sql(c, 'PARTITION BY flag'), f'scaled_{c}') for c in DRIFT_FEATURES_LI)}
+FROM li
+"""
+
 EVENT_LAGS = [1, 12, 24]
+# rows a task in the queries that run the split plans
+SPLIT_ROWS = 1000
+NULLED_USER = "CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id END"
 
 
-def _event_lags(spark, sf, keys):
-    ev = table(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    out = features.lag_features(ev, ["value"], EVENT_LAGS, keys=keys, order=["ts", "event_id"])
+def _event_lags(spark, sf, keys, user="user_id", **plan):
+    ev = table(spark, sf, "events").selectExpr("event_id", f"{user} AS user_id", "ts", "value")
+    out = features.lag_features(ev, ["value"], EVENT_LAGS, keys=keys, order=["ts", "event_id"], **plan)
     return finish(out.select("event_id", "user_id", *[f"value_lag{k}" for k in EVENT_LAGS]))
 
 
@@ -331,12 +359,27 @@ def q_lag_features_global(spark, sf):
     return _event_lags(spark, sf, [])
 
 
-def _lag_sql(part: str) -> str:
+def q_lag_features_split(spark, sf):
+    """The plan of large series: ordered ranges, positions, fan-out."""
+    return _event_lags(spark, sf, ["user_id"], method="ranked", rows_per_task=SPLIT_ROWS)
+
+
+def q_lag_features_global_split(spark, sf):
+    return _event_lags(spark, sf, [], method="ranked", rows_per_task=SPLIT_ROWS)
+
+
+def q_lag_features_null_keys(spark, sf):
+    """A third of the users is NULL: one series of its own, cut into ranges."""
+    return _event_lags(spark, sf, ["user_id"], NULLED_USER, method="ranked", rows_per_task=SPLIT_ROWS)
+
+
+def _lag_sql(part: str, user: str = "user_id") -> str:
     lags = ", ".join(f"lag(value, {k}) OVER (PARTITION BY {part} ORDER BY ts, event_id) AS value_lag{k}"
                      if part else f"lag(value, {k}) OVER (ORDER BY ts, event_id) AS value_lag{k}"
                      for k in EVENT_LAGS)
     return f"""
-WITH l AS (SELECT event_id, user_id, {lags} FROM events)
+WITH e AS (SELECT event_id, {user} AS user_id, ts, value FROM events),
+l AS (SELECT event_id, user_id, {lags} FROM e)
 SELECT event_id, user_id, {', '.join(r6(f'value_lag{k}') for k in EVENT_LAGS)} FROM l
 """
 
@@ -545,6 +588,11 @@ def q_drift_ks(spark, sf):
     return finish(r.select("feature", "ks_statistic"))
 
 
+def q_drift_ks_split(spark, sf):
+    """The plan of large features: values cut into ordered ranges."""
+    return finish(_drift_report_li(spark, sf, value_buckets=16).select("feature", "ks_statistic"))
+
+
 SQL_DRIFT_KS = f"""
 WITH {PERIODS_SQL}, {LONG_SQL}, {KS_SQL}
 SELECT feature, round(coalesce(ks_raw, 0.0), 6) AS ks_statistic FROM ks
@@ -656,14 +704,33 @@ def q_drift_report_by_flag(spark, sf):
                            "variance_shift", "ks_statistic", "is_significant", "drift_type"))
 
 
-def _keyed_drift_sql() -> str:
+KEYED_COLUMNS = ["feature", "n_recent", "n_baseline", "mean_shift", "variance_shift", "ks_statistic",
+                 "is_significant", "drift_type"]
+
+
+def q_drift_ks_split_by_flag(spark, sf):
+    """Keyed, and its values cut into ordered ranges."""
+    r = drift.drift_report(_lineitem(spark, sf), LI_TIME, DRIFT_FEATURES_LI, keys=["l_returnflag"],
+                           scope="key", value_buckets=16)
+    return finish(r.select("l_returnflag", *KEYED_COLUMNS))
+
+
+def q_drift_report_null_keys(spark, sf):
+    """Keyed drift where one key, about half of the rows, is NULL."""
+    li = _lineitem(spark, sf).withColumn("l_returnflag", F.expr(NULLED_FLAG))
+    r = drift.drift_report(li, LI_TIME, DRIFT_FEATURES_LI, keys=["l_returnflag"], scope="key")
+    return finish(r.select("l_returnflag", *KEYED_COLUMNS))
+
+
+def _keyed_drift_sql(flag: str = "l_returnflag") -> str:
     t, k = fixed.DRIFT_THRESHOLD, fixed.KS_THRESHOLD
     r, b = fixed.RECENT_DAYS, fixed.RECENT_DAYS + fixed.BASELINE_DAYS
     return f"""
-WITH m AS (SELECT l_returnflag, max({LI_TIME}) AS e FROM lineitem GROUP BY 1),
+WITH li AS (SELECT * REPLACE (coalesce({flag}, '-') AS l_returnflag) FROM lineitem),
+m AS (SELECT l_returnflag, max({LI_TIME}) AS e FROM li GROUP BY 1),
 f AS (SELECT l.*, {LI_TIME} >= e - INTERVAL {r} DAYS AND {LI_TIME} <= e AS is_recent,
              {LI_TIME} >= e - INTERVAL {b} DAYS AND {LI_TIME} <= e - INTERVAL {r} DAYS AS is_baseline
-      FROM lineitem l JOIN m USING (l_returnflag)),
+      FROM li l JOIN m USING (l_returnflag)),
 lv AS (SELECT l_returnflag, feature, value, is_recent, is_baseline FROM f
        UNPIVOT (value FOR feature IN ({', '.join(DRIFT_FEATURES_LI)}))
        WHERE (is_recent OR is_baseline) AND value IS NOT NULL),
@@ -690,7 +757,7 @@ ks AS (SELECT l_returnflag, feature, max(abs(f_r - f_b)) AS ks_raw FROM cdf GROU
 rep AS (SELECT ms.*, CASE WHEN n_recent = 0 OR n_baseline = 0 THEN 0.0
                           ELSE coalesce(ks_raw, 0.0) END AS ks_statistic
         FROM ms LEFT JOIN ks USING (l_returnflag, feature))
-SELECT l_returnflag, feature, n_recent, n_baseline, {r6('mean_shift')}, {r6('variance_shift')},
+SELECT nullif(l_returnflag, '-') AS l_returnflag, feature, n_recent, n_baseline, {r6('mean_shift')}, {r6('variance_shift')},
        {r6('ks_statistic')},
        coalesce(mean_shift > {t}, false) OR coalesce(variance_shift > {t}, false)
          OR coalesce(ks_statistic > {k}, false) AS is_significant,
@@ -1138,8 +1205,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_stats": q_load_stats,
     "log_features": q_log_features,
     "standard_scale": q_standard_scale,
+    "standard_scale_null_keys": q_standard_scale_null_keys,
     "lag_features": q_lag_features,
     "lag_features_global": q_lag_features_global,
+    "lag_features_split": q_lag_features_split,
+    "lag_features_global_split": q_lag_features_global_split,
+    "lag_features_null_keys": q_lag_features_null_keys,
     "calendar_features": q_calendar_features,
     "feature_table": q_feature_table,
     "feature_table_by_user": q_feature_table_by_user,
@@ -1148,9 +1219,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_bounds": q_period_bounds,
     "drift_moments": q_drift_moments,
     "drift_ks": q_drift_ks,
+    "drift_ks_split": q_drift_ks_split,
     "drift_report": q_drift_report,
     "drift_summary_lines": q_drift_summary_lines,
     "drift_report_by_flag": q_drift_report_by_flag,
+    "drift_ks_split_by_flag": q_drift_ks_split_by_flag,
+    "drift_report_null_keys": q_drift_report_null_keys,
     "report_json_roundtrip": q_report_json_roundtrip,
     "drift_report_features": q_drift_report_features,
     "match_features": q_match_features,
@@ -1174,8 +1248,12 @@ ORACLE_SQL: dict[str, str] = {
     "load_stats": SQL_LOAD_STATS,
     "log_features": SQL_LOG_FEATURES,
     "standard_scale": SQL_STANDARD_SCALE,
+    "standard_scale_null_keys": SQL_STANDARD_SCALE_NULL_KEYS,
     "lag_features": _lag_sql("user_id"),
     "lag_features_global": _lag_sql(""),
+    "lag_features_split": _lag_sql("user_id"),
+    "lag_features_global_split": _lag_sql(""),
+    "lag_features_null_keys": _lag_sql("user_id", NULLED_USER),
     "calendar_features": SQL_CALENDAR_FEATURES,
     "feature_table": SQL_FEATURE_TABLE,
     "feature_table_by_user": SQL_FEATURE_TABLE_BY_USER,
@@ -1184,9 +1262,12 @@ ORACLE_SQL: dict[str, str] = {
     "period_bounds": SQL_PERIOD_BOUNDS,
     "drift_moments": SQL_DRIFT_MOMENTS,
     "drift_ks": SQL_DRIFT_KS,
+    "drift_ks_split": SQL_DRIFT_KS,
     "drift_report": SQL_DRIFT_REPORT,
     "drift_summary_lines": SQL_DRIFT_SUMMARY_LINES,
     "drift_report_by_flag": _keyed_drift_sql(),
+    "drift_ks_split_by_flag": _keyed_drift_sql(),
+    "drift_report_null_keys": _keyed_drift_sql(NULLED_FLAG),
     "report_json_roundtrip": SQL_REPORT_JSON_ROUNDTRIP,
     "drift_report_features": SQL_DRIFT_REPORT_FEATURES,
     "match_features": SQL_MATCH_FEATURES,
