@@ -139,6 +139,8 @@ REASON_TIMEOUT = "API timeout - server not responding within 15 seconds"
 REASON_CONNECTION = "API connection failed - server unreachable"
 REASON_REQUEST = "API request failed: %s"
 REASON_OTHER = "Validation error: %s"
+REASON_EXISTS = "Feature already exists in dataset"
+REASON_MISSING = "Feature not found in existing columns"
 VALID_STATUSES = [200, 401, 403]
 NOT_FOUND_STATUSES = [404, 410]
 URL_PREFIXES = ["http://", "https://"]

@@ -36,7 +36,11 @@ EMPTY_STRINGS = "CAST(array() AS array<string>)"
 
 
 def parse_responses(df: DataFrame, text_col: str = "response_text") -> DataFrame:
-    """Add parse_ok, search_keywords, candidate_api, confidence, parse_reason."""
+    """Add parse_ok, search_keywords, candidate_api, candidate_json, confidence, parse_reason, suggestions.
+
+    ``candidate_api`` has the fields that rules read; ``candidate_json`` is the
+    whole candidate as the response gave it, with whatever fields it has.
+    """
     block = extract_json_block_sql(f"`{text_col}`")
     x = df.withColumns({"_dl_block": F.expr(block)})
     x = x.withColumns({"parse_ok": F.expr("coalesce(try_parse_json(_dl_block) IS NOT NULL, false)"),
@@ -44,6 +48,9 @@ def parse_responses(df: DataFrame, text_col: str = "response_text") -> DataFrame
     return x.withColumns({
         "search_keywords": F.expr(f"CASE WHEN parse_ok THEN coalesce(_dl_j.search_keywords, {EMPTY_STRINGS}) END"),
         "candidate_api": F.expr("CASE WHEN parse_ok THEN _dl_j.candidate_api END"),
+        "candidate_json": F.expr("CASE WHEN parse_ok AND _dl_j.candidate_api IS NOT NULL "
+                                 "THEN get_json_object(_dl_block, '$.candidate_api') END"),
+        "suggestions": F.expr(f"CASE WHEN parse_ok THEN coalesce(_dl_j.suggestions, {EMPTY_STRINGS}) END"),
         "confidence": F.expr("CASE WHEN parse_ok THEN coalesce(_dl_j.confidence, 0.0D) END"),
         "parse_reason": F.expr("CASE WHEN parse_ok THEN _dl_j.reason END"),
     }).drop("_dl_block", "_dl_j")
@@ -51,9 +58,13 @@ def parse_responses(df: DataFrame, text_col: str = "response_text") -> DataFrame
 
 def carry_forward(df: DataFrame, keys: Sequence[str] = ("feature",),
                   order: str = "attempt_no") -> DataFrame:
-    """A failed parse keeps the previous attempt's candidate, keywords and
-    confidence (the original only replaces them after a good parse); before
-    any good parse they are NULL / [] / 0.0."""
+    """A failed parse keeps the previous attempt's candidate, keywords,
+    suggestions and confidence (the original only replaces them after a good
+    parse); before any good parse they are NULL / [] / [] / 0.0. A log parsed
+    elsewhere may lack ``candidate_json`` and ``suggestions``."""
+    for c, kind in (("candidate_json", "string"), ("suggestions", "array<string>")):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast(kind))
     over = (f"OVER (PARTITION BY {', '.join(f'`{k}`' for k in keys)} ORDER BY `{order}` "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 
@@ -62,7 +73,9 @@ def carry_forward(df: DataFrame, keys: Sequence[str] = ("feature",),
 
     return df.withColumns({
         "candidate_api": F.expr(last_good("candidate_api")),
+        "candidate_json": F.expr(last_good("candidate_json")),
         "search_keywords": F.expr(f"coalesce({last_good('search_keywords')}, {EMPTY_STRINGS})"),
+        "suggestions": F.expr(f"coalesce({last_good('suggestions')}, {EMPTY_STRINGS})"),
         "confidence": F.expr(f"coalesce({last_good('confidence')}, 0.0D)"),
     })
 
@@ -106,8 +119,9 @@ def resolve_attempts(log: DataFrame, keys: Sequence[str] = ("feature",),
 
     Attempts are taken in ``attempt_no`` order, up to ``max_attempts``, and
     stop at the first valid one. Output: api_found, api_details (candidate of
-    the first valid attempt), search_attempts (attempts used),
-    confidence_score / search_keywords / reason of the last attempt used.
+    the first valid attempt; api_details_json: all its fields as JSON text),
+    search_attempts (attempts used), confidence_score / search_keywords /
+    suggestions / reason of the last attempt used.
     Groups are at most ``max_attempts`` rows.
     """
     keys = list(keys)
@@ -121,29 +135,28 @@ def resolve_attempts(log: DataFrame, keys: Sequence[str] = ("feature",),
     x = x.where("_first_valid IS NULL OR attempt_no <= _first_valid")
     r = x.groupBy(*keys).agg(
         F.expr("count(1) AS search_attempts"),
-        F.expr("max_by(struct(confidence, search_keywords, reason, is_valid, candidate_api, probe_url), "
-               "attempt_no) AS _last"))
+        F.expr("max_by(struct(confidence, search_keywords, suggestions, reason, is_valid, candidate_api, "
+               "candidate_json, probe_url), attempt_no) AS _last"))
     return r.selectExpr(
         *[f"`{k}`" for k in keys],
         "_last.is_valid AS api_found",
         "CASE WHEN _last.is_valid THEN _last.candidate_api END AS api_details",
+        "CASE WHEN _last.is_valid THEN _last.candidate_json END AS api_details_json",
         "CASE WHEN _last.is_valid THEN _last.probe_url END AS api_url",
         "_last.confidence AS confidence_score",
         "_last.search_keywords AS search_keywords",
+        "_last.suggestions AS suggestions",
         "_last.reason AS reason",
         "CAST(search_attempts AS INT) AS search_attempts")
 
 
-EXISTS_REASON = "Feature already exists in dataset"
-MISSING_REASON = "Feature not found in existing columns"
-
-
 def dispositions(matches: DataFrame, resolved: DataFrame, key: str = "feature") -> DataFrame:
     """One disposition row per requested feature.
 
     Existing features skip the source search (0 attempts, nothing found);
     missing ones take their resolved attempts (none logged -> not found with
-    0 attempts). A missing feature whose attempts all failed is ``not_found``.
+    0 attempts). A missing feature whose attempts all failed is ``not_found``
+    and shows the responses' suggestions as alternatives.
     """
     r = resolved.withColumnRenamed(key, "_dl_key")
     keep = [c for c in matches.columns if c not in ("status", "mapped_to", "confidence",
@@ -159,12 +172,14 @@ def dispositions(matches: DataFrame, resolved: DataFrame, key: str = "feature")
         "AS search_keywords",
         f"{found} AS api_found",
         f"CASE WHEN {found} THEN api_details END AS api_details",
+        f"CASE WHEN {found} THEN api_details_json END AS api_details_json",
         f"CASE WHEN {found} THEN api_url END AS api_url",
         f"CASE WHEN {missing} THEN coalesce(confidence_score, 0.0D) ELSE 0.0D END AS confidence_score",
-        f"CASE WHEN status = '{fixed.STATUS_EXISTS}' THEN {_q(EXISTS_REASON)} "
-        f"WHEN {missing} THEN coalesce(reason, CASE WHEN NOT {found} THEN {_q(MISSING_REASON)} END) END "
+        f"CASE WHEN status = '{fixed.STATUS_EXISTS}' THEN {_q(fixed.REASON_EXISTS)} "
+        f"WHEN {missing} THEN coalesce(reason, CASE WHEN NOT {found} THEN {_q(fixed.REASON_MISSING)} END) END "
         "AS reason",
-        f"{EMPTY_STRINGS} AS suggested_alternatives",
+        f"CASE WHEN {missing} AND NOT {found} THEN coalesce(suggestions, {EMPTY_STRINGS}) ELSE {EMPTY_STRINGS} END "
+        "AS suggested_alternatives",
         f"CASE WHEN {missing} THEN coalesce(search_attempts, 0) ELSE 0 END AS search_attempts",
         f"CASE WHEN status = '{fixed.STATUS_EXISTS}' THEN '{fixed.STATUS_EXISTS}' "
         f"WHEN {found} THEN '{fixed.FINAL_FOUND}' ELSE '{fixed.FINAL_NOT_FOUND}' END AS final_status")
@@ -216,7 +231,7 @@ def disposition_report(disp: DataFrame) -> DataFrame:
     return categorize(disp).select(
         "category", "original_feature", F.col("report_confidence").alias("confidence"),
         F.col("reason").alias("reasoning"), "mapped_to", "similarity_scores", "api_details",
-        "search_attempts", "suggested_alternatives")
+        "api_details_json", "search_attempts", "suggested_alternatives")
 
 
 def report_metadata(disp: DataFrame, catalog: DataFrame, run_at: str) -> DataFrame:

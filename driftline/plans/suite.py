@@ -965,11 +965,12 @@ def attempt_log(spark, sf) -> DataFrame:
     body = ("concat('{\"search_keywords\": [\"', event_type, '\", \"u', uid, "
             "'\"], \"candidate_api\": {\"name\": \"source ', uid, '\", \"url\": \"', scheme, "
             "'://api.example.com/u', uid, '\", \"endpoint\": \"/v1/', event_type, "
-            "'\"}, \"confidence\": ', conf, '}')")
+            "'\", \"params\": [\"', event_type, '\", \"hour\"], \"coverage_notes\": {\"area\": \"u', uid, "
+            "'\"}}, \"confidence\": ', conf, '}')")
     text = (f"CASE event_id % 4 WHEN 0 THEN concat('```json\\n', {body}, '\\n```') "
             f"WHEN 1 THEN concat('Found one: ', {body}, ' (checked)') "
-            "WHEN 2 THEN '{\"search_keywords\": [], \"candidate_api\": null, "
-            "\"confidence\": 0.0, \"reason\": \"nothing suitable\"}' "
+            "WHEN 2 THEN concat('{\"search_keywords\": [], \"candidate_api\": null, "
+            "\"confidence\": 0.0, \"reason\": \"nothing suitable\", \"suggestions\": [\"other ', event_type, '\", \"none\"]}') "
             "ELSE concat('no answer for ', event_type) END")
     return first.selectExpr(
         "user_id AS feature", "attempt_no", f"{text} AS response_text",
@@ -1000,12 +1001,13 @@ a0 AS (
 a1 AS (
   SELECT *, '{{"search_keywords": ["' || et || '", "u' || uid || '"], "candidate_api": '
             || '{{"name": "source ' || uid || '", "url": "' || scheme || '://api.example.com/u' || uid
-            || '", "endpoint": "/v1/' || et || '"}}, "confidence": ' || conf || '}}' AS body
+            || '", "endpoint": "/v1/' || et || '", "params": ["' || et || '", "hour"], "coverage_notes": {{"area": "u'
+            || uid || '"}}}}, "confidence": ' || conf || '}}' AS body
   FROM a0),
 a2 AS (
   SELECT *, CASE event_id % 4 WHEN 0 THEN '```json' || chr(10) || body || chr(10) || '```'
                               WHEN 1 THEN 'Found one: ' || body || ' (checked)'
-                              WHEN 2 THEN '{{"search_keywords": [], "candidate_api": null, "confidence": 0.0, "reason": "nothing suitable"}}'
+                              WHEN 2 THEN '{{"search_keywords": [], "candidate_api": null, "confidence": 0.0, "reason": "nothing suitable", "suggestions": ["other ' || et || '", "none"]}}'
                               ELSE 'no answer for ' || et END AS response_text
   FROM a1),
 a3 AS (
@@ -1021,7 +1023,8 @@ a5 AS (
   SELECT *,
     CASE WHEN parse_ok THEN json_extract(block, '$.candidate_api') END AS cand_j,
     CASE WHEN parse_ok THEN coalesce(CAST(json_extract(block, '$.confidence') AS DOUBLE), 0.0) END AS conf_p,
-    CASE WHEN parse_ok THEN coalesce(array_to_string(CAST(json_extract(block, '$.search_keywords') AS VARCHAR[]), ','), '') END AS kw_p
+    CASE WHEN parse_ok THEN coalesce(array_to_string(CAST(json_extract(block, '$.search_keywords') AS VARCHAR[]), ','), '') END AS kw_p,
+    CASE WHEN parse_ok THEN coalesce(array_to_string(CAST(json_extract(block, '$.suggestions') AS VARCHAR[]), ','), '') END AS sg_p
   FROM a4),
 a6 AS (
   SELECT *,
@@ -1030,11 +1033,13 @@ a6 AS (
     last_value(conf_p IGNORE NULLS)
       OVER (PARTITION BY feature ORDER BY attempt_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS conf_w,
     last_value(kw_p IGNORE NULLS)
-      OVER (PARTITION BY feature ORDER BY attempt_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS kw_w
+      OVER (PARTITION BY feature ORDER BY attempt_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS kw_w,
+    last_value(sg_p IGNORE NULLS)
+      OVER (PARTITION BY feature ORDER BY attempt_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sg_w
   FROM a5),
 a7 AS (
   SELECT feature, attempt_no, outcome, http_status, coalesce(conf_w, 0.0) AS confidence,
-         coalesce(kw_w, '') AS keywords,
+         coalesce(kw_w, '') AS keywords, coalesce(sg_w, '') AS suggested,
          CASE WHEN cand_w.v IS NULL OR json_type(cand_w.v) = 'NULL' THEN NULL ELSE cand_w.v END AS cand
   FROM a6),
 a8 AS (
@@ -1068,6 +1073,8 @@ res AS (
   SELECT feature, count(*) AS search_attempts, arg_max(is_valid, attempt_no) AS api_found,
          arg_max(CASE WHEN is_valid THEN cname END, attempt_no) AS api_name,
          arg_max(CASE WHEN is_valid THEN probe_url END, attempt_no) AS api_url,
+         arg_max({{'j': CASE WHEN is_valid THEN CAST(cand AS VARCHAR) END}}, attempt_no).j AS api_json,
+         arg_max(suggested, attempt_no) AS suggested,
          arg_max(confidence, attempt_no) AS confidence_score, arg_max(keywords, attempt_no) AS keywords,
          arg_max({{'r': reason}}, attempt_no).r AS reason
   FROM used GROUP BY feature)
@@ -1092,7 +1099,12 @@ def q_dispositions(spark, sf):
     d = _dispositions(spark, sf)
     return finish(d.select("pos", "original_feature", "normalization_status", "mapped_to",
                            "normalization_confidence", "api_found",
-                           F.col("api_details.name").alias("api_name"), "confidence_score", "reason",
+                           F.col("api_details.name").alias("api_name"), "api_details_json", "api_url",
+                           F.expr("array_join(transform(array_sort(map_entries(similarity_scores)), "
+                                  "e -> concat(e.key, '=', format_string('%.4f', e.value))), ';')").alias("scores"),
+                           F.array_join("search_keywords", ",").alias("keywords"),
+                           F.array_join("suggested_alternatives", ",").alias("alternatives"),
+                           "confidence_score", "reason",
                            "search_attempts", "final_status", "category", "report_confidence"))
 
 
@@ -1101,16 +1113,23 @@ dj AS (
   SELECT mt.pos, mt.feature AS original_feature, mt.status AS normalization_status, mt.mapped_to,
          mt.confidence AS normalization_confidence, mt.status = '{fixed.STATUS_MISSING}' AS missing,
          res.api_found AS r_found, res.api_name AS r_name, res.confidence_score AS r_conf,
-         res.reason AS r_reason, res.search_attempts AS r_att
-  FROM mt LEFT JOIN res ON mt.pos = res.feature),
+         res.reason AS r_reason, res.search_attempts AS r_att, res.api_json, res.api_url AS r_url,
+         res.keywords AS r_keywords, res.suggested, coalesce(ss.scores, '') AS scores
+  FROM mt LEFT JOIN res ON mt.pos = res.feature
+  LEFT JOIN (SELECT feature, string_agg(column_name || '=' || printf('%.4f', score), ';' ORDER BY column_name) AS scores
+             FROM top WHERE rank <= {fixed.TOP_N_SCORES} GROUP BY feature) ss ON mt.feature = ss.feature),
 disp AS (
   SELECT pos, original_feature, normalization_status, mapped_to, normalization_confidence,
          missing AND coalesce(r_found, false) AS api_found,
          CASE WHEN missing AND coalesce(r_found, false) THEN r_name END AS api_name,
+         CASE WHEN missing AND coalesce(r_found, false) THEN api_json END AS api_details_json,
+         CASE WHEN missing AND coalesce(r_found, false) THEN r_url END AS api_url, scores,
+         CASE WHEN missing THEN coalesce(r_keywords, '') ELSE '' END AS keywords,
+         CASE WHEN missing AND NOT coalesce(r_found, false) THEN coalesce(suggested, '') ELSE '' END AS alternatives,
          CASE WHEN missing THEN coalesce(r_conf, 0.0) ELSE 0.0 END AS confidence_score,
-         CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{discovery.EXISTS_REASON}'
+         CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{fixed.REASON_EXISTS}'
               WHEN missing THEN coalesce(r_reason, CASE WHEN NOT (missing AND coalesce(r_found, false))
-                                                        THEN '{discovery.MISSING_REASON}' END) END AS reason,
+                                                        THEN '{fixed.REASON_MISSING}' END) END AS reason,
          CAST(CASE WHEN missing THEN coalesce(r_att, 0) ELSE 0 END AS INTEGER) AS search_attempts,
          CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{fixed.STATUS_EXISTS}'
               WHEN missing AND coalesce(r_found, false) THEN '{fixed.FINAL_FOUND}'
@@ -1121,7 +1140,8 @@ disp AS (
 SQL_DISPOSITIONS = f"""
 WITH {REQUESTED_SQL}, {SCORES_SQL}, {ATTEMPTS_SQL}, {DISP_SQL}
 SELECT pos, original_feature, normalization_status, mapped_to,
-       round(normalization_confidence, 6) AS normalization_confidence, api_found, api_name,
+       round(normalization_confidence, 6) AS normalization_confidence, api_found, api_name, api_details_json,
+       api_url, scores, keywords, alternatives,
        round(confidence_score, 6) AS confidence_score, reason, search_attempts, final_status,
        CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{fixed.CATEGORY_EXISTING}'
             WHEN api_found THEN '{fixed.CATEGORY_NEW}' ELSE '{fixed.CATEGORY_NOT_FOUND}' END AS category,

@@ -126,3 +126,14 @@ def test_remaining(spark):
     req = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "pos int, feature string")
     done = spark.createDataFrame([("b",)], "feature string")
     assert sorted(r["feature"] for r in disc.remaining(req, done).collect()) == ["a", "c"]
+
+
+def test_whole_candidate_and_suggestions_are_kept(spark):
+    text = ('{"search_keywords": ["k"], "candidate_api": {"name": "n", "url": "%s", "params": {"q": [1, 2]}, '
+            '"coverage_notes": "all"}, "suggestions": ["s1", "s2"]}')
+    rows = [("found", 1, text % "https://a", "http", 200), ("lost", 1, text % "https://a", "http", 404),
+            ("lost", 2, "not json", "http", 404)]
+    out = {r["feature"]: r for r in disc.resolve_attempts(spark.createDataFrame(rows, LOG_SCHEMA)).collect()}
+    assert out["found"]["api_details_json"] == \
+        '{"name":"n","url":"https://a","params":{"q":[1,2]},"coverage_notes":"all"}'
+    assert out["lost"]["api_details_json"] is None and out["lost"]["suggestions"] == ["s1", "s2"]
