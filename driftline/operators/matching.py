@@ -81,7 +81,8 @@ def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFram
 
     # candidate pairs from three equi-joins, tagged by kind; one aggregate per
     # pair afterwards (dedup + scoring), so edit distance is computed once
-    exact = req.join(cat, req["_rs"] == cat["_cs"]).selectExpr(
+    # (names without a letter or digit all squash to nothing and aren't equal by that)
+    exact = req.where("_rs <> ''").join(cat, req["_rs"] == cat["_cs"]).selectExpr(
         "feature", "column_name", "_rn", "_cn", "1 AS _kind")
     pairs = F.broadcast(_alias_pairs(aliases))  # fixed, small
     via = req.join(pairs, req["_rs"] == pairs["a"]).selectExpr("feature", "_rn", "b")

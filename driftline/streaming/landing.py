@@ -59,8 +59,10 @@ def append_new_hours(batch: DataFrame, target: str, keys: Sequence[str] = (),
         dates = [r[0] for r in b.select(DATE_COL).distinct().collect()]  # one row per day
         if not dates:
             return 0
-        existing = (spark.read.format(fmt).load(target)
-                    .filter(F.col(DATE_COL).isin(dates)).select(*on))
+        touched = F.col(DATE_COL).isin([d for d in dates if d is not None])
+        if None in dates:
+            touched = touched | F.col(DATE_COL).isNull()
+        existing = spark.read.format(fmt).load(target).filter(touched).select(*on)
         b = new_rows(b, existing, keys=keys, time_col=time_col)
     b = b.persist()
     n = b.count()

@@ -3,7 +3,7 @@ import datetime as dt
 import os
 import shutil
 
-from driftline.streaming.landing import ingest_stream
+from driftline.streaming.landing import append_new_hours, ingest_stream
 
 from .test_daily import _payloads
 
@@ -41,3 +41,11 @@ def test_stream_ingest(spark, tmp_dir):
     first = df.filter("datetime = TIMESTAMP_NTZ'2025-09-21 01:00:00'").first()
     assert first["pm2_5"] == round((1 * 7 + 2 * 13 + 1) % 50 + 0.5, 2)
     assert sum(n for _, n in log) == 48
+
+
+def test_null_hours_are_appended_once(spark, tmp_dir):
+    rows = spark.createDataFrame([(dt.datetime(2025, 9, 20, 1), 1.0), (None, 2.0)], "datetime timestamp_ntz, pm10 double")
+    target = os.path.join(tmp_dir, "hours")
+    assert [append_new_hours(rows, target) for _ in range(2)] == [2, 0]
+    only_null = rows.where("datetime IS NULL")
+    assert append_new_hours(only_null, target) == 0 and spark.read.parquet(target).count() == 2
