@@ -37,6 +37,20 @@ def line_hash(line: Column, min_chars: int = MIN_CHARS) -> Column:
     return F.when(F.length(key) >= min_chars, F.md5(key))
 
 
+#: Hashes up to which a line's is sought one by one; in more, by halving.
+FEW = 32
+
+
+def holds(ordered: Column, value: Column, powers: Column) -> Column:
+    """Whether the sorted array holds ``value``, by binary search; ``powers``: of two, falling to 1, up to its size.
+
+    Between two lookups the place of the largest element up to ``value`` is known to the next binary digit.
+    """
+    place = F.aggregate(powers, F.lit(0), lambda at, step: F.when(
+        F.get(ordered, at + step) <= value, at + step).otherwise(at))
+    return F.get(ordered, place) == value
+
+
 class Runs:
     """Levels of sorted runs of distinct line hashes."""
 
@@ -134,11 +148,18 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
 
     marked = join_by_size(pairs, drops, ["h", "__batch"], "__n", pairs.count())
     goes = ~F.col("__new") | F.col("__id").isNull() & F.col("__first").isNotNull() | (F.col("__id") > F.col("__first"))
-    gone = marked.where(goes).groupBy(F.col("__id").alias("__gone")).agg(F.collect_set("h").alias("__hashes"))
+    gone = marked.where(goes).groupBy(F.col("__id").alias("__gone")).agg(F.sort_array(F.collect_set("h")).alias("__hashes")) \
+        .withColumn("__powers", F.transform(F.sequence(F.floor(F.log2(F.size("__hashes"))), F.lit(0), F.lit(-1)),
+                                            lambda k: F.pow(F.lit(2), k).cast("int")))
+
+    def without(search) -> Column:
+        hashed = F.transform(lines, lambda x: F.struct(x.alias("line"), line_hash(x, min_chars).alias("h")))
+        return F.transform(F.filter(hashed, lambda x: F.coalesce(~search(x["h"]), F.lit(True))), lambda x: x["line"])
 
     found = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left")
-    stays = F.when(F.col("__hashes").isNull(), lines).otherwise(F.filter(lines, lambda x: F.coalesce(
-        ~F.array_contains("__hashes", line_hash(x, min_chars)), F.lit(True))))
+    stays = F.when(F.col("__hashes").isNull(), lines) \
+        .when(F.size("__hashes") <= FEW, without(lambda h: F.array_contains("__hashes", h))) \
+        .otherwise(without(lambda h: holds(F.col("__hashes"), h, F.col("__powers"))))
     kept = found.select(*own, F.size(lines).cast("bigint").alias("__n_lines"), stays.alias("__stays"))
     names = {c.lower() for c in ("n_lines", "n_dropped")}
     return kept.select(

@@ -136,6 +136,19 @@ def test_line_dedup(docs):
     assert "n_words" in found[0] and found[0].component_id == "clash"
 
 
+def test_line_dedup_of_long_texts(spark):
+    """A text of many lines, all but every seventh of which an earlier one holds (more than are sought one by one)."""
+    shared = [f"a line that two documents hold, number {i}" for i in range(30_000)]
+    own = ["mine alone, " + x if i % 7 == 0 else x for i, x in enumerate(shared)]
+    few = [*shared[:5], "", "short", "one line of its own"]
+    docs = spark.createDataFrame([(1, "\n".join(shared)), (2, "\n".join(own)), (3, "\n".join(few))],
+                                 "doc_id long, text string")
+    found = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in lines.line_dedup(docs).collect()}
+    kept = own[::7]
+    assert found == {1: ("\n".join(shared), 30_000, 0), 2: ("\n".join(kept), 30_000, 30_000 - len(kept)),
+                     3: ("\n".join(few[5:]), 8, 5)}
+
+
 def test_line_runs_merge_levels(spark):
     runs = lines.Runs(spark, fanout=2)
     for k in range(5):
