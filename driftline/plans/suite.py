@@ -129,20 +129,22 @@ def _field_getter(name):
     return lambda r: r[name]
 
 
-def q_payload_explode(spark, sf):
+def payload_text(spark, sf, fields: dict[str, str]) -> DataFrame:
     """hourly series -> one payload per day (<= 24 hours, parallel arrays under
-    ``hourly``, source field names) as JSON text -> parsed and exploded back."""
-    hw = _hourly(spark, sf)
-    src = {dst: srcname for srcname, dst in fixed.POLLUTANT_FIELDS.items()}
-    metrics = list(src)
-    per_day = hw.groupBy(F.to_date("datetime").alias("day")).agg(
-        F.array_sort(F.collect_list(F.struct("datetime", *metrics))).alias("rows"))
+    ``hourly``, source field names) as JSON text."""
+    src = {dst: srcname for srcname, dst in fields.items()}
+    per_day = _hourly(spark, sf).groupBy(F.to_date("datetime").alias("day")).agg(
+        F.array_sort(F.collect_list(F.struct("datetime", *[F.col(f"`{m}`") for m in src]))).alias("rows"))
     hourly = F.struct(
         F.transform("rows", lambda r: F.date_format(r["datetime"], fixed.FMT_PAYLOAD)).alias("time"),
-        *[F.transform("rows", _field_getter(m)).alias(src[m]) for m in metrics])
-    text = per_day.select(F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"))
-    parsed = text.select(payload_src.parse_payload_text(F.col("payload"), fixed.POLLUTANT_FIELDS)
-                         .alias("p")).select("p.*")
+        *[F.transform("rows", _field_getter(m)).alias(src[m]) for m in src])
+    return per_day.select(F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"))
+
+
+def q_payload_explode(spark, sf):
+    """A payload per day as JSON text -> parsed and exploded back."""
+    parsed = payload_text(spark, sf, fixed.POLLUTANT_FIELDS).select(
+        payload_src.parse_payload_text(F.col("payload"), fixed.POLLUTANT_FIELDS).alias("p")).select("p.*")
     return finish(payload_src.explode_payload(parsed, fixed.POLLUTANT_FIELDS))
 
 
