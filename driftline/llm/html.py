@@ -2,10 +2,13 @@
 
 Every page becomes a tree. For each node the number of characters per tag is
 adjusted by the share of link text; the sum of a node's children's densities is
-largest for the node that holds the article's paragraphs. That subtree is the
-main text. The smallest density on the path from the body to it is a threshold:
-further subtrees as dense as that, with a fair share of the best sum, are parts
-of the same text.
+largest for the node that holds most of the article's paragraphs. The sum only
+finds the text: all of the outermost article or main element around that node is
+kept, headline, lead and short sections too. Without such an element it is the
+outermost element with few links around the node, less lists of links beside the
+node. Further article and main elements are kept, and so are subtrees elsewhere
+that are as dense as the path from the body to the node, with a fair share of
+the best sum.
 """
 
 from __future__ import annotations
@@ -21,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, text_or_empty
 
-#: Share of the best density sum that a further subtree must have.
+#: Share of the best density sum that a subtree outside the text's own element must have.
 PART = 0.25
+#: Largest share of link text of an element that is kept whole though it is no article or main element.
+LINKS = 1 / 3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -194,26 +199,35 @@ def densities(nodes: list[Node]) -> None:
             node.parent.total += node.density
 
 
+def link_list(node: Node) -> bool:
+    """Whether an element is little more than several links."""
+    return (node.tag == "ul" or node.tag not in PIECES) and node.link_tags >= 3 and 2 * node.link_chars > node.chars
+
+
 def selected(nodes: list[Node]) -> list[Node]:
-    """The roots of the main text, in page order, none inside another."""
+    """The roots of the main text, in page order, none inside another; marks lists of links beside it as dropped."""
     holders = [n for n in nodes if n.tag not in PIECES]
     best = max(holders, key=lambda n: n.total, default=nodes[0])  # the first of equals is the outermost
     if not best.total:
         return nodes[:1]
-    threshold, node = best.density, best
-    while node.parent:
-        node = node.parent
-        threshold = min(threshold, node.density)
-    inside, out = set(), []
-    above, node = set(), best
-    while node.parent:
-        node = node.parent
-        above.add(id(node))
+    threshold, path = best.density, [best]
+    while path[-1].parent:
+        path.append(path[-1].parent)
+        threshold = min(threshold, path[-1].density)
+    around = [n for n in path if n.tag in CONTENT]
+    whole = around or [n for n in path if n.link_chars <= LINKS * n.chars] or [best]
+    chosen, above = whole[-1], {id(n) for n in path}
+    inside, beside, out = set(), set(), []
     for node in nodes:
-        if node.parent and id(node.parent) in inside:
+        up = id(node.parent)
+        if node.parent and up in inside:
             inside.add(id(node))
-        elif node is best or id(node) not in above and node.tag not in PIECES and node.density >= threshold \
-                and node.total >= PART * best.total:
+            if not around and (up in beside or up in above and up != id(best)) and id(node) not in above:
+                beside.add(id(node))
+                node.drop = link_list(node)
+        elif node is chosen or id(node) not in above and (
+                node.tag in CONTENT and not link_list(node)
+                or node.tag not in PIECES and node.density >= threshold and node.total >= PART * best.total):
             inside.add(id(node))
             out.append(node)
     return out

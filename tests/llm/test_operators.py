@@ -232,6 +232,25 @@ def test_html_parts_of_one_text():
     assert html.main_text(page).count("lazy") == 8 and "Buy" not in html.main_text(page)
 
 
+def words(n: int, mark: str) -> str:
+    return f"{mark} " + "x" * (n - len(mark))
+
+
+def test_html_short_pieces_stay():
+    def sections(n: int, mark: str) -> str:
+        return "<section>" + "".join(f"<p>{words(500, f'{mark}{i}')}</p>" for i in range(n)) + "</section>"
+
+    links = "<div>" + "".join(f"<a href=/{i}>Link number {i}</a> " for i in range(4)) + "</div>"
+    story = f"<h1>{words(30, 'head')}</h1><p>{words(200, 'lead')}</p>{sections(10, 'long')}{sections(2, 'short')}"
+    want = ["head", "lead", *(f"long{i}" for i in range(10)), "short0", "short1"]
+    for page in (f"<body>{links}<article>{story}</article></body>", f"<body>{links}<div>{story}</div></body>",
+                 f"<body>{links}<main><h1>{words(30, 'top')}</h1><article>{story}</article></main></body>",
+                 f"<body><article>{story}</article>{links}<article><p>{words(40, 'next')}</p></article></body>"):
+        found = [x.split()[0] for x in html.main_text(page).split("\n")]
+        assert [x for x in found if x not in ("top", "next")] == want
+        assert ("top" in found) == (">top" in page) and ("next" in found) == (">next" in page)
+
+
 def test_mixing(docs):
     found = mixing.mix(docs).collect()
     size = Counter()
