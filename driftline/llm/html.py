@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import arrow_map, text_or_empty
 
-#: Share of the best density sum that a subtree outside the text's own element must have.
+#: Share of the best density sum that a subtree outside the text's own element must have; also the share of a named
+#: wrapper's text from which an article outside of it is the text instead.
 PART = 0.25
 #: Largest share of link text of an element that is kept whole though it is no article or main element.
 LINKS = 1 / 3
@@ -52,9 +53,9 @@ IMPLIED_END = {
 PARAGRAPH_BARRIER = frozenset("button table td th caption object".split())
 #: Elements that are never article text.
 DROPPED = RAW | frozenset((
-    "head nav footer aside form button select input label menu svg math canvas object embed audio video map "
+    "head nav footer aside button select input label menu svg math canvas object embed audio video map "
     "dialog").split())
-#: Words of class, id or role that name what isn't article text.
+#: Words of class, id or role that name what isn't article text, unless the text is inside (see ``judge``).
 DROPPED_NAMES = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
     "menu breadcrumb breadcrumbs sidebar aside footer comment comments disqus reply replies cookie cookies consent "
@@ -69,28 +70,29 @@ PIECES = frozenset((
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "drop", "doubtful", "own", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubtful: bool = False):
+        self.tag, self.parent, self.drop, self.doubtful = tag, parent, drop, doubtful
         self.parts: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.own = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def dropped(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is none of the article; ``inside``: of an article or main element."""
+def dropped(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is none of the article, or isn't unless the text is in it; ``inside``: of an article or main."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True
+        return True, False
+    doubtful = tag == "form"
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return False, doubtful
     for name, value in ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return True
+            return True, False
         if name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(NAME.findall(value.lower())):
-            return True
-    return False
+            doubtful = True
+    return False, doubtful
 
 
 def parse(page: str) -> Node:
@@ -151,7 +153,8 @@ def parse(page: str) -> Node:
             while node.tag != "head":
                 node = node.parent
             close(node)
-        node = Node(tag, at, at.drop or dropped(tag, token[3], content > 0))
+        drop, doubtful = dropped(tag, token[3], content > 0)
+        node = Node(tag, at, at.drop or drop, doubtful)
         at.parts.append(node)
         if tag in RAW and not token[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
@@ -173,11 +176,50 @@ def ordered(root: Node) -> list[Node]:
     return out
 
 
+def judge(nodes: list[Node]) -> list[Node]:
+    """Nodes that stay; marks named elements and forms as dropped unless the text is in them.
+
+    Such an element is a mere wrapper if it contains an article or main element with at least as
+    much text as each article or main element has outside of all named elements and forms. It also is if it
+    holds most of the page's text, links aside, and no such outer element has a fair share of that.
+    """
+    plain, clear, holds = {}, {}, {}  # characters outside links: all, those outside doubtful nodes; of the largest article inside
+    for node in nodes:
+        node.own = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str))
+    if not any(n.doubtful for n in nodes):
+        return nodes
+    for node in reversed(nodes):
+        at = id(node)
+        if node.tag == "a":
+            plain[at] = clear[at] = 0
+        else:
+            plain[at] = plain.get(at, 0) + node.own
+            clear[at] = clear.get(at, 0) + node.own
+        if node.parent:
+            up = id(node.parent)
+            plain[up] = plain.get(up, 0) + plain[at]
+            clear[up] = clear.get(up, 0) + (0 if node.doubtful else clear[at])
+            holds[up] = max(holds.get(up, 0), holds.get(at, 0), plain[at] if node.tag in CONTENT else 0)
+    within, outer = set(), 0
+    for node in nodes:
+        if node.doubtful or node.parent and id(node.parent) in within:
+            within.add(id(node))
+        elif node.tag in CONTENT:
+            outer = max(outer, clear[id(node)])
+    page, out = plain[id(nodes[0])], []
+    for node in nodes:
+        at = id(node)
+        node.drop = bool(node.parent) and node.parent.drop or node.doubtful and not (
+            holds.get(at, 0) >= max(outer, 1) or 2 * plain[at] > page and outer < PART * plain[at])
+        if not node.drop:
+            out.append(node)
+    return out
+
+
 def densities(nodes: list[Node]) -> None:
     """Characters, tags and their link shares bottom-up, then density and its sum over children."""
     for node in reversed(nodes):
-        own = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str))
-        node.chars += own
+        node.chars += node.own
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.tags + 1
         if node.parent:
@@ -261,7 +303,7 @@ def main_text(page: str) -> str:
     start = next((x for x in root.parts if not isinstance(x, str) and x.tag == "body"), root)
     if start is not root:
         start.parent = None
-    nodes = ordered(start)
+    nodes = judge(ordered(start))
     densities(nodes)
     return "\n".join(x for node in selected(nodes) for x in blocks(node))
 

@@ -251,6 +251,26 @@ def test_html_short_pieces_stay():
         assert ("top" in found) == (">top" in page) and ("next" in found) == (">next" in page)
 
 
+@pytest.mark.parametrize("wrapper", [
+    "div class='content-sidebar-wrap'", "div class='page has-sidebar'", "form id='aspnetForm'", "div id=overflow-hidden"])
+def test_html_named_wrappers_stay(wrapper):
+    def page(before: str, text: str, after: str = "") -> str:
+        return f"<body>{before}<{wrapper}>{text}</{wrapper.split()[0]}>{after}</body>"
+
+    paragraphs = "".join(f"<p>{words(300, f'text{i}')}</p>" for i in range(5))
+    junk = f"<div class='ad-box'>{words(20, 'buy')}</div><form class=search><p>{words(20, 'find')}</p></form>"
+    comments = f"<div id=comments><article>{words(90, 'comment')}</article></div>"
+    for text in (f"<article>{paragraphs}</article>", f"<main>{paragraphs}</main>", f"<div>{paragraphs}</div>"):
+        for whole in (page(junk, junk + text), page("<p>Some words</p>", text, junk),
+                      f"<body><main><h1>Title</h1>{page('', text + junk)[6:-7]}</main></body>"):
+            found = html.main_text(whole)
+            assert [x.split()[0] for x in found.split("\n") if x.startswith("text")] == [f"text{i}" for i in range(5)]
+            assert "buy" not in found and "find" not in found
+    assert "comment" not in html.main_text(f"<body><article>{paragraphs}</article>{comments}{junk}</body>")
+    assert "text4" not in html.main_text(page("", "<p>text4</p>", f"<article><p>{words(300, 'other')}</p></article>"))
+    assert html.main_text(f"<body hidden><div hidden><article>{paragraphs}</article></div></body>") == ""
+
+
 def test_mixing(docs):
     found = mixing.mix(docs).collect()
     size = Counter()
