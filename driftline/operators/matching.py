@@ -7,15 +7,17 @@ Scores per (requested feature, catalog column):
 * 0.8 when one is a canonical name and the other one of its aliases (two
   aliases of one canonical do not match each other);
 * ``least(0.7, 1 - levenshtein / longer length)`` when the normalised names
-  are within ``max_edits`` edits. The 0.7 cap keeps edit distance alone from
-  passing the strict ``> 0.7`` acceptance gate.
-
-Candidates come from equi-joins only, never from a cross join or from all
-pairs sharing a word: exact and alias pairs join on the squashed name, and
-near pairs join on shared deletion variants (every string reachable by
-deleting up to ``max_edits`` characters). Two names within ``d`` edits always
-share such a variant, so the near set is exact, and a shared variant implies
-the pair is genuinely close.
+  share a token, however far apart they are, or are within ``max_edits`` edits.
+  The 0.7 cap keeps edit distance alone from passing the strict ``> 0.7``
+  acceptance gate.
+
+Candidates come from equi-joins only, never from a cross join: exact and alias
+pairs join on the squashed name, token pairs on each token of the distinct
+normalised names (a pair is made at its first shared token only), and near
+pairs join on shared deletion variants (every string reachable by deleting up
+to ``max_edits`` characters). Two names within ``d`` edits always share such a
+variant, so the near set is exact. The token pairs are as many as the pairs of
+names that share a token; ``shared_tokens=False`` leaves them out.
 """
 
 from __future__ import annotations
@@ -67,9 +69,21 @@ def deletion_variants(c: Column, max_edits: int) -> Column:
     return out
 
 
+def _token_pairs(req: DataFrame, cat: DataFrame) -> DataFrame:
+    """Features and columns whose normalised names share a token, each pair once."""
+    def tokens(names: DataFrame, name: str, all_of: str) -> DataFrame:
+        return (names.select(name).distinct()
+                .selectExpr(name, f"filter(split({name}, '_'), t -> t <> '') AS {all_of}")
+                .selectExpr("*", f"explode(array_distinct({all_of})) AS _t"))
+
+    names = (tokens(req, "_rn", "_rt").join(tokens(cat, "_cn", "_ct"), "_t")
+             .where("_t = array_min(array_intersect(_rt, _ct))").select("_rn", "_cn"))
+    return names.join(req.select("feature", "_rn"), "_rn").join(cat.select("column_name", "_cn"), "_cn")
+
+
 def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFrame | None = None,
                      max_edits: int = 2, feature_col: str = "feature",
-                     column_col: str = "column_name") -> DataFrame:
+                     column_col: str = "column_name", shared_tokens: bool = True) -> DataFrame:
     """``(feature, column_name, score)``: every scored pair, best score kept."""
     spark = requested.sparkSession
     aliases = aliases if aliases is not None else alias_table(spark)
@@ -79,7 +93,7 @@ def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFram
         .selectExpr("column_name", f"{normalize_name_sql('column_name')} AS _cn",
                     f"{_squash('column_name')} AS _cs")
 
-    # candidate pairs from three equi-joins, tagged by kind; one aggregate per
+    # candidate pairs from four equi-joins, tagged by kind; one aggregate per
     # pair afterwards (dedup + scoring), so edit distance is computed once
     # (names without a letter or digit all squash to nothing and aren't equal by that)
     exact = req.where("_rs <> ''").join(cat, req["_rs"] == cat["_cs"]).selectExpr(
@@ -95,10 +109,12 @@ def match_candidates(requested: DataFrame, catalog: DataFrame, aliases: DataFram
                             f"explode({deletion_variants_sql('_cn', max_edits)}) AS _v")
         u = u.unionByName(rv.join(cv, "_v").selectExpr("feature", "column_name", "_rn", "_cn",
                                                         "3 AS _kind"))
+    if shared_tokens:
+        u = u.unionByName(_token_pairs(req, cat).selectExpr("feature", "column_name", "_rn", "_cn", "4 AS _kind"))
     per_pair = u.groupBy("feature", "column_name").agg(
-        F.expr("min(_kind) AS _k"), F.expr("first(_rn) AS _rn"), F.expr("first(_cn) AS _cn"))
+        F.expr("min(_kind) AS _k"), F.expr("max(_kind) = 4 AS _shared"), F.expr("first(_rn) AS _rn"), F.expr("first(_cn) AS _cn"))
     score = (f"CASE _k WHEN 1 THEN {fixed.EXACT_SCORE!r} WHEN 2 THEN {fixed.ALIAS_SCORE!r} "
-             f"ELSE CASE WHEN levenshtein(_rn, _cn) <= {int(max_edits)} THEN least({fixed.FUZZY_CAP!r}, "
+             f"ELSE CASE WHEN _shared OR levenshtein(_rn, _cn) <= {int(max_edits)} THEN least({fixed.FUZZY_CAP!r}, "
              "1.0D - levenshtein(_rn, _cn) / greatest(length(_rn), length(_cn), 1)) END END")
     return per_pair.selectExpr("feature", "column_name", f"{score} AS score").where("score IS NOT NULL")
 
@@ -113,14 +129,14 @@ def top_candidates(cands: DataFrame, top_n: int = fixed.TOP_N_SCORES) -> DataFra
 def match_features(requested: DataFrame, catalog: DataFrame, aliases: DataFrame | None = None,
                    threshold: float = fixed.SIMILARITY_THRESHOLD, top_n: int = fixed.TOP_N_SCORES,
                    max_edits: int = 2, feature_col: str = "feature",
-                   column_col: str = "column_name") -> DataFrame:
+                   column_col: str = "column_name", shared_tokens: bool = True) -> DataFrame:
     """One row per requested row: status, mapped_to, confidence, similarity_scores.
 
     ``already_exists`` when the best score is strictly above ``threshold``;
     else ``missing`` (confidence = best score, 0.0 with no candidate).
     """
     top = top_candidates(match_candidates(requested, catalog, aliases, max_edits,
-                                          feature_col, column_col), top_n)
+                                          feature_col, column_col, shared_tokens), top_n)
     best = top.groupBy("feature").agg(
         F.expr("max_by(column_name, struct(score, -rank)) AS _best"),
         F.expr("max(score) AS _score"),

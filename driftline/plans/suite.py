@@ -861,7 +861,8 @@ mt AS (SELECT req.pos, req.feature,
 
 
 def _matches(spark, sf):
-    return matching.match_features(requested_features(spark, sf), column_names(spark, sf))
+    # SCORES_SQL has no token candidates
+    return matching.match_features(requested_features(spark, sf), column_names(spark, sf), shared_tokens=False)
 
 
 def q_match_features(spark, sf):
@@ -876,7 +877,7 @@ SELECT pos, feature, status, mapped_to, round(confidence, 6) AS confidence FROM
 
 def q_match_candidates(spark, sf):
     c = matching.top_candidates(matching.match_candidates(requested_features(spark, sf),
-                                                          column_names(spark, sf)))
+                                                          column_names(spark, sf), shared_tokens=False))
     return finish(c.select("feature", "column_name", "score", F.col("rank").cast("int").alias("rank")))
 
 

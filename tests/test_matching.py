@@ -1,4 +1,7 @@
 """Feature-name matcher: golden statuses and candidate rules."""
+import re
+
+from driftline import fixed
 from driftline.operators import matching
 from driftline.plans import suite
 
@@ -54,3 +57,47 @@ def test_deletion_variants_exact_for_two_edits(spark):
         return d[-1]
     want = {(a, b) for a in names for b in names if lev(a, b) <= 2}
     assert got == want
+
+
+def _plain_candidates(requested, catalog):
+    """SURVEY 2.14 (1)-(3) pair by pair."""
+    def norm(x):
+        x = re.sub(r"^_+|_+$", "", re.sub(r"[^a-z0-9]+", "_", x.lower()))
+        return re.sub(r"_(index|data|measurements)$", "", x)
+
+    def lev(a, b):
+        d = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            p, d[0] = d[0], i
+            for j, cb in enumerate(b, 1):
+                p, d[j] = d[j], min(d[j] + 1, d[j - 1] + 1, p + (ca != cb))
+        return d[-1]
+
+    flat = lambda x: norm(x).replace("_", "")
+    alias = {(flat(c), flat(a)) for c, names in fixed.ALIASES.items() for a in names}
+    out = {}
+    for f in requested:
+        for c in catalog:
+            a, b = norm(f), norm(c)
+            if flat(f) == flat(c):
+                out[f, c] = 1.0
+            elif (flat(f), flat(c)) in alias or (flat(c), flat(f)) in alias:
+                out[f, c] = 0.8
+            elif set(a.split("_")) & set(b.split("_")) or lev(a, b) <= 2:
+                out[f, c] = min(0.7, 1 - lev(a, b) / max(len(a), len(b)))
+    return out
+
+
+def test_shared_tokens(spark):
+    requested = [*REQUESTED, "Wind_direction data", "max max wind speed", "humidity", "soil moisture"]
+    catalog = [*suite.FEATURE_COLUMNS, "wind_speed_10m_max", "WIND speed", "surface pressure", "direction of the wind"]
+    want = _plain_candidates(requested, catalog)
+    found = matching.match_candidates(spark.createDataFrame([(x,) for x in requested], "feature string"),
+                                      spark.createDataFrame([(x,) for x in catalog], "column_name string")).collect()
+    assert len(found) == len(want)
+    assert {(r["feature"], r["column_name"]): round(r["score"], 9) for r in found} \
+        == {k: round(v, 9) for k, v in want.items()}
+    out = _run(spark, requested, catalog)
+    for f in ("wind_direction", "sea_surface_temperature"):
+        assert out[f]["status"] == "missing" and 0 < out[f]["confidence"] <= 0.7
+        assert len(out[f]["similarity_scores"]) == min(5, sum(x == f for x, _ in want))
