@@ -205,6 +205,16 @@ def test_near_duplicates_of_a_crowded_region(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == plain_components(rows)
 
 
+def test_links_of_low_agreement(spark):
+    # similarity 12 / 16 each, but only 74 and 69 of 128 signature values agree
+    rows = []
+    for i, seed in enumerate((11334, 21770)):
+        own = [f"w{seed}x{j}" for j in range(20)]
+        rows += [(2 * i, " ".join(own[:16])), (2 * i + 1, " ".join(own))]
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {0: 0, 1: 0, 2: 2, 3: 2}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a = "</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>
 <div class="ad">Buy this now</div><div class="cookie-notice"><p>We use cookies, really a lot of them.</p></div>
