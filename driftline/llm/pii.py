@@ -2,7 +2,7 @@
 
 Candidate spans are what loose patterns find. Labelers look at each: strict
 patterns and checksums, gazetteers (top-level domains, card prefixes, calling
-codes, given names) and the words before it; each votes for, against, or not at all.
+codes) and the words before it; each votes for, against, or not at all.
 Expectation-maximisation over the counts of vote patterns estimates how often
 each labeler is right for each kind, without labels. The posteriors then train
 a span classifier (logistic regression over votes and the shape of the span),
