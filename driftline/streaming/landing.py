@@ -6,7 +6,10 @@ raw table. The sink keeps the first row per hour (existing rows win), like
 the batch ``ingest_day``:
 
 * the stream-stream inner join carries a watermark on both sides, so join
-  state for old hours is dropped instead of growing forever;
+  state for old hours is dropped instead of growing forever. **Hours that land
+  later than the watermark (two days by default) may be left out without a
+  message, and for good**; the batch ``ingest_day`` takes them, so run it over
+  the folders when data lands that late;
 * ``foreachBatch`` appends only the hours that are not in the target yet.
   The anti-join reads just the key columns of the target partitions (by
   date) that the micro-batch touches, so its cost follows the batch, not the
