@@ -242,20 +242,20 @@ def test_html_parts_of_one_text():
     assert html.main_text(page).count("lazy") == 8 and "Buy" not in html.main_text(page)
 
 
-def words(n: int, mark: str) -> str:
+def marked(n: int, mark: str) -> str:
     return f"{mark} " + "x" * (n - len(mark))
 
 
 def test_html_short_pieces_stay():
     def sections(n: int, mark: str) -> str:
-        return "<section>" + "".join(f"<p>{words(500, f'{mark}{i}')}</p>" for i in range(n)) + "</section>"
+        return "<section>" + "".join(f"<p>{marked(500, f'{mark}{i}')}</p>" for i in range(n)) + "</section>"
 
     links = "<div>" + "".join(f"<a href=/{i}>Link number {i}</a> " for i in range(4)) + "</div>"
-    story = f"<h1>{words(30, 'head')}</h1><p>{words(200, 'lead')}</p>{sections(10, 'long')}{sections(2, 'short')}"
+    story = f"<h1>{marked(30, 'head')}</h1><p>{marked(200, 'lead')}</p>{sections(10, 'long')}{sections(2, 'short')}"
     want = ["head", "lead", *(f"long{i}" for i in range(10)), "short0", "short1"]
     for page in (f"<body>{links}<article>{story}</article></body>", f"<body>{links}<div>{story}</div></body>",
-                 f"<body>{links}<main><h1>{words(30, 'top')}</h1><article>{story}</article></main></body>",
-                 f"<body><article>{story}</article>{links}<article><p>{words(40, 'next')}</p></article></body>"):
+                 f"<body>{links}<main><h1>{marked(30, 'top')}</h1><article>{story}</article></main></body>",
+                 f"<body><article>{story}</article>{links}<article><p>{marked(40, 'next')}</p></article></body>"):
         found = [x.split()[0] for x in html.main_text(page).split("\n")]
         assert [x for x in found if x not in ("top", "next")] == want
         assert ("top" in found) == (">top" in page) and ("next" in found) == (">next" in page)
@@ -267,9 +267,9 @@ def test_html_named_wrappers_stay(wrapper):
     def page(before: str, text: str, after: str = "") -> str:
         return f"<body>{before}<{wrapper}>{text}</{wrapper.split()[0]}>{after}</body>"
 
-    paragraphs = "".join(f"<p>{words(300, f'text{i}')}</p>" for i in range(5))
-    junk = f"<div class='ad-box'>{words(20, 'buy')}</div><form class=search><p>{words(20, 'find')}</p></form>"
-    comments = f"<div id=comments><article>{words(90, 'comment')}</article></div>"
+    paragraphs = "".join(f"<p>{marked(300, f'text{i}')}</p>" for i in range(5))
+    junk = f"<div class='ad-box'>{marked(20, 'buy')}</div><form class=search><p>{marked(20, 'find')}</p></form>"
+    comments = f"<div id=comments><article>{marked(90, 'comment')}</article></div>"
     for text in (f"<article>{paragraphs}</article>", f"<main>{paragraphs}</main>", f"<div>{paragraphs}</div>"):
         for whole in (page(junk, junk + text), page("<p>Some words</p>", text, junk),
                       f"<body><main><h1>Title</h1>{page('', text + junk)[6:-7]}</main></body>"):
@@ -277,7 +277,7 @@ def test_html_named_wrappers_stay(wrapper):
             assert [x.split()[0] for x in found.split("\n") if x.startswith("text")] == [f"text{i}" for i in range(5)]
             assert "buy" not in found and "find" not in found
     assert "comment" not in html.main_text(f"<body><article>{paragraphs}</article>{comments}{junk}</body>")
-    assert "text4" not in html.main_text(page("", "<p>text4</p>", f"<article><p>{words(300, 'other')}</p></article>"))
+    assert "text4" not in html.main_text(page("", "<p>text4</p>", f"<article><p>{marked(300, 'other')}</p></article>"))
     assert html.main_text(f"<body hidden><div hidden><article>{paragraphs}</article></div></body>") == ""
 
 
