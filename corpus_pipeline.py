@@ -38,9 +38,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
-    kept = near.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    """One row of each group of near-duplicates stays, the one with the smallest id (null is the largest)."""
+    # ids may repeat or be null; written, as the row numbers must be the same in every read
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "near-rows")
+    keyed = rows.select("text", F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "__row").alias("__key"))
+    kept = near.near_duplicates(keyed, id_col="__key").where("kept").select("__key.__row")
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The registered queries against their SQL, and the pipeline stage by stage."""
 
+from collections import Counter
+
 import pytest
 
 import corpus_pipeline
@@ -49,6 +51,23 @@ def test_pipeline(spark):
     assert sum(p.length for p in pieces) == sum(len(tokenized(r.text)) + 1 for r in mixed)
 
 
+def test_near_dedup_of_repeated_and_missing_ids(spark):
+    def text(mark: str, n: int = 30) -> str:
+        return " ".join(f"{mark}{i}" for i in range(n))
+
+    rows = [(1, text("a")), (1, text("a")),                   # an id and text twice: one stays
+            (2, text("b")), (3, text("c")), (3, text("b")),   # the second row of id 3 is a copy of 2
+            (None, text("d")), (None, text("d")),             # copies without an id: one stays
+            (None, text("e")), (4, text("e", 31)),            # 4 stays, its near copy without an id goes
+            (None, text("f")), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = corpus_pipeline.near_dedup(spark, docs, SF_SMALL)
+    assert found.columns == docs.columns
+    assert Counter(map(tuple, found.collect())) == Counter([
+        (1, text("a")), (2, text("b")), (3, text("c")), (None, text("d")), (4, text("e", 31)), (None, text("f")),
+        (None, None), (5, "")])
+
+
 def test_empty_pipeline(spark, tmp_dir):
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false").write.parquet(f"{tmp_dir}/documents.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).collect() == []
