@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, counts, exact, html, lines, mixing, near, packing, pii, quality, tokens
+from . import bpe, chat, counts, exact, html, lexical, lines, mixing, near, packing, pii, quality, resample, tokens
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -70,9 +70,29 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokens.default_path(VOCABULARY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode_texts(docs, vocabulary).select("doc_id", "ids")
+    decoded = bpe.decode_ids(encoded, vocabulary)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_line_dedup, op4_minhash_near_dedup, op5_html_extraction,
-    op6_source_mixing, op7_packing, op8_chat_formatting, op9_token_counts, op10_pii)}
+    op6_source_mixing, op7_packing, op8_chat_formatting, op9_token_counts, op10_pii,
+    op11_lexical_search, op12_importance_resampling, op13_bpe)}
 
 WS = r"[\x20\x09-\x0D]"
 
@@ -146,4 +166,78 @@ ORACLE_SQL = {
                       FILTER (role = 'assistant'), '')) AS loss_sha256,
                sum(text_chars + CASE WHEN same THEN 11 ELSE 12 + role_chars + 1 + 11 END)::BIGINT AS formatted_chars
         FROM p GROUP BY conv_id""",
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        every AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+        weight AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM tf, every GROUP BY term),
+        query AS (
+            SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        asked AS (SELECT item_id, term, count(*) AS times FROM query GROUP BY ALL),
+        scored AS (
+            SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) //
+                       (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN size USING (doc_id), every
+            GROUP BY item_id, doc_id),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                   doc_id, score
+            FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 20""",
+    # crc32 by its table: entry i is i shifted right eight times, each time xored with the polynomial if a 1 falls out
+    "op12_importance_resampling": r"""
+        WITH crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1
+                       THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, CAST(i AS BIGINT))) AS entry),
+        texts AS (
+            SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+            UNION ALL
+            SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+        places AS (SELECT side, id, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+        runs AS (
+            SELECT side, id, unnest([w[i], CASE WHEN i + 1 <= len(w) THEN w[i] || ' ' || w[i + 1] END,
+                       CASE WHEN i + 2 <= len(w) THEN w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END]) AS feature
+            FROM places),
+        counted AS (
+            SELECT side, id, feature, count(*) AS n FROM runs WHERE feature IS NOT NULL GROUP BY ALL),
+        hashed AS (
+            SELECT feature, xor(list_reduce(list_transform(range(len(bytes) // 2), lambda k:
+                       CAST('0x' || substr(bytes, 2 * k + 1, 2) AS BIGINT)),
+                       lambda x, b: xor(x >> 8, entry[xor(x & 255, b) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+            FROM (SELECT DISTINCT feature, hex(encode(feature)) AS bytes FROM counted), crc),
+        features AS (SELECT side, id, bucket, sum(n)::BIGINT AS n FROM counted JOIN hashed USING (feature) GROUP BY ALL),
+        sums AS (
+            SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::BIGINT AS s,
+                   coalesce(sum(n) FILTER (side = 'b'), 0)::BIGINT AS t FROM features GROUP BY bucket),
+        gain AS (
+            SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * (SELECT sum(s) + 10000 FROM sums)::DOUBLE /
+                       (CAST(s + 1 AS DOUBLE) * (SELECT sum(t) + 10000 FROM sums)::DOUBLE))) AS BIGINT) AS g
+            FROM sums),
+        weighed AS (
+            SELECT id, sum(n)::BIGINT AS n_features, sum(n * g)::BIGINT AS weight
+            FROM features JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id),
+        scored AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8)
+                       AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM (SELECT id AS doc_id, w FROM texts WHERE side = 'd') LEFT JOIN weighed ON doc_id = id),
+        ranked AS (
+            SELECT *, CASE WHEN n_words >= 20 THEN row_number() OVER (
+                       PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS place,
+                   count(*) FILTER (n_words >= 20) OVER () AS may
+            FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * may // 100 THEN place END AS rank
+        FROM ranked""",
 }
