@@ -16,10 +16,11 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache, partial
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
@@ -28,11 +29,13 @@ from . import tokens
 from .common import arrow_map, chunks, text_or_empty
 
 #: Pre-tokens and words kept with their ids in a worker, and the most characters of one that is kept.
-KEPT, KEPT_CHARS = 400_000, 64
+KEPT, KEPT_CHARS = 250_000, 64
 #: Bits of a queue entry that hold the place; the rank lies above.
 PLACE = 40
 #: Bytes from which a pre-token's list of symbols is kept in arrays.
 LONG = 10_000
+#: Stands for a null id.
+NO_ID = -1
 
 
 def byte_symbols() -> dict[int, str]:
@@ -43,16 +46,20 @@ def byte_symbols() -> dict[int, str]:
 
 
 class Known(dict):
-    """Ids as little-endian 32-bit integers by string; ``made`` gives those that aren't kept yet."""
+    """Ids as little-endian 32-bit integers by string; ``made`` gives those that aren't kept.
+
+    What wasn't used since the memory was last full is forgotten when it is full again.
+    """
 
     def __init__(self, made: Callable[[str], bytes]):
         super().__init__()
-        self.made = made
+        self.made, self.older = made, {}
 
     def __missing__(self, key: str) -> bytes:
-        out = self.made(key)
+        out = self.older.get(key) or self.made(key)
         if len(key) <= KEPT_CHARS:
             if len(self) >= KEPT:
+                self.older = dict(self)
                 self.clear()
             self[key] = out
         return out
@@ -69,11 +76,13 @@ class Bpe:
             raise ValueError(f"{path} is no byte-level BPE vocabulary")
         vocab, symbols = model["vocab"], byte_symbols()
         self.bytes_ = [vocab[symbols[b]] for b in range(256)]
-        #: (left id, right id) to (rank, merged id)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: by left id and right id the rank, shifted to its bits of a queue entry; by rank the merged id
+        self.merges: dict[int, dict[int, int]] = {i: {} for i in vocab.values()}
+        self.results: list[int] = []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+            self.merges[vocab[left]][vocab[right]] = rank << PLACE
+            self.results.append(vocab[left + right])
         special = {t["content"]: t["id"] for t in made["added_tokens"]}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in made["added_tokens"]):
             raise ValueError(f"{path} has added tokens that depend on their surroundings")
@@ -87,39 +96,56 @@ class Bpe:
 
         self.strings = {i: string(token) for token, i in (vocab | special).items()}
         self.split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-        self.pieces = Known(lambda piece: np.array(self.merged(piece.encode()), dtype="<i4").tobytes())
+        self.pieces = Known(lambda piece: self.merged(piece.encode()))
         #: ids of a word and the space before it
-        self.words = Known(lambda word: b"".join(map(self.pieces.__getitem__, tokens.PIECES.findall(" " + word))))
+        self.words = Known(self.of_word)
 
-    def merged(self, piece: bytes) -> list[int]:
+    def merged(self, piece: bytes) -> bytes:
         """The ids of one pre-token."""
-        merges = self.merges
+        merges, results = self.merges, self.results
         n = len(piece)
         # lists are faster, arrays take an eighth of their memory
         numbers = list if n < LONG else partial(array, "q")
         ids = numbers(map(self.bytes_.__getitem__, piece))
         after, before = numbers(range(1, n + 1)), numbers(range(-1, n - 1))
-        queue = [found[0] << PLACE | i for i in range(n - 1) if (found := merges.get((ids[i], ids[i + 1])))]
+        #: the entry of each symbol's merge with the next one, -1 if there is none
+        current = numbers([merges[x].get(y, -1) for x, y in pairwise(ids)])
+        current.append(-1)
+        queue = []
+        for at, entry in enumerate(current):
+            if entry >= 0:
+                current[at] = entry = entry | at
+                queue.append(entry)
         heapify(queue)
         while queue:
             entry = heappop(queue)
             at = entry & (1 << PLACE) - 1
-            right = after[at]
-            if right == n:
-                continue
-            # gone symbols have id -1, so no merge is found for them
-            found = merges.get((ids[at], ids[right]))
-            if not found or found[0] != entry >> PLACE:
+            if current[at] != entry:
                 continue  # stale
-            ids[at], ids[right] = found[1], -1
-            after[at] = nearest = after[right]
-            if nearest < n:
-                before[nearest] = at
-                if found := merges.get((ids[at], ids[nearest])):
-                    heappush(queue, found[0] << PLACE | at)
-            if (left := before[at]) >= 0 and (found := merges.get((ids[left], ids[at]))):
-                heappush(queue, found[0] << PLACE | left)
-        return [i for i in ids if i >= 0]
+            ids[at] = made = results[entry >> PLACE]
+            right = after[at]
+            ids[right] = current[right] = -1
+            after[at] = right = after[right]
+            if right < n:
+                before[right] = at
+                if (found := merges[made].get(ids[right], -1)) >= 0:
+                    found |= at
+                    heappush(queue, found)
+                current[at] = found
+            else:
+                current[at] = -1
+            if (left := before[at]) >= 0:
+                if (found := merges[ids[left]].get(made, -1)) >= 0:
+                    found |= left
+                    heappush(queue, found)
+                current[left] = found
+        return array("i", [i for i in ids if i >= 0]).tobytes()
+
+    def of_word(self, word: str) -> bytes:
+        spaced = " " + word
+        if word.isalpha():  # one piece
+            return self.merged(spaced.encode())
+        return b"".join(map(self.pieces.__getitem__, tokens.PIECES.findall(spaced)))
 
     def plain(self, text: str) -> Iterator[bytes]:
         """The ids of a text without special strings, part by part.
@@ -146,11 +172,11 @@ class Bpe:
                 out += self.plain(part)
         return b"".join(out)
 
-    def decode(self, ids: list[int | None]) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of a list of ids; ids that aren't in the vocabulary are skipped, bytes that aren't UTF-8 replaced."""
         strings = self.strings
         try:
-            found = b"".join([strings[i] for i in ids])
+            found = b"".join(map(strings.__getitem__, ids))
         except KeyError:
             found = b"".join([strings[i] for i in ids if i in strings])
         return found.decode("utf-8", "replace")
@@ -185,7 +211,9 @@ class _Decoded:
 
     def __call__(self, column: pa.Array) -> pa.Array:
         decode = bpe(self.vocabulary).decode
-        return pa.array([decode(ids) for ids in column.to_pylist()], pa.string())
+        ends = np.cumsum([0, *pc.list_value_length(column).to_pylist()]).tolist()
+        ids = column.flatten().fill_null(NO_ID).to_numpy().tolist()
+        return pa.array([decode(ids[a:b]) for a, b in pairwise(ends)], pa.string())
 
 
 def _with_column(docs: DataFrame, given: Column, name: str, kind: str, values: _Encoded | _Decoded) -> DataFrame:
