@@ -835,15 +835,17 @@ SCORES_SQL = f"""
 al AS (SELECT replace({_norm_sql('c')}, '_', '') AS a, replace({_norm_sql('a')}, '_', '') AS b
        FROM (VALUES {_alias_values()}) v(c, a)),
 ap AS (SELECT a, b FROM al UNION SELECT b, a FROM al),
-rq AS (SELECT DISTINCT feature, {_norm_sql('feature')} AS rn FROM req),
-ct AS (SELECT column_name, {_norm_sql('column_name')} AS cn FROM cat),
-pairs AS (SELECT feature, column_name, rn, cn, levenshtein(rn, cn) AS lev FROM rq, ct),
+rq AS (SELECT *, list_filter(string_split(rn, '_'), lambda t: t <> '') AS rt
+       FROM (SELECT DISTINCT feature, {_norm_sql('feature')} AS rn FROM req)),
+ct AS (SELECT *, list_filter(string_split(cn, '_'), lambda t: t <> '') AS ct
+       FROM (SELECT column_name, {_norm_sql('column_name')} AS cn FROM cat)),
+pairs AS (SELECT feature, column_name, rn, cn, rt, ct, levenshtein(rn, cn) AS lev FROM rq, ct),
 sc AS (SELECT feature, column_name,
          greatest(CASE WHEN replace(rn, '_', '') = replace(cn, '_', '') THEN {fixed.EXACT_SCORE} END,
                   CASE WHEN EXISTS (SELECT 1 FROM ap WHERE ap.a = replace(rn, '_', '')
                                                        AND ap.b = replace(cn, '_', ''))
                        THEN {fixed.ALIAS_SCORE} END,
-                  CASE WHEN lev <= 2 THEN least({fixed.FUZZY_CAP},
+                  CASE WHEN lev <= 2 OR list_has_any(rt, ct) THEN least({fixed.FUZZY_CAP},
                        1.0 - lev / greatest(length(rn), length(cn), 1)) END) AS score
        FROM pairs),
 top AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY score DESC, column_name) AS rank
@@ -861,8 +863,7 @@ mt AS (SELECT req.pos, req.feature,
 
 
 def _matches(spark, sf):
-    # SCORES_SQL has no token candidates
-    return matching.match_features(requested_features(spark, sf), column_names(spark, sf), shared_tokens=False)
+    return matching.match_features(requested_features(spark, sf), column_names(spark, sf))
 
 
 def q_match_features(spark, sf):
@@ -876,8 +877,13 @@ SELECT pos, feature, status, mapped_to, round(confidence, 6) AS confidence FROM
 
 
 def q_match_candidates(spark, sf):
-    c = matching.top_candidates(matching.match_candidates(requested_features(spark, sf),
-                                                          column_names(spark, sf), shared_tokens=False))
+    c = matching.top_candidates(matching.match_candidates(requested_features(spark, sf), column_names(spark, sf)))
+    return finish(c.select("feature", "column_name", "score", F.col("rank").cast("int").alias("rank")))
+
+
+def q_match_top_columns(spark, sf):
+    """The same rows without scoring every pair."""
+    c, _ = matching.top_matches(requested_features(spark, sf), column_names(spark, sf))
     return finish(c.select("feature", "column_name", "score", F.col("rank").cast("int").alias("rank")))
 
 
@@ -1252,6 +1258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_report_features": q_drift_report_features,
     "match_features": q_match_features,
     "match_candidates": q_match_candidates,
+    "match_top_columns": q_match_top_columns,
     "classify_probes": q_classify_probes,
     "resolve_attempts": q_resolve_attempts,
     "dispositions": q_dispositions,
@@ -1295,6 +1302,7 @@ ORACLE_SQL: dict[str, str] = {
     "drift_report_features": SQL_DRIFT_REPORT_FEATURES,
     "match_features": SQL_MATCH_FEATURES,
     "match_candidates": SQL_MATCH_CANDIDATES,
+    "match_top_columns": SQL_MATCH_CANDIDATES,
     "classify_probes": SQL_CLASSIFY_PROBES,
     "resolve_attempts": SQL_RESOLVE_ATTEMPTS,
     "dispositions": SQL_DISPOSITIONS,

@@ -1,6 +1,8 @@
 """Feature-name matcher: golden statuses and candidate rules."""
 import re
 
+import pytest
+
 from driftline import fixed
 from driftline.operators import matching
 from driftline.plans import suite
@@ -101,3 +103,41 @@ def test_shared_tokens(spark):
     for f in ("wind_direction", "sea_surface_temperature"):
         assert out[f]["status"] == "missing" and 0 < out[f]["confidence"] <= 0.7
         assert len(out[f]["similarity_scores"]) == min(5, sum(x == f for x, _ in want))
+
+
+def _many_names(n, seed):
+    """Names of one to five words out of few, so that tokens are shared by many, and some misspelt."""
+    import random
+    r = random.Random(seed)
+    words = ["temperature", "wind", "speed", "max", "mean", "soil", "moisture", "of", "x", "pressure", "humidity", "radiation"]
+    out = []
+    for i in range(n):
+        name = "_".join(r.choice(words) for _ in range(1 + i % 5))
+        at = r.randrange(len(name))
+        out.append(name[:at] + name[at + 1:] if i % 4 == 0 else name.upper() if i % 7 == 0 else name)
+    return out
+
+
+@pytest.mark.parametrize("hot", [10_000, 30])
+def test_top_matches_are_those_of_all_pairs(spark, monkeypatch, hot):
+    monkeypatch.setattr(matching, "HOT_NAMES", hot)
+    requested = [*_many_names(60, 1), *REQUESTED, None, "", "%%", "pm25", "pm25"]
+    catalog = [*_many_names(600, 2), *suite.FEATURE_COLUMNS, None, "", "??", "PM_25"]
+    req = spark.createDataFrame([(x,) for x in requested], "feature string")
+    cat = spark.createDataFrame([(x,) for x in catalog], "column_name string")
+    every = matching.match_candidates(req, cat)
+    want = {tuple(r) for r in matching.top_candidates(every).collect()}
+    found, rounds = matching.top_matches(req, cat)
+    assert {tuple(r) for r in found.collect()} == want and found.columns == ["feature", "column_name", "score", "rank"]
+    scored = sum(r.scored_pairs for r in rounds.collect())
+    pairs = every.count()
+    assert 0 < scored < 0.9 * pairs, (scored, pairs)
+    assert matching.token_pair_count(req, cat) >= scored
+    nothing, _ = matching.top_matches(req.where("false"), cat)
+    assert nothing.count() == 0 and matching.token_pair_count(req, cat.where("false")) == 0
+
+
+def test_large_inputs_take_the_rounds(spark, monkeypatch):
+    before = _run(spark, [*REQUESTED, "wind speed"], suite.FEATURE_COLUMNS)
+    monkeypatch.setattr(matching, "MANY_PAIRS", 0)
+    assert _run(spark, [*REQUESTED, "wind speed"], suite.FEATURE_COLUMNS) == before
