@@ -154,3 +154,10 @@ FINAL_NOT_FOUND = "not_found"
 CATEGORY_EXISTING = "features_already_existing"
 CATEGORY_NEW = "new_apis_discovered"
 CATEGORY_NOT_FOUND = "features_not_found"
+
+#: Fields of one detailed mapping of the discovery report, in order.
+MAPPING_FIELDS = [
+    "original_feature", "normalization_status", "mapped_to", "similarity_scores", "normalization_confidence",
+    "search_keywords", "api_found", "api_details", "confidence_score", "reason", "suggested_alternatives",
+    "search_attempts", "final_status",
+]

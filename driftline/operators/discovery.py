@@ -226,15 +226,50 @@ def disposition_report(disp: DataFrame) -> DataFrame:
     """The report's result lists as rows: ``category`` and one entry per feature, of any number.
 
     The one-object file of the original would need all features in one row; here a
-    list is the rows of one category (``sinks.write_disposition_report``).
+    list is the rows of one category (``sinks.write_disposition_report``). Fields that
+    a list doesn't have are NULL, so they aren't in its JSON lines.
     """
-    return categorize(disp).select(
-        "category", "original_feature", F.col("report_confidence").alias("confidence"),
-        F.col("reason").alias("reasoning"), "mapped_to", "similarity_scores", "api_details",
-        "api_details_json", "search_attempts", "suggested_alternatives")
+    def only(lists: Sequence[str], column: str, name: str | None = None) -> str:
+        return f"CASE WHEN category IN ({', '.join(map(_q, lists))}) THEN {column} END AS {name or column}"
+
+    new, unfound = [fixed.CATEGORY_NEW], [fixed.CATEGORY_NOT_FOUND]
+    return categorize(disp).selectExpr(
+        "category", "original_feature", "report_confidence AS confidence", "reason AS reasoning",
+        only([fixed.CATEGORY_EXISTING], "mapped_to"), only([fixed.CATEGORY_EXISTING], "similarity_scores"),
+        only(new, "api_details"), only(new, "api_details_json"), only(new + unfound, "search_attempts"),
+        only(unfound, "suggested_alternatives"))
+
+
+def detailed_mappings(disp: DataFrame) -> DataFrame:
+    """The report's third part: every feature with all of its fields, one row each.
+
+    ``api_details`` is NULL where nothing was found, an empty object in the original.
+    """
+    return disp.select(*fixed.MAPPING_FIELDS)
+
+
+def mapping_schema() -> str:
+    """The nested schema of the detailed mappings, to read them back."""
+    kinds = {"similarity_scores": "map<string, double>", "normalization_confidence": "double",
+             "search_keywords": "array<string>", "api_found": "boolean", "api_details": CANDIDATE_TYPE,
+             "confidence_score": "double", "suggested_alternatives": "array<string>", "search_attempts": "int"}
+    return ", ".join(f"{f} {kinds.get(f, 'string')}" for f in fixed.MAPPING_FIELDS)
 
 
 def report_metadata(disp: DataFrame, catalog: DataFrame, run_at: str) -> DataFrame:
     """One row: the summary counts and rates, the catalog's column count and the run's time."""
     columns = catalog.agg(F.count(F.lit(1)).alias("total_columns"))
     return disposition_summary(disp).crossJoin(columns).withColumn("run_at", F.lit(run_at))
+
+
+def report_header(disp: DataFrame, catalog: DataFrame, run_at: str, source: str = "",
+                  location: dict[str, object] | None = None) -> DataFrame:
+    """One row, the report's nested metadata: timestamp, location, features processed, source and number of the
+    columns, processing summary. An empty ``location`` is NULL."""
+    m = report_metadata(disp, catalog, run_at)
+    summary = [c for c in m.columns if c not in ("total_columns", "run_at")]
+    where = F.struct(*[F.lit(v).alias(k) for k, v in location.items()]) if location else F.lit(None).cast("string")
+    return m.select(
+        F.col("run_at").alias("timestamp"), where.alias("location"),
+        F.col("total_features").alias("total_features_processed"), F.lit(source).alias("csv_file_analyzed"),
+        F.col("total_columns").alias("csv_columns_count"), F.struct(*summary).alias("processing_summary"))

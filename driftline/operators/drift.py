@@ -119,8 +119,13 @@ def drift_moments(long_df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count_if(r).alias("n_recent"), F.count_if(b).alias("n_baseline"),
         F.avg(F.when(r, v)).alias("mean_recent"), F.avg(F.when(b, v)).alias("mean_baseline"),
         F.var_samp(F.when(r, v)).alias("var_recent"), F.var_samp(F.when(b, v)).alias("var_baseline"))
+    return with_shifts(m)
+
+
+def with_shifts(moments: DataFrame) -> DataFrame:
+    """Moments of both periods with mean_shift and variance_shift, 0 if a period is empty."""
     empty = (F.col("n_recent") == 0) | (F.col("n_baseline") == 0)
-    return m.withColumns({
+    return moments.withColumns({
         "mean_shift": F.when(empty, F.lit(0.0)).otherwise(
             relative_shift(F.col("mean_recent"), F.col("mean_baseline"))),
         "variance_shift": F.when(empty, F.lit(0.0)).otherwise(
@@ -142,9 +147,13 @@ def ks_statistic(long_df: DataFrame, keys: Sequence[str] = (), value_buckets: in
     feature that needs it is cut; 1 means one window per feature. Ranges only
     affect balance, never the result. NULL keys are a series of their own.
     """
+    return ks_of_counts(_value_counts(long_df, keys), keys, value_buckets)
+
+
+def ks_of_counts(counts: DataFrame, keys: Sequence[str] = (), value_buckets: int = 32) -> DataFrame:
+    """``ks_statistic`` from rows (keys, feature, value, c_r, c_b): how often each value occurs in either period."""
     keys = list(keys)
     grp = [*keys, "feature"]
-    counts = _value_counts(long_df, keys)
     if value_buckets <= 1:
         w_all = Window.partitionBy(*grp)
         w_run = Window.partitionBy(*grp).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -188,8 +197,11 @@ def drift_metrics(flagged: DataFrame, features: Sequence[str], keys: Sequence[st
     if value_buckets == "auto":
         value_buckets = ranges_for(flagged.count() * len(features))
     lv = long_values(flagged, features, keys)
-    mom = drift_moments(lv, keys)
-    ks = ks_statistic(lv, keys, value_buckets=value_buckets)
+    return joined_metrics(drift_moments(lv, keys), ks_statistic(lv, keys, value_buckets=value_buckets), keys)
+
+
+def joined_metrics(mom: DataFrame, ks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Moments with the KS distance, 0 if a period is empty."""
     j = join_keys(mom, ks, [*keys, "feature"], "left")
     empty = (F.col("n_recent") == 0) | (F.col("n_baseline") == 0)
     return j.withColumn("ks_statistic",

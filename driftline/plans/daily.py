@@ -140,10 +140,12 @@ def drift_analysis(spark: SparkSession, feature_path: str, out_path: str | None
 
 
 def discovery(spark: SparkSession, requested: DataFrame, table: DataFrame, attempt_log: DataFrame,
-              out_path: str | None = None, run_at: str | None = None) -> DataFrame:
+              out_path: str | None = None, run_at: str | None = None, source: str = "",
+              location: dict[str, object] | None = None) -> DataFrame:
     """Dispositions for the requested features (``pos, feature``).
 
-    With ``out_path`` the report is written there; ``run_at`` is its time stamp.
+    With ``out_path`` the whole report is written there; ``run_at`` is its time stamp,
+    ``source`` names the table and ``location`` its place.
 
     ``table`` only supplies its column names; ``attempt_log`` has one row per
     (feature, attempt) with the model's response text and the probe outcome.
@@ -157,6 +159,8 @@ def discovery(spark: SparkSession, requested: DataFrame, table: DataFrame, attem
                           .withColumn("feature", F.col("original_feature")),
                           resolved, key="feature").drop("feature")
     if out_path:
+        d = materialize(d, "dispositions")  # three parts of the report read it
         sinks.write_disposition_report(disc.disposition_report(d),
-                                       disc.report_metadata(d, catalog, run_at or ""), out_path)
+                                       disc.report_header(d, catalog, run_at or "", source, location), out_path,
+                                       mappings=disc.detailed_mappings(d))
     return d

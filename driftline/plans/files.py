@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import fixed
 from ..functions.timeparse import day_window, parse_time
 from ..operators import discovery, drift, features, incremental
-from ..session import scratch_dir
+from ..session import materialize, scratch_dir
 from ..sources import payload, sinks, tables
 from . import suite
 from .daily import selection_schema
@@ -27,6 +27,8 @@ RAW = fixed.RAW_COLUMNS
 RUN_AT = "2025-06-01T00:00:00"
 #: Requested features in one report file, and the hour of the day whose time texts are spoilt.
 REPORT_SIZE, BAD_HOUR = 100, 5
+#: Place in the discovery report's metadata.
+LOCATION = {"lat": 24.8607, "lon": 67.0011, "city": "Karachi", "country": "Pakistan"}
 
 
 def _hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,42 +300,80 @@ WHERE feature NOT IN (SELECT feature FROM mt WHERE status = '{fixed.STATUS_EXIST
 
 def _discovery_report(spark, sf) -> str:
     path = scratch_dir(spark, "discovery-report")
-    d = suite._dispositions(spark, sf)
-    metadata = discovery.report_metadata(d, suite.column_names(spark, sf), RUN_AT)
-    return sinks.write_disposition_report(discovery.disposition_report(d), metadata, path)
+    d = materialize(suite._dispositions(spark, sf), "dispositions")
+    header = discovery.report_header(d, suite.column_names(spark, sf), RUN_AT, "part", LOCATION)
+    return sinks.write_disposition_report(discovery.disposition_report(d), header, path,
+                                          mappings=discovery.detailed_mappings(d))
+
+
+SCORES_TEXT = ("array_join(transform(array_sort(map_entries(similarity_scores)), "
+               "e -> concat(e.key, '=', format_string('%.4f', e.value))), ';')")
 
 
 def q_discovery_report(spark, sf):
-    """The three result lists of the discovery report, from its files."""
+    """The three result lists of the discovery report, each with its own fields, from its files."""
     path = f"{_discovery_report(spark, sf)}/results"
     back = spark.read.schema(
         "category string, original_feature string, confidence double, reasoning string, mapped_to string, "
-        "api_details_json string, search_attempts int, suggested_alternatives array<string>").json(path)
-    return finish(back.withColumn("suggested_alternatives", F.array_join("suggested_alternatives", ",")))
+        f"similarity_scores map<string, double>, api_details {discovery.CANDIDATE_TYPE}, api_details_json string, "
+        "search_attempts int, suggested_alternatives array<string>").json(path)
+    return finish(back.selectExpr(
+        "category", "original_feature", "confidence", "reasoning", "mapped_to", f"{SCORES_TEXT} AS scores",
+        "api_details.name AS api_name", "api_details_json", "search_attempts",
+        "array_join(suggested_alternatives, ',') AS suggested_alternatives"))
 
 
 SQL_DISCOVERY_REPORT = f"""
-WITH {suite.REQUESTED_SQL}, {suite.SCORES_SQL}, {suite.ATTEMPTS_SQL}, {suite.DISP_SQL}
-SELECT CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{fixed.CATEGORY_EXISTING}'
-            WHEN api_found THEN '{fixed.CATEGORY_NEW}' ELSE '{fixed.CATEGORY_NOT_FOUND}' END AS category,
-       original_feature,
-       round(CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN normalization_confidence
+WITH {suite.REQUESTED_SQL}, {suite.SCORES_SQL}, {suite.ATTEMPTS_SQL}, {suite.DISP_SQL},
+c AS (SELECT *, CASE WHEN normalization_status = '{fixed.STATUS_EXISTS}' THEN '{fixed.CATEGORY_EXISTING}'
+                     WHEN api_found THEN '{fixed.CATEGORY_NEW}' ELSE '{fixed.CATEGORY_NOT_FOUND}' END AS category FROM disp)
+SELECT category, original_feature,
+       round(CASE WHEN category = '{fixed.CATEGORY_EXISTING}' THEN normalization_confidence
                   ELSE confidence_score END, 6) AS confidence,
-       reason AS reasoning, mapped_to, api_details_json, search_attempts, alternatives AS suggested_alternatives
+       reason AS reasoning, CASE WHEN category = '{fixed.CATEGORY_EXISTING}' THEN mapped_to END AS mapped_to,
+       CASE WHEN category = '{fixed.CATEGORY_EXISTING}' THEN scores END AS scores,
+       CASE WHEN category = '{fixed.CATEGORY_NEW}' THEN api_name END AS api_name,
+       CASE WHEN category = '{fixed.CATEGORY_NEW}' THEN api_details_json END AS api_details_json,
+       CASE WHEN category <> '{fixed.CATEGORY_EXISTING}' THEN search_attempts END AS search_attempts,
+       CASE WHEN category = '{fixed.CATEGORY_NOT_FOUND}' THEN alternatives END AS suggested_alternatives
+FROM c
+"""
+
+
+def q_discovery_mappings(spark, sf):
+    """The report's detailed mappings, all 13 fields, from its files."""
+    back = spark.read.schema(discovery.mapping_schema()).json(f"{_discovery_report(spark, sf)}/detailed_feature_mappings")
+    shown = {"similarity_scores": f"{SCORES_TEXT} AS scores", "search_keywords": "array_join(search_keywords, ',') AS keywords",
+             "api_details": "api_details.name AS api_name",
+             "suggested_alternatives": "array_join(suggested_alternatives, ',') AS alternatives"}
+    return finish(back.selectExpr(*[shown.get(f, f) for f in fixed.MAPPING_FIELDS]))
+
+
+SQL_DISCOVERY_MAPPINGS = f"""
+WITH {suite.REQUESTED_SQL}, {suite.SCORES_SQL}, {suite.ATTEMPTS_SQL}, {suite.DISP_SQL}
+SELECT original_feature, normalization_status, mapped_to, scores,
+       round(normalization_confidence, 6) AS normalization_confidence, keywords, api_found, api_name,
+       round(confidence_score, 6) AS confidence_score, reason, alternatives, search_attempts, final_status
 FROM disp
 """
 
 
 def q_discovery_metadata(spark, sf):
-    """The discovery report's metadata, from its file: counts, rates, the catalog's columns, the run's time."""
+    """The discovery report's nested metadata, from its file: time, place, source, counts and rates."""
     path = f"{_discovery_report(spark, sf)}/metadata"
-    return finish(spark.read.schema(
-        "total_features long, already_exists long, new_apis_found long, not_found long, already_exists_rate double, "
-        "api_discovery_rate double, overall_success_rate double, total_columns long, run_at string").json(path))
+    back = spark.read.schema(
+        "timestamp string, location struct<lat: double, lon: double, city: string, country: string>, "
+        "total_features_processed long, csv_file_analyzed string, csv_columns_count long, processing_summary struct<"
+        "total_features: long, already_exists: long, new_apis_found: long, not_found: long, already_exists_rate: double, "
+        "api_discovery_rate: double, overall_success_rate: double>").json(path)
+    return finish(back.selectExpr("processing_summary.*", "csv_columns_count AS total_columns", "timestamp AS run_at",
+                                  "location.lat", "location.city", "total_features_processed", "csv_file_analyzed"))
 
 
 SQL_DISCOVERY_METADATA = f"""
-SELECT *, (SELECT count(*) FROM part) AS total_columns, '{RUN_AT}' AS run_at FROM ({suite.SQL_DISPOSITION_SUMMARY})
+SELECT *, (SELECT count(*) FROM part) AS total_columns, '{RUN_AT}' AS run_at, {LOCATION['lat']}::DOUBLE AS lat,
+       '{LOCATION['city']}' AS city, total_features AS total_features_processed, 'part' AS csv_file_analyzed
+FROM ({suite.SQL_DISPOSITION_SUMMARY})
 """
 
 
@@ -353,6 +393,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drift_nothing_to_say": q_drift_nothing_to_say,
     "remaining_features": q_remaining_features,
     "discovery_report": q_discovery_report,
+    "discovery_mappings": q_discovery_mappings,
     "discovery_metadata": q_discovery_metadata,
 }
 
@@ -372,5 +413,6 @@ ORACLE_SQL: dict[str, str] = {
     "drift_nothing_to_say": SQL_DRIFT_NOTHING_TO_SAY,
     "remaining_features": SQL_REMAINING_FEATURES,
     "discovery_report": SQL_DISCOVERY_REPORT,
+    "discovery_mappings": SQL_DISCOVERY_MAPPINGS,
     "discovery_metadata": SQL_DISCOVERY_METADATA,
 }

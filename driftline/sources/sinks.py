@@ -85,10 +85,14 @@ def publish(df: DataFrame, uri: str, fmt: str = "csv", **kw) -> str:
     return write_table(df, uri, fmt=fmt, **kw)
 
 
-def write_disposition_report(rows: DataFrame, metadata: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """The discovery report: ``path/metadata`` (one JSON line) and ``path/results``, JSON lines by category."""
+def write_disposition_report(rows: DataFrame, metadata: DataFrame, path: str, mode: str = "overwrite",
+                             mappings: DataFrame | None = None) -> str:
+    """The discovery report: ``path/metadata`` (one JSON line), ``path/results``, JSON lines by category, and
+    ``path/detailed_feature_mappings`` if they are given, with their NULL fields. Nothing is gathered in one row."""
     metadata.write.mode(mode).json(f"{path}/metadata")
     rows.write.mode(mode).partitionBy("category").json(f"{path}/results")
+    if mappings is not None:
+        mappings.write.mode(mode).option("ignoreNullFields", False).json(f"{path}/detailed_feature_mappings")
     return path
 
 

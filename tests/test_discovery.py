@@ -1,8 +1,11 @@
 """Probe classification, attempt resolution, dispositions and summary."""
+import json
+
 from pyspark.sql import functions as F
 
 from driftline import fixed
 from driftline.operators import discovery as disc
+from driftline.sources import sinks
 
 PROBE_SCHEMA = ("case string, candidate_api struct<name: string, url: string, endpoint: string>, "
                 "outcome string, http_status int")
@@ -137,3 +140,31 @@ def test_whole_candidate_and_suggestions_are_kept(spark):
     assert out["found"]["api_details_json"] == \
         '{"name":"n","url":"https://a","params":{"q":[1,2]},"coverage_notes":"all"}'
     assert out["lost"]["api_details_json"] is None and out["lost"]["suggestions"] == ["s1", "s2"]
+
+
+def test_whole_report_round_trip(spark, tmp_dir):
+    """Every part of the report, read back with its nested schema."""
+    d = _golden_dispositions(spark).cache()
+    catalog = spark.createDataFrame([("a",), ("b",)], "column string")
+    place = {"lat": 1.5, "lon": 2.5, "city": "x", "country": "y"}
+    header = disc.report_header(d, catalog, "2025-01-01T00:00:00", "table", place)
+    sinks.write_disposition_report(disc.disposition_report(d), header, tmp_dir, mappings=disc.detailed_mappings(d))
+    path = f"{tmp_dir}/detailed_feature_mappings"
+    back = {r.original_feature: r for r in spark.read.schema(disc.mapping_schema()).json(path).collect()}
+    want = {r.original_feature: r for r in d.select(*fixed.MAPPING_FIELDS).collect()}
+    assert back == want and len(next(iter(back.values()))) == 13
+    assert back["traffic_volume_index"].api_details.url.startswith("http") and back["wind_direction"].api_details is None
+    line = json.loads(next(x.value for x in spark.read.text(path).collect() if "wind_direction" in x.value))
+    assert list(line) == fixed.MAPPING_FIELDS and line["mapped_to"] is None
+    meta = json.loads(spark.read.text(f"{tmp_dir}/metadata").first().value)
+    assert meta["location"] == place and meta["csv_columns_count"] == 2 and meta["total_features_processed"] == 6
+    assert meta["processing_summary"]["not_found"] == 2
+    fields = {}
+    for r in spark.read.text(f"{tmp_dir}/results").withColumn("file", F.input_file_name()).collect():
+        fields.setdefault(r.file.split("category=")[1].split("/")[0], set()).update(json.loads(r.value))
+    common = {"original_feature", "confidence", "reasoning"}
+    assert fields[fixed.CATEGORY_EXISTING] == common | {"mapped_to", "similarity_scores"}
+    assert fields[fixed.CATEGORY_NEW] - {"reasoning"} == common - {"reasoning"} | {
+        "api_details", "api_details_json", "search_attempts"}
+    assert fields[fixed.CATEGORY_NOT_FOUND] == common | {"search_attempts", "suggested_alternatives"}
+    assert disc.report_header(d, catalog, "").first().location is None
