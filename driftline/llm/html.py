@@ -30,11 +30,15 @@ PART = 0.25
 #: Largest share of link text of an element that is kept whole though it is no article or main element.
 LINKS = 1 / 3
 
+#: Name and value of one attribute. A quote delimits a value only if the value begins with it.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+("[^"]*"|'[^']*'|[^\s>"'][^\s>]*+)?)?""")
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|" + ATTRIBUTE.pattern.replace("(", "(?:").replace("(?:?:", "(?:")
+                   + r")*+)(?:>|\Z)", re.S)
 SPACE = re.compile(r"\s+")
 NAME = re.compile(r"[a-z]+")
+#: Where a name in camel case begins a new word.
+CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to the end tag, never markup.
@@ -57,11 +61,15 @@ DROPPED = RAW | frozenset((
     "dialog").split())
 #: Words of class, id or role that name what isn't article text, unless the text is inside (see ``judge``).
 DROPPED_NAMES = frozenset((
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
-    "menu breadcrumb breadcrumbs sidebar aside footer comment comments disqus reply replies cookie cookies consent "
+    "ad ads adsbygoogle advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation "
+    "menu breadcrumb breadcrumbs sidebar aside foot footer comment comments disqus reply replies cookie cookies consent gdpr "
     "notice alert popup modal overlay newsletter subscribe subscription signup login share sharing social related "
     "recommended pagination pager widget toolbar search skip complementary contentinfo hidden").split())
 CONTENT = frozenset(("article", "main"))
+#: Those that name an article that is a reader's comment.
+COMMENTS = frozenset(("comment", "comments", "disqus", "reply", "replies"))
+#: Characters from which an element inside an article stays as prose though a word of its longer name is doubtful.
+PROSE = 100
 #: Elements that hold a piece of an article, never all of it; their parents may be chosen instead.
 PIECES = frozenset((
     "a abbr b big blockquote caption cite code dd del dfn dl dt em figcaption figure font h1 h2 h3 h4 h5 h6 i ins kbd "
@@ -70,29 +78,36 @@ PIECES = frozenset((
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "doubtful", "own", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "drop", "doubtful", "vague", "own", "chars", "tags", "link_chars", "link_tags",
+                 "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubtful: bool = False):
-        self.tag, self.parent, self.drop, self.doubtful = tag, parent, drop, doubtful
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, doubtful: bool = False, vague: bool = False):
+        self.tag, self.parent, self.drop, self.doubtful, self.vague = tag, parent, drop, doubtful, vague
         self.parts: list[Node | str] = []
         self.own = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def dropped(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is none of the article, or isn't unless the text is in it; ``inside``: of an article or main."""
+def dropped(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is none of the article; whether it isn't unless the text is in it; and whether the doubt is
+    vague, as only a word of a longer name inside an article says so. ``inside``: of an article or main."""
     if tag in DROPPED or tag == "header" and not inside:
-        return True, False
-    doubtful = tag == "form"
-    if not attributes or tag in ("body", "html", "article", "main"):
-        return False, doubtful
+        return True, False, False
+    doubtful, vague = tag == "form", False
+    if not attributes or tag in ("body", "html", "main"):
+        return False, doubtful, False
+    names = COMMENTS if tag == "article" else DROPPED_NAMES
     for name, value in ATTRIBUTE.findall(attributes):
-        name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return True, False
-        if name in ("class", "id", "role") and not DROPPED_NAMES.isdisjoint(NAME.findall(value.lower())):
-            doubtful = True
-    return False, doubtful
+        name, value = name.lower(), value.strip("\"'")
+        if name == "hidden" and tag != "article" or name == "aria-hidden" and "true" in value.lower():
+            return True, False, False
+        if name in ("class", "id", "role"):
+            for one in value.split():
+                words = NAME.findall(CAMEL.sub("-", one).lower())
+                if not names.isdisjoint(words):
+                    vague = inside and len(words) > 1 and (vague or not doubtful)
+                    doubtful = True
+    return False, doubtful, vague
 
 
 def parse(page: str) -> Node:
@@ -153,8 +168,8 @@ def parse(page: str) -> Node:
             while node.tag != "head":
                 node = node.parent
             close(node)
-        drop, doubtful = dropped(tag, token[3], content > 0)
-        node = Node(tag, at, at.drop or drop, doubtful)
+        drop, doubtful, vague = dropped(tag, token[3], content > 0)
+        node = Node(tag, at, at.drop or drop, doubtful, vague)
         at.parts.append(node)
         if tag in RAW and not token[3].rstrip().endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, place)
@@ -182,14 +197,17 @@ def judge(nodes: list[Node]) -> list[Node]:
     Such an element is a mere wrapper if it contains an article or main element with at least as
     much text as each article or main element has outside of all named elements and forms. It also is if it
     holds most of the page's text, links aside, and no such outer element has a fair share of that.
+    Where the doubt is vague, prose with few links stays as well.
     """
-    plain, clear, holds = {}, {}, {}  # characters outside links: all, those outside doubtful nodes; of the largest article inside
+    # characters: all, those outside links, those outside doubtful nodes too; of the largest article inside
+    every, plain, clear, holds = {}, {}, {}, {}
     for node in nodes:
         node.own = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str))
     if not any(n.doubtful for n in nodes):
         return nodes
     for node in reversed(nodes):
         at = id(node)
+        every[at] = every.get(at, 0) + node.own
         if node.tag == "a":
             plain[at] = clear[at] = 0
         else:
@@ -197,6 +215,7 @@ def judge(nodes: list[Node]) -> list[Node]:
             clear[at] = clear.get(at, 0) + node.own
         if node.parent:
             up = id(node.parent)
+            every[up] = every.get(up, 0) + every[at]
             plain[up] = plain.get(up, 0) + plain[at]
             clear[up] = clear.get(up, 0) + (0 if node.doubtful else clear[at])
             holds[up] = max(holds.get(up, 0), holds.get(at, 0), plain[at] if node.tag in CONTENT else 0)
@@ -209,15 +228,20 @@ def judge(nodes: list[Node]) -> list[Node]:
     page, out = plain[id(nodes[0])], []
     for node in nodes:
         at = id(node)
+        prose = node.vague and plain[at] >= PROSE and plain[at] >= (1 - LINKS) * every[at]
         node.drop = bool(node.parent) and node.parent.drop or node.doubtful and not (
-            holds.get(at, 0) >= max(outer, 1) or 2 * plain[at] > page and outer < PART * plain[at])
+            prose or holds.get(at, 0) >= max(outer, 1) or 2 * plain[at] > page and outer < PART * plain[at])
         if not node.drop:
             out.append(node)
     return out
 
 
 def densities(nodes: list[Node]) -> None:
-    """Characters, tags and their link shares bottom-up, then density and its sum over children."""
+    """Characters, tags and their link shares bottom-up, then density and its sum over children.
+
+    The published measure takes a logarithm to a base that is a logarithm itself and may be under 1; here the
+    logarithm is divided by that base, which is 1 at least.
+    """
     for node in reversed(nodes):
         node.chars += node.own
         if node.tag == "a":
@@ -242,8 +266,9 @@ def densities(nodes: list[Node]) -> None:
 
 
 def link_list(node: Node) -> bool:
-    """Whether an element is little more than several links."""
-    return (node.tag == "ul" or node.tag not in PIECES) and node.link_tags >= 3 and 2 * node.link_chars > node.chars
+    """Whether an element is little more than several links, or nothing but two."""
+    some = node.link_tags >= 3 and 2 * node.link_chars > node.chars
+    return (node.tag == "ul" or node.tag not in PIECES) and (some or node.link_tags == 2 and node.link_chars == node.chars)
 
 
 def selected(nodes: list[Node]) -> list[Node]:

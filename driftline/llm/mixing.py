@@ -59,13 +59,15 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``id_col``, size, source_size, target, taken (words), and the columns ``carry``.
+    """One row per input row: ``id_col``, size, source_size, target, taken (words), and the columns ``carry``
+    (but for those named like one of the former).
 
     Null texts have no words; null sources form one source, the last. Rows that
     repeat an id share its key and are ordered by size. A source without words
     has target 0. An empty table gives an empty result; other columns are
     ignored. The key depends on the id and ``seed`` alone, so reruns agree.
     """
+    carry = tuple(c for c in carry if c.lower() not in {id_col.lower(), "size", "source_size", "target", "taken"})
     rows = materialize(docs.select(
         F.col(id_col).alias("__id"), F.col(source_col).cast("string").alias("__source"),
         n_words(text_col).alias("size"), F.struct(*carry).alias("__carried") if carry else F.lit(0).alias("__carried"),

@@ -104,11 +104,11 @@ def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = shingle_sets(part.column(1).to_pylist())
             rows = iter(signatures(sets))
             yield pa.RecordBatch.from_arrays([
-                part.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                          pa.binary()),
                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary())],
-                names=["__id", "n_shingles", "__set", "__signature"])
+                names=["__id", "__hash", "n_shingles", "__set", "__signature"])
 
 
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,12 +318,16 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    # ids may be null or repeat, so a row is known by its id and its text's hash
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("__text")) \
+        .withColumn("__hash", F.xxhash64("__text"))
     rows = materialize(arrow_map(
-        texts, _described, f"__id {kind}, n_shingles long, __set binary, __signature binary"), "shingles")
+        texts, _described, f"__id {kind}, __hash long, n_shingles long, __set binary, __signature binary"), "shingles")
     classes = materialize(
         rows.where("__set IS NOT NULL").groupBy("__set").agg(
             F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"),
+            F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"),
+                           F.col("__hash").alias("hash"))).alias("__at"),
             F.first("__signature").alias("__signature"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
 
@@ -344,9 +348,11 @@ def near_duplicates(docs: DataFrame, similarity: float = 0.75, id_col: str = "do
 
     ends = candidates.select(F.col("a").alias("node")).unionAll(candidates.select(F.col("b").alias("node"))) \
         .unionAll(crowd.select("node")).distinct()
-    wanted = classes.join(ends, "node").select("node", "__set", "__first")
+    wanted = classes.join(ends, "node").select("node", "__set", F.col("__at.id").alias("__own"), F.col("__at.hash").alias("__of"))
+    found_texts = wanted.join(texts, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__hash")))
+    # equal rows with one id are one: their sets are the same
     sets = materialize(arrow_map(
-        wanted.join(texts, wanted["__first"].eqNullSafe(texts["__id"])).select("node", "__set", "__text"),
+        found_texts.groupBy("node", "__set").agg(F.first("__text").alias("__text")).select("node", "__set", "__text"),
         _sets, "node long, members binary"), "sets")
 
     def confirmed(some: DataFrame) -> DataFrame:

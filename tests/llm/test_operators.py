@@ -1,6 +1,7 @@
 """Every operator against a plain version of it on small tables with awkward rows."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,7 @@ import pytest
 
 from driftline.llm import chat, counts, exact, html, lines, mixing, near, packing, pii, quality, tokens
 from pyspark.sql import functions as F
+from tests.conftest import SF_SMALL
 
 VOCABULARY = tokens.default_path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -281,6 +283,78 @@ def test_html_named_wrappers_stay(wrapper):
     assert html.main_text(f"<body hidden><div hidden><article>{paragraphs}</article></div></body>") == ""
 
 
+def test_html_names_only_raise_doubt():
+    text = "x " * 200
+    article = "".join(f"<{tag} {name}>{mark} {text}</{tag}>" for tag, name, mark in (
+        ("p", "class=notice-board-history", "A1"), ("p", "class='search-algorithms'", "A2"), ("p", "id=ad-hoc", "A3"),
+        ("section", 'class="related-work"', "A4")))
+    junk = "".join(f"<div {name}>{mark} more</div>" for name, mark in (
+        ("class=adContainer", "J1"), ("class=adsbygoogle", "J2"), ("class=cookieBanner", "J3"), ("id=commentList", "J4"),
+        ("class=gdpr", "J5"), ("class='ad-box'", "J6")))
+    links = "".join(f"<a href=/{i}>{text}</a>" for i in range(3))
+    found = html.main_text(f"<body><article><h1>Head</h1>{article}{junk}<div class=search-links>J7{links}</div></article></body>")
+    assert [x.split()[0] for x in found.split("\n")] == ["Head", "A1", "A2", "A3", "A4"]
+    assert html.main_text(f"<main><h1>T</h1><p>{text}</p><article class=comment><p>C1</p></article></main>") == f"T\n{text.strip()}"
+    page = f"<div><a href=/>home</a> <a href=/x>x</a></div><div><p>{text}</p><p>{text}</p></div><div class=foot>F1</div>"
+    assert html.main_text(f"<body>{page}</body>") == f"{text.strip()}\n{text.strip()}"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p data-x=don't>long text it's</p>", "long text it's"), ('<p title=5">five</p>', "five"),
+    ('<p title="a>b" class=\'q>r\'>quoted</p>', "quoted"), ("<p a=b/c =x / y = 'z>'>slash</p>", "slash"),
+    ('<p title="open>text</p><p>more</p>', "text\nmore"), ("<p hidden>no</p><p>short</p>", "short")])
+def test_html_attributes(page, want):
+    assert html.main_text(page) == want
+
+
+def test_densities_against_plain_recursion(spark):
+    """Density and density sum of every element of every page, by the formulas."""
+
+    def numbers(node):
+        below = [numbers(x) for x in node.parts if isinstance(x, html.Node) and not x.drop]
+        chars = sum(len("".join(x.split())) for x in node.parts if isinstance(x, str)) + sum(b[0] for b in below)
+        tags = sum(1 + b[1] for b in below)
+        links = (chars, tags + 1) if node.tag == "a" else (sum(b[2] for b in below), sum(b[3] for b in below))
+        return chars, tags, *links
+
+    def density(node, share):
+        chars, tags, link_chars, link_tags = numbers(node)
+        if not chars:
+            return 0.0
+        base = math.log(chars / max(1, chars - link_chars) * link_chars + share * chars + math.e)
+        ratio = max(chars / max(1, link_chars) * max(1, tags) / max(1, link_tags), 1.0 + 1e-9)
+        return chars / max(1, tags) * math.log(ratio) / base
+
+    seen = 0
+    for row in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html").collect() + [(PAGE,)]:
+        root = html.parse(row[0] or "")
+        body = next((x for x in root.parts if isinstance(x, html.Node) and x.tag == "body"), root)
+        body.parent = None
+        nodes = html.judge(html.ordered(body))
+        html.densities(nodes)
+        chars, _, link_chars, _ = numbers(body)
+        share = link_chars / chars if chars else 0.0
+        for node in nodes:
+            below = [x for x in node.parts if isinstance(x, html.Node) and not x.drop]
+            assert node.density == pytest.approx(density(node, share))
+            assert node.total == pytest.approx(sum(density(x, share) for x in below))
+            seen += 1
+    assert seen > 500
+
+
+def test_near_duplicates_without_ids(spark):
+    """Rows whose ids are null or all alike are as quick and as right as others."""
+    random = np.random.RandomState(13)
+    texts = []
+    for i in range(150):
+        base = [f"w{x}" for x in random.randint(0, 900, 40)]
+        texts += [" ".join(base), " ".join([*base, f"end{i}"])] if i % 3 else [" ".join(base)] * 3
+    for same in (None, 5):
+        rows = [(same, t) for t in texts]
+        found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == plain_components(rows)
+
+
 def test_mixing(docs):
     found = mixing.mix(docs).collect()
     size = Counter()

@@ -3,6 +3,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from driftline.llm import queries
@@ -71,3 +72,18 @@ def test_near_dedup_of_repeated_and_missing_ids(spark):
 def test_empty_pipeline(spark, tmp_dir):
     spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false").write.parquet(f"{tmp_dir}/documents.parquet")
     assert corpus_pipeline.run(spark, tmp_dir).collect() == []
+
+
+def test_pipeline_with_clashing_columns(spark):
+    """Extra columns named like an operator's own pass through every stage as they were."""
+    names = ["size", "source_size", "target", "taken", "n_words", "n_lines", "n_dropped", "kept", "base_failed", "__row", "row",
+             "__key", "key", "__id", "n_shingles", "component_id", "__text", "h", "__carried"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(60).select(
+        *[F.concat(F.lit(f"{c}:"), F.col("doc_id")).alias(c) for c in names], "*")
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, materialize(stage(spark, docs, SF_SMALL), name)
+        if name != "sequence_packing":
+            assert docs.columns == before.columns
+            for r in docs.collect():
+                assert all(r[c] == f"{c}:{r.doc_id}" for c in names)
+    assert docs.count()
