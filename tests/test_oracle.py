@@ -2,12 +2,12 @@
 import pytest
 
 import __spark_entry__ as entry
-from driftline.plans import files, series, suite
+from driftline.plans import files, intake, series, suite
 from tests.oracle import compare
 
 from .conftest import SF_ORACLE, SF_SMALL
 
-NAMES = [*suite.QUERIES, *files.QUERIES, *series.QUERIES]  # those of driftline.llm have tests of their own
+NAMES = [*suite.QUERIES, *files.QUERIES, *series.QUERIES, *intake.QUERIES]  # those of driftline.llm have tests of their own
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -25,7 +25,7 @@ def test_query_matches_oracle_sf001(spark, name):
 
 
 def test_every_query_has_oracle():
-    assert set(NAMES) == set(suite.ORACLE_SQL) | set(files.ORACLE_SQL) | set(series.ORACLE_SQL) and set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(NAMES) == set(suite.ORACLE_SQL) | set(files.ORACLE_SQL) | set(series.ORACLE_SQL) | set(intake.ORACLE_SQL) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):
