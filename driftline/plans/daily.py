@@ -29,6 +29,7 @@ from ..operators import discovery as disc
 from ..operators import drift, features, incremental, matching
 from ..session import materialize, scratch_dir
 from ..sources import payload, sinks, tables
+from ..sources.guarded import replace_guarded
 
 
 def feature_schema(time_as_text: bool = True) -> T.StructType:
@@ -54,7 +55,8 @@ def ingest_day(spark: SparkSession, pollutant_path: str, weather_path: str, raw_
 
     ``mode="rewrite"`` (the original's behaviour): union, keep first, guards,
     sorted full rewrite of a CSV table through a staged swap. Raises before
-    writing when the merge would lose rows or the table cannot be read.
+    the swap when the merge would lose rows or the table cannot be read; the rows
+    are counted by the job that writes them.
     ``mode="append"``: a Parquet table partitioned by date; only hours not yet
     present are appended (anti-join against the partitions of the batch's
     dates), so the daily cost follows the day, not the table, and a re-run
@@ -69,13 +71,9 @@ def ingest_day(spark: SparkSession, pollutant_path: str, weather_path: str, raw_
         return {"rows_added": append_new_hours(merged.select(*cols), raw_path, keys=keys)}
     existing = tables.load_or_empty(spark, raw_path, tables.raw_schema(),
                                     time_formats=fixed.FMT_ISO, on_bad="null")
-    combined = incremental.upsert(existing, merged, keys=keys, keep="first") \
-        .select(*[F.col(f"`{c}`") for c in [*keys, *fixed.RAW_COLUMNS]])
-    stats = incremental.load_stats(existing, combined).first().asDict()
-    if stats["rows_after"] < stats["rows_before"]:
-        raise ValueError("merge resulted in fewer rows than before; not writing")
-    _swap(spark, combined, raw_path, time_format=fixed.FMT_ISO)
-    return stats
+    return replace_guarded(
+        spark, existing, lambda seen: incremental.upsert(seen, merged, keys=keys, keep="first").select(
+            *[F.col(f"`{c}`") for c in [*keys, *fixed.RAW_COLUMNS]]), raw_path, time_format=fixed.FMT_ISO)
 
 
 def update_feature_table(spark: SparkSession, raw_path: str, feature_path: str,

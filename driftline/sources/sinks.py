@@ -3,14 +3,15 @@ write to a staging path, then swap."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
 from ..functions.timeparse import format_time
+from ..session import drop_dir
 
 
 def format_for_text(df: DataFrame, time_col: str = fixed.TIME_COL,
@@ -23,13 +24,15 @@ def format_for_text(df: DataFrame, time_col: str = fixed.TIME_COL,
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite",
                 time_col: str | None = fixed.TIME_COL, time_format: str = fixed.FMT_ISO,
-                partition_by: Sequence[str] = (), sort: str = "global") -> str:
+                partition_by: Sequence[str] = (), sort: str = "global",
+                observe: tuple[Observation, Sequence[Column]] | None = None) -> str:
     """Write a table; CSV gets a header and the time as text.
 
     ``sort="global"``: rows ordered by time, NULLs last, across the output
     files in name order (a distributed range sort: sampled bounds, one
     shuffle, no single task). ``"within"``: each file sorted only.
-    ``"none"``: as is.
+    ``"none"``: as is. ``observe``: metrics of the rows written, taken in
+    the tasks that write them.
     """
     out = df
     if time_col and time_col in df.columns and sort != "none":
@@ -37,6 +40,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
         out = out.orderBy(key) if sort == "global" else out.sortWithinPartitions(key)
     if fmt in ("csv", "json") and time_col:
         out = format_for_text(out, time_col, time_format)
+    if observe:
+        out = out.observe(observe[0], *observe[1])
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -47,17 +52,26 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwri
     return path
 
 
-def replace_table(spark, df: DataFrame, path: str, staging: str, **kw) -> str:
+def replace_table(spark, df: DataFrame, path: str, staging: str, check: Callable[[], None] | None = None,
+                  **kw) -> str:
     """Write ``df`` beside ``path``, then swap the two.
 
     Lets a job rewrite the table it read from, which Spark cannot do in place.
     The new table is complete before anything moves; the old one is renamed
     aside and deleted only once the new one has its place, and comes back if
     that fails. All names are in one folder, so renames stay in one file system.
-    ``staging`` gives the name of the new table until then.
+    ``staging`` gives the name of the new table until then. ``check`` is called
+    once it is written; if it raises, the new table is deleted and the old one
+    stays.
     """
     staging = f"{path.rstrip('/')}._{staging.rstrip('/').rsplit('/', 1)[-1]}"
     write_table(df, staging, **kw)
+    if check:
+        try:
+            check()
+        except Exception:
+            drop_dir(spark, staging)
+            raise
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(path)
