@@ -105,8 +105,9 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
     A line whose key has at least ``min_chars`` characters stays only in the
     smallest id that holds it, there as often as it occurs. A null or empty text
     is one empty line and stays empty. Ids are numbers; rows that repeat an id
-    are one holder and are all cut alike; null ids count as one largest id. An
-    empty table gives an empty result. Columns named like the results are
+    are one holder and are all cut alike; null ids count as one largest id.
+    Hashes are gathered by id and text, so no more than a text's lines come
+    together, however many rows an id has. An empty table gives an empty result. Columns named like the results are
     replaced, others stay.
     """
     spark = docs.sparkSession
@@ -121,12 +122,13 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
     for i, cut in enumerate(cuts):
         batch = batch.when(F.col(id_col) <= cut, i)
     pairs_dir, drops_dir = scratch_dir(spark, "line-pairs"), scratch_dir(spark, "line-drops")
-    docs.select(F.col(id_col).alias("__id"), batch.otherwise(len(cuts)).alias("__batch"),
+    of = F.xxhash64(F.col(text_col))  # texts of one id that share it are cut alike by the union of their hashes
+    docs.select(F.col(id_col).alias("__id"), of.alias("__of"), batch.otherwise(len(cuts)).alias("__batch"),
                 F.explode(F.array_distinct(F.filter(F.transform(
                     lines, lambda x: line_hash(x, min_chars)), lambda x: x.isNotNull()))).alias("h")) \
         .write.partitionBy("__batch").parquet(pairs_dir)
     kind = docs.schema[id_col].dataType.simpleString()
-    pairs = spark.read.schema(f"__id {kind}, h string, __batch int").parquet(pairs_dir)
+    pairs = spark.read.schema(f"__id {kind}, __of long, h string, __batch int").parquet(pairs_dir)
 
     # For every hash that drops lines in a batch: the id in the batch that keeps them, if any.
     runs = Runs(spark)
@@ -150,7 +152,8 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
 
     marked = join_by_size(pairs, drops, ["h", "__batch"], "__n", pairs.count())
     goes = ~F.col("__new") | F.col("__id").isNull() & F.col("__first").isNotNull() | (F.col("__id") > F.col("__first"))
-    gone = marked.where(goes).groupBy(F.col("__id").alias("__gone")).agg(F.sort_array(F.collect_set("h")).alias("__hashes")) \
+    gone = marked.where(goes).groupBy(F.col("__id").alias("__gone"), "__of") \
+        .agg(F.sort_array(F.collect_set("h")).alias("__hashes")) \
         .withColumn("__powers", F.transform(F.sequence(F.floor(F.log2(F.size("__hashes"))), F.lit(0), F.lit(-1)),
                                             lambda k: F.pow(F.lit(2), k).cast("int")))
 
@@ -158,7 +161,7 @@ def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, id
         hashed = F.transform(lines, lambda x: F.struct(x.alias("line"), line_hash(x, min_chars).alias("h")))
         return F.transform(F.filter(hashed, lambda x: F.coalesce(~search(x["h"]), F.lit(True))), lambda x: x["line"])
 
-    found = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left")
+    found = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")) & (of == F.col("__of")), "left")
     stays = F.when(F.col("__hashes").isNull(), lines) \
         .when(F.size("__hashes") <= FEW, without(lambda h: F.array_contains("__hashes", h))) \
         .otherwise(without(lambda h: holds(F.col("__hashes"), h, F.col("__powers"))))
