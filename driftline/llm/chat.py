@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_chunks
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 LOSS_ROLE = "assistant"
 
@@ -66,15 +68,23 @@ def format_chat(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn
     shaped = collected.select("__id", pieces.alias("pieces"))
     formatted = F.concat(F.array_join(F.transform(
         "pieces", lambda p: F.concat(p["before"], p["text"])), ""), F.lit(END))
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr("array()").cast(
-        "array<struct<start:bigint,length:bigint>>").alias("spans"))
-    spans = F.aggregate("pieces", first, lambda a, p: F.struct(
-        (a["at"] + F.length(p["before"]) + F.length(p["text"])).cast("bigint").alias("at"),
-        F.when(p["loss"], F.concat(a["spans"], F.array(F.struct(
-            (a["at"] + F.length(p["before"])).cast("bigint").alias("start"),
-            F.length(p["text"]).cast("bigint").alias("length"))))).otherwise(a["spans"]).alias("spans")))
+    none = F.expr("array()").cast("array<struct<start:bigint,length:bigint>>")
+
+    def step(a: Column, p: Column) -> Column:
+        """The place behind a piece, and the loss spans so far."""
+        start = a["at"] + F.length(p["before"])
+        span = F.struct(start.cast("bigint").alias("start"), F.length(p["text"]).cast("bigint").alias("length"))
+        return F.struct((start + F.length(p["text"])).cast("bigint").alias("at"),
+                        F.when(p["loss"], F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
+
+    def chunk_step(done: Column, chunk: Column) -> Column:
+        at = F.coalesce(F.get(done, F.size(done) - 1)["at"], F.lit(0).cast("bigint"))
+        return F.concat(done, F.array(F.aggregate(chunk, F.struct(at.alias("at"), none.alias("spans")), step)))
+
+    scanned = F.aggregate(in_chunks(F.col("pieces")), F.expr("array()").cast(
+        "array<struct<at:bigint,spans:array<struct<start:bigint,length:bigint>>>>"), chunk_step)
     return shaped.select(F.col("__id").alias(id_col), formatted.alias("formatted"),
-                         spans["spans"].alias("loss_spans"))
+                         F.flatten(F.transform(scanned, lambda c: c["spans"])).alias("loss_spans"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -91,6 +101,15 @@ def read_back(formatted: Column) -> Column:
 
 
 def loss_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, without its escapes."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substring(
-        formatted, (s["start"] + 1).cast("int"), s["length"].cast("int")))), "")
+    """All text under the loss mask, without its escapes. Spans are in order; each is cut from the stretch of its chunk."""
+    def stretch(chunk: Column) -> Column:
+        first, last = F.get(chunk, F.lit(0)), F.get(chunk, F.size(chunk) - 1)
+        return F.struct(
+            chunk.alias("spans"), first["start"].alias("at"),
+            F.substring(formatted, (first["start"] + 1).cast("int"),
+                        (last["start"] + last["length"] - first["start"]).cast("int")).alias("text"))
+
+    stretches = F.transform(in_chunks(spans), stretch)
+    return F.array_join(F.transform(stretches, lambda c: F.array_join(F.transform(
+        c["spans"], lambda s: unescape(F.substring(c["text"], (s["start"] - c["at"] + 1).cast("int"),
+                                                   s["length"].cast("int")))), "")), "")

@@ -64,3 +64,14 @@ def join_by_size(left: DataFrame, right: DataFrame, keys: list[str], rows: str,
     rest = marked.where(F.col("__often").isNull()).select(*left.columns)
     return marked.where("__often").drop("__often").unionByName(
         rest.join(right.where(F.col(rows) <= limit), keys))
+
+
+def in_chunks(array: Column, size: int = 256) -> Column:
+    """An array as an array of its chunks, all of ``size`` elements but the last. An empty one has empty chunks.
+
+    Appending to an array copies it, and a place in a text is found from its
+    start, so a scan that goes chunk by chunk copies and walks only chunks.
+    """
+    last = F.floor((F.size(array) - 1) / size)
+    return F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)).cast("int")),
+                       lambda k: F.slice(array, k * size + 1, size))

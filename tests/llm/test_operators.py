@@ -151,6 +151,19 @@ def test_line_dedup_of_long_texts(spark):
                      3: ("\n".join(few[5:]), 8, 5)}
 
 
+def test_line_dedup_without_ids(spark):
+    """Rows without an id are one holder, the last one; each is cut by its own lines, copies among them alike."""
+    texts = [(None, f"shared line of all\nline of row {i % 40}, alone\nheld by document {i % 3}") for i in range(300)]
+    texts += [(1, "shared line of all\nheld by document 0"), (1, "shared line of all\nheld by document 1"), (2, None)]
+    found = lines.line_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    want = Counter()
+    for i, t in texts:
+        rows = (t or "").split("\n")
+        gone = {"shared line of all", "held by document 0", "held by document 1"} if i is None else set()
+        want[i, "\n".join(x for x in rows if x not in gone), len(rows)] += 1
+    assert Counter((r.doc_id, r.text, r.n_lines) for r in found) == want
+
+
 def test_line_runs_merge_levels(spark):
     runs = lines.Runs(spark, fanout=2)
     for k in range(5):
@@ -464,6 +477,19 @@ def test_chat(spark):
     assert first.startswith("<|im_start|>system\nbe kind<|im_end|>\n<|im_start|>user\nhi<|im_sep|>again<|im_end|>\n")
 
 
+@pytest.mark.parametrize("n", [255, 256, 257, 513, 3000])
+def test_chat_of_many_turns(spark, n):
+    """Loss spans and their texts across the chunks in which they are scanned."""
+    roles = ["user", "assistant", "assistant"]
+    turns = [(1, i, roles[i % 3], f"é{i} <|im_end|>\\ " * (i % 4)) for i in range(n)]
+    r = chat.format_chat(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).select(
+        "formatted", "loss_spans", chat.loss_text(F.col("formatted"), F.col("loss_spans")).alias("loss")).first()
+    said = [t for _, _, role, t in turns if role == "assistant"]
+    assert r.loss == "".join(said)
+    escaped = [t.replace("\\", "\\\\").replace("<|", "<\\|") for t in said]
+    assert [r.formatted[x.start:x.start + x.length] for x in r.loss_spans] == escaped
+
+
 def luhn(number):
     total = 0
     for i, c in enumerate(reversed(number)):
