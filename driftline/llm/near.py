@@ -12,8 +12,10 @@
    best candidate of every class is checked on the full sets, and so is every
    other one whose classes aren't connected yet.
 4. In a region with more classes than neighbours reach, classes outside the
-   region's main component are compared with all of that component, and with
-   each other, on the full sets, block by block. Then the components are final.
+   region's main component are open. A few of them are compared with all of that
+   component, and with each other, on the full sets, block by block; where there
+   are many, a join on the rarest shingles of each set finds every pair that can
+   reach the similarity, and the full sets confirm it. Then the components are final.
 
 A tree's region may hold a third of all classes: the trees are range-partitioned
 over whole prefixes and the class, so a region spreads over many tasks, and a
@@ -39,8 +41,11 @@ WORDS = 5
 VALUES, TREES = 128, 32
 #: Neighbours on each side that a class is paired with at most in one tree.
 NEIGHBOURS = 8
-#: Classes in one block of the comparison inside crowded regions.
+#: Classes in one block of the comparison inside crowded regions, and open classes of one component
+#: up to which it is done in blocks.
 BLOCK = 512
+#: Bits of a shingle's hash that choose its counter; there are so many counters whatever the input.
+COUNTER_BITS = 18
 #: Candidates are checked on full sets if this share of their signatures agrees. At a true similarity
 #: of 0.75 fewer than 64 of 128 values agree with a chance of 3 in 10^10 by the binomial tail; the
 #: trees miss such a link with a chance of 5 in 10^6.
@@ -255,13 +260,95 @@ def _compared(similarity: float):
     return run
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of the sets fall to each counter."""
+    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    for batch in batches:
+        flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=np.uint64)
+        total += np.bincount((flat >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["counter", "n"])
+
+
+def _prefixes(similarity: float, counters):
+    percent = round(similarity * 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The rarest shingles of each set; ``indexed``: also a shingle of the shorter prefix."""
+        total = counters.value
+        for batch in batches:
+            for i, j in chunks(batch, "members"):
+                part = batch.slice(i, j - i)
+                shingles, sizes, places, indexed = [], [], [], []
+                for value in part.column(3):
+                    x = np.frombuffer(value.as_buffer(), dtype=np.uint64)
+                    n = len(x)
+                    probe = n + 1 + (-percent * n) // 100
+                    index = n + 1 + (-2 * percent * n) // (100 + percent)
+                    shingles.append(x[np.lexsort((x, total[x >> np.uint64(64 - COUNTER_BITS)]))[:probe]])
+                    sizes.append(n)
+                    places.append(np.arange(probe))
+                    indexed.append(np.arange(probe) < index)
+                row = np.repeat(np.arange(len(places)), [len(p) for p in places])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(shingles).view(np.int64)), *[part.column(c).take(pa.array(row)) for c in range(3)],
+                    pa.array(np.array(sizes, dtype=np.int64)[row]), pa.array(np.concatenate(places)),
+                    pa.array(np.concatenate(indexed))],
+                    names=["shingle", "node", "component", "open", "size", "place", "indexed"])
+
+    return run
+
+
+def prefix_links(members: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between ``members`` (node, component, open, members) of different components, one of them open.
+
+    Every set is ordered from rare to frequent shingles. Of two linked sets the
+    smaller has one of their common shingles among its first n - 2tn/(1+t) + 1,
+    and the larger has it among its first n - tn + 1; what can follow the first
+    one that they share must suffice for the similarity t. Shingles of a
+    template, which all sets have, come last and are hardly ever joined. Rarity
+    is estimated by a fixed number of counters: any order that is the same for
+    all sets is right, and the frequent ones stand out.
+    """
+    spark = members.sparkSession
+    percent = round(similarity * 100)
+    counts = arrow_map(members.select("members"), _counted, "counter long, n long") \
+        .groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    total[counts["counter"].to_numpy(dtype=np.int64)] = counts["n"].to_numpy(dtype=np.int64)
+    rows = materialize(arrow_map(
+        members.select("node", "component", "open", "members"), _prefixes(similarity, spark.sparkContext.broadcast(total)),
+        "shingle long, node long, component long, open boolean, size long, place long, indexed boolean"), "prefixes")
+
+    # Shingles with more rows than this number 4 * partitions at most; each is split by its own number of salts.
+    limit = max(BLOCK, rows.count() // (4 * shuffle_partitions(spark)))
+    often = F.broadcast(materialize(
+        rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit)
+        .select("shingle", F.ceil(F.col("n") / limit).alias("salts")), "frequent-shingles"))
+    salted = rows.join(often, "shingle", "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("bigint")))
+    own = salted.where("indexed").select("shingle", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt"),
+                                         *[F.col(c).alias(f"a_{c}") for c in ("node", "component", "open", "size", "place")])
+    others = salted.select("shingle", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"),
+                           *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "open", "size", "place")])
+    common = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    pairs = own.join(others, ["shingle", "salt"]).where(
+        (F.col("a_component") != F.col("b_component")) & (F.col("a_open") | F.col("b_open"))
+        & (F.col("a_size") <= F.col("b_size")) & (100 * F.col("a_size") >= percent * F.col("b_size"))
+        & ((100 + percent) * common >= percent * (F.col("a_size") + F.col("b_size"))))
+    pairs = pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    full = pairs.join(members.select(F.col("node").alias("a"), F.col("members").alias("x")), "a") \
+        .join(members.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
+    return arrow_map(full.select("a", "b", "x", "y"), _linked(similarity), "a long, b long")
+
+
 def crowded_links(crowd: DataFrame, near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (a, b) inside crowded regions that neighbours alone may miss.
 
     ``crowd``: (tree, p1, node) of such regions; ``near``: (node, component);
     ``sets``: (node, members). Classes that aren't in their region's main
     component are open; they are compared with that component's classes and with
-    the other open classes of it, in blocks of ``BLOCK`` by ``BLOCK``.
+    the other open classes of it: in blocks of ``BLOCK``, which is linear in the
+    component, up to ``BLOCK`` open classes, else by ``prefix_links``.
     """
     labelled = materialize(
         crowd.join(near, "node", "left").withColumn("component", F.coalesce("component", "node")), "crowd")
@@ -283,9 +370,11 @@ def crowded_links(crowd: DataFrame, near: DataFrame, sets: DataFrame, similarity
                                       F.ceil(F.col("n") / BLOCK).alias("m_blocks"),
                                       F.ceil(F.col("n_open") / BLOCK).alias("o_blocks")), "crowd-blocks")
 
+    few, many = blocks.where(f"n_open BETWEEN 1 AND {BLOCK}"), blocks.where(f"n_open > {BLOCK}")
+
     def dealt(rows: DataFrame, count: str, own: str, other: str) -> DataFrame:
         """Each row to its own block, against all blocks of the other side."""
-        placed = join_by_size(rows, blocks, ["main"], count, rows.count()).where("o_blocks IS NOT NULL")
+        placed = join_by_size(rows, few, ["main"], count, rows.count())
         # new names, as both sides come from the same tables
         return placed.join(sets, "node").select(
             *[F.col(c).alias(c) for c in ("main", "node", "component", "members")],
@@ -295,7 +384,13 @@ def crowded_links(crowd: DataFrame, near: DataFrame, sets: DataFrame, similarity
     grid = ["main", "m_block", "o_block"]
     left = dealt(open_, "n_open", "o", "m").groupBy(*grid)
     right = dealt(every, "n", "m", "o").groupBy(*grid)
-    return left.cogroup(right).applyInArrow(_compared(similarity), "a long, b long")
+    links = left.cogroup(right).applyInArrow(_compared(similarity), "a long, b long")
+    if many.isEmpty():
+        return links
+    # a class may be open in one region and belong to the main component of another
+    members = join_by_size(every, many, ["main"], "n", every.count()).groupBy("node").agg(
+        F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("open"))
+    return links.unionAll(prefix_links(materialize(members.join(sets, "node"), "crowd-sets"), similarity))
 
 
 def component_of(edges: DataFrame, near: DataFrame, end: str) -> DataFrame:
