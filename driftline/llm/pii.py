@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_or_empty
+from .common import in_chunks, materialize, text_or_empty
 
 #: The base patterns. A start is where the pattern could first match (the run of its first class
 #: begins, or the last match ended), and quantifiers are possessive where giving back can't help, so
@@ -61,6 +61,8 @@ LABELERS = ("pattern", "checksum", "gazetteer", "context", "shape", "surrounding
 ROUNDS = 30
 #: Probability from which the classifier adds a candidate.
 LEAST = 0.9
+#: Code points in one block of a text in which the surroundings of spans are looked up.
+BLOCK = 1024
 SPANS = "array<struct<start:int,end:int,match:string>>"
 
 
@@ -87,23 +89,40 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def once(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(x), use), 1)
+
+
 def matches(text: Column, pattern: str, needs: str) -> Column:
     """Spans (start, end, match) of a pattern's matches, leftmost and non-overlapping, in code points.
 
-    The texts between the matches give the places: a prefix sum over both.
+    The texts between the matches give the places: a prefix sum over both, in time linear in the matches.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     none = F.expr(f"cast(array() as {SPANS})")
     pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    spans = F.aggregate(
-        pairs, F.struct(F.lit(0).alias("at"), none.alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["g"] + F.length(x["m"])).alias("at"),
-            F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["g"]).alias("start"), (a["at"] + x["g"] + F.length(x["m"])).alias("end"),
-                x["m"].alias("match")))).alias("out")))["out"]
-    return F.when(text.rlike(needs), spans).otherwise(none)
+
+    def placed(chunk: Column, at: Column) -> Column:
+        return F.aggregate(
+            chunk, F.struct(at.alias("at"), none.alias("out")),
+            lambda a, x: F.struct(
+                (a["at"] + x["g"] + F.length(x["m"])).alias("at"),
+                F.concat(a["out"], F.array(F.struct(
+                    (a["at"] + x["g"]).alias("start"), (a["at"] + x["g"] + F.length(x["m"])).alias("end"),
+                    x["m"].alias("match")))).alias("out")))["out"]
+
+    # Appending copies the array, so sums of chunks first give each chunk its own start.
+    def spans(some: Column) -> Column:
+        sums = F.transform(some, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + x["g"] + F.length(x["m"])))
+        starts = F.aggregate(sums, F.array(F.lit(0)), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+        return F.flatten(F.zip_with(some, F.slice(starts, F.lit(1), F.size(some)), placed))
+
+    def chunked(some: Column) -> Column:
+        return once(in_chunks(some), spans)
+
+    return F.when(text.rlike(needs), once(pairs, chunked)).otherwise(none)
 
 
 def vote(good: Column | None = None, bad: Column | None = None) -> Column:
@@ -116,13 +135,26 @@ def vote(good: Column | None = None, bad: Column | None = None) -> Column:
     return out.cast("int")
 
 
-def words_before(text: Column, start: Column) -> Column:
+def in_blocks(text: Column) -> Column:
+    """A text as its blocks of BLOCK code points (the last may be shorter)."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def part(blocks: Column, start: Column, size: Column) -> Column:
+    """``size`` (BLOCK at most) code points of a text in blocks from ``start`` on. A substring of the
+    whole text would walk to it from the text's beginning."""
+    block = F.floor(start / BLOCK).cast("int")
+    near = F.concat(*[F.coalesce(F.get(blocks, block + i), F.lit("")) for i in (0, 1)])
+    return F.substring(near, start - block * BLOCK + 1, size)
+
+
+def words_before(blocks: Column, start: Column) -> Column:
     """The lower-case words in the 40 characters before a place."""
     size = F.least(start, F.lit(40))
-    return F.split(F.lower(F.btrim(F.substring(text, start - size + 1, size))), r"[^\p{L}\p{N}.-]+")
+    return F.split(F.lower(F.btrim(part(blocks, start - size, size))), r"[^\p{L}\p{N}.-]+")
 
 
-def votes(kind: str, text: Column, span: Column, strict: Column) -> list[Column]:
+def votes(kind: str, blocks: Column, span: Column, strict: Column) -> list[Column]:
     """The votes of LABELERS on a span."""
     match, number = span["match"], digits(span["match"])
     domain = F.element_at(F.split(F.lower(match), r"[.@]|\bdot\b|[\[\]()\s]+"), -1)
@@ -136,7 +168,7 @@ def votes(kind: str, text: Column, span: Column, strict: Column) -> list[Column]
         "ip": vote(match.rlike(r"^0*(?:[1-9]|[1-9][0-9]|1[0-9][0-9]|2[01][0-9]|22[0-3])\."), match.rlike(r"^0+\.")),
         "card": vote(number.rlike(CARD_PREFIX), ~number.rlike(CARD_PREFIX)),
         "phone": vote(match.rlike(CALLING_CODES), match.rlike(r"^\(?[01]{3}"))}[kind]
-    before = words_before(text, span["start"])
+    before = words_before(blocks, span["start"])
     context = vote(F.arrays_overlap(before, F.array(*map(F.lit, CONTEXT[kind]))),
                    F.arrays_overlap(before, F.array(*map(F.lit, AGAINST))))
     shape = {
@@ -144,8 +176,8 @@ def votes(kind: str, text: Column, span: Column, strict: Column) -> list[Column]
         "ip": vote(~match.rlike(r"(?:^|\.)0[0-9]"), match.rlike(r"(?:^|\.)0[0-9]")),
         "card": vote((F.length(number) == 16) | match.rlike(r"^[0-9]{4}[\x20-]")),
         "phone": vote(match.rlike(r"[0-9][).\x20-]+[0-9]"))}[kind]
-    around = F.concat(F.substring(text, F.greatest(span["start"], F.lit(1)), F.when(span["start"] > 0, 1).otherwise(0)),
-                      F.lit("_"), F.substring(text, span["end"] + 1, F.lit(1)))
+    around = F.concat(part(blocks, F.greatest(span["start"] - 1, F.lit(0)), F.when(span["start"] > 0, 1).otherwise(0)),
+                      F.lit("_"), part(blocks, span["end"], F.lit(1)))
     surroundings = vote(~around.rlike(r"[\p{L}\p{N}]"), around.rlike(r"[\p{L}\p{N}]"))
     return [vote(strict), checksum, gazetteer, context, shape, surroundings]
 
@@ -160,20 +192,30 @@ def labelled_spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def base(kind: str) -> Column:
         return F.filter(F.col(f"__{kind}"), lambda s: valid(kind, s["match"]))
 
+    some = F.size(F.concat(*[F.col(f"__{k}{x}") for k in KINDS for x in ("", "_loose")])) > 0
+    loose = F.size(F.concat(*[F.col(f"__{k}_loose") for k in KINDS])) > 0
+    raw = raw.select(
+        "*", F.when(some, in_blocks(text)).alias("__blocks"),
+        F.when(loose, F.transform(in_chunks(F.array_sort(F.concat(*map(base, KINDS)))), lambda c: F.struct(
+            F.array_min(F.transform(c, lambda t: t["start"])).alias("start"),
+            F.array_max(F.transform(c, lambda t: t["end"])).alias("end"), c.alias("spans")))).alias("__taken"))
+
     def candidates(kind: str, spans: Column, strict) -> Column:
         return F.transform(spans, lambda s: F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-            strict(s).alias("base"), *[v.cast("int").alias(n) for n, v in zip(LABELERS, votes(kind, text, s, strict(s)))],
+            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), strict(s).alias("base"),
+            *[v.cast("int").alias(n) for n, v in zip(LABELERS, votes(kind, F.col("__blocks"), s, strict(s)))],
             F.least(F.lit(4), F.floor((s["end"] - s["start"]) / 8)).cast("int").alias("size")))
 
     def beyond(spans: Column) -> Column:
-        """Loose matches that touch no base span of any kind."""
-        taken = F.concat(*[base(k) for k in KINDS])
-        return F.filter(spans, lambda s: ~F.exists(taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])))
+        """Loose matches that touch no base span of any kind; the chunks of base spans are tested first."""
+        def touches(t: Column, s: Column) -> Column:
+            return (t["start"] < s["end"]) & (s["start"] < t["end"])
+
+        return F.filter(spans, lambda s: ~F.exists("__taken", lambda c: F.when(
+            touches(c, s), F.exists(c["spans"], lambda t: touches(t, s))).otherwise(False)))
 
     found = F.concat(*[candidates(k, F.col(f"__{k}"), lambda s, k=k: valid(k, s["match"])) for k in KINDS],
                      *[candidates(k, beyond(F.col(f"__{k}_loose")), lambda s: F.lit(False)) for k in KINDS])
-    some = F.size(F.concat(*[F.col(f"__{k}{x}") for k in KINDS for x in ("", "_loose")])) > 0
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,base:boolean," +
                   ",".join(f"{n}:int" for n in LABELERS) + ",size:int>>)")
     return raw.select("__id", F.when(some, found).otherwise(none).alias("candidates"))
