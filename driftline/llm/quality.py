@@ -2,7 +2,8 @@
 
 A batch of documents is one sequence of (document, word) symbols. Prefix
 doubling sorts its suffixes; the ranks of every doubling step give the longest
-common prefix (LCP) of neighbours. The deepest LCP interval that holds a
+common prefix (LCP) of neighbours, or, where these would be too many to keep
+(long texts that repeat much), one scan in text order gives it. The deepest LCP interval that holds a
 suffix has the larger of the suffix's two neighbouring LCPs as depth: that many
 words from its position on occur again in the document. Positions that can't
 be extended to the left with the same depth start the maximal repeats; their
@@ -25,6 +26,8 @@ SYMBOLS = "#*$%&|<>"
 
 #: A repeat counts from this many words on; shorter ones are phrases of the language.
 MIN_REPEAT = 8
+#: Ranks of doubling steps that are kept at once; beyond that, the LCPs come from a scan.
+LEVEL_RANKS = 12_000_000
 #: Share of the words that repeats may cover.
 MAX_COVERED = 0.4
 #: Longest repeat, as a share of the words.
@@ -50,7 +53,8 @@ def repeat_depths(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
     rank = np.empty(n + 1, dtype=np.int64)
     rank[n] = -1
     rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    levels, k = [rank.copy()], 1
+    levels, k = [rank.astype(np.int32)], 1
+    keep = n <= LEVEL_RANKS
     while True:
         count = np.bincount(rank[:n], minlength=n)
         active = np.flatnonzero(count[rank[:n]] > 1)
@@ -65,11 +69,17 @@ def repeat_depths(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
         group = np.maximum.accumulate(np.where(np.r_[True, first[1:] != first[:-1]], at, 0))
         part = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], at, 0))
         rank[active[by]] = first + part - group
-        levels.append(rank.copy())
+        keep = keep and (len(levels) + 1) * n <= LEVEL_RANKS
+        levels = [*levels, rank.astype(np.int32)] if keep else []
         k *= 2
     suffixes = np.empty(n, dtype=np.int64)
     suffixes[rank[:n]] = np.arange(n)
     a, b = suffixes[:-1], suffixes[1:]
+    if not keep:
+        common = scanned(words, a, b)
+        depth[a] = common
+        depth[b] = np.maximum(depth[b], common)
+        return depth
     common = np.zeros(n - 1, dtype=np.int64)
     for step in range(len(levels) - 1, -1, -1):
         same = levels[step][np.minimum(a + common, n)] == levels[step][np.minimum(b + common, n)]
@@ -79,6 +89,29 @@ def repeat_depths(words: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return depth
 
 
+def scanned(words: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The LCPs of neighbouring suffixes ``a`` and ``b``, in text order: from one position to the
+    next, the LCP with the suffix that sorts before shrinks by one at most."""
+    n = len(words)
+    before = np.full(n, -1, dtype=np.int64)
+    before[b] = a
+    found = np.zeros(n, dtype=np.int64)
+    w, previous, out = memoryview(words), memoryview(before), memoryview(found)
+    h = 0
+    for i in range(n):
+        j = previous[i]
+        if j < 0:
+            h = 0
+            continue
+        top = n - max(i, j)
+        while h < top and w[i + h] == w[j + h]:
+            h += 1
+        out[i] = h
+        if h:
+            h -= 1
+    return found[b]
+
+
 def covered(depth: np.ndarray, least: int, width: int | None = None) -> np.ndarray:
     """Positions in the union of the spans of repeats of ``least`` words or more
     (of ``width`` words each instead of their depth, if given)."""
@@ -99,7 +132,8 @@ def measure(texts: list[str | None], min_repeat: int = MIN_REPEAT) -> list[np.nd
     parts = [t.encode().split() for t in texts]  # bytes split at white space only
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     known: dict[bytes, int] = {}
-    ids = np.array([known.setdefault(w, len(known)) for p in parts for w in p], dtype=np.int64)
+    ids = np.fromiter((known.setdefault(w, len(known)) for p in parts for w in p), dtype=np.int64)
+    del parts
     ends = np.cumsum(sizes)
     doc = np.repeat(np.arange(len(texts)), sizes)
     depth = repeat_depths(doc * max(1, len(known)) + ids, ends[doc] if len(doc) else doc)
