@@ -110,6 +110,17 @@ def test_repeats_against_all_pairs():
         assert got[5][0] == len(cover) and got[6][0] == max(deep, default=0)
 
 
+def test_repeats_by_scan(monkeypatch):
+    random = np.random.RandomState(4)
+    sizes = [0, 1, 300, 50, 2, 400]
+    ids = np.concatenate([d * 100 + random.randint(0, 1 + 3 * d, n) for d, n in enumerate(sizes)])
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    want = quality.repeat_depths(ids, ends)
+    for limit in (0, 2000):
+        monkeypatch.setattr(quality, "LEVEL_RANKS", limit)
+        assert quality.repeat_depths(ids, ends).tolist() == want.tolist()
+
+
 def test_quality_keeps_clean_texts_and_rejects_repeats():
     random = np.random.RandomState(5)
     clean = " ".join(f"w{x}" for x in random.randint(0, 300, 400))
@@ -220,6 +231,39 @@ def test_near_duplicates_of_a_crowded_region(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == plain_components(rows)
 
 
+@pytest.mark.parametrize("unlike", [8, 13])
+def test_near_duplicates_of_many_open_classes(spark, monkeypatch, unlike):
+    """More open classes than a block holds: the join on rare shingles finds the same components."""
+    monkeypatch.setattr(near, "BLOCK", 8)
+    used = []
+    whole = near.prefix_links
+    monkeypatch.setattr(near, "prefix_links", lambda *a: used.append(1) or whole(*a))
+    random = np.random.RandomState(unlike)
+    base = [f"w{x}" for x in random.randint(0, 5000, 150)]
+    rows = []
+    for i in range(300):  # from near copies to documents of one template that aren't linked
+        own = list(base)
+        for at in random.randint(0, 150, i % unlike):
+            own[at] = f"new{i % 200}x{at}"
+        rows.append((i, " ".join(own[:150 - i % 7])))
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert used and Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == plain_components(rows)
+
+
+def test_prefix_links_against_all_pairs(spark):
+    random = np.random.RandomState(5)
+    sets = [np.unique(random.choice(60, random.randint(1, 50)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            for _ in range(120)]
+    sets += [np.r_[s[:-1]] for s in sets[:40] if len(s) > 1]
+    rows = [(i, i % 100, i % 3 > 0, bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    found = near.prefix_links(spark.createDataFrame(
+        rows, "node long, component long, open boolean, members binary"), 0.75).collect()
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+            if i % 100 != j % 100 and (i % 3 > 0 or j % 3 > 0)
+            and 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))}
+    assert want and len(found) == len(want) and {(r.a, r.b) for r in found} == want
+
+
 def test_links_of_low_agreement(spark):
     # similarity 12 / 16 each, but only 74 and 69 of 128 signature values agree
     rows = []
@@ -526,3 +570,19 @@ def test_pii(spark, docs):
         assert base == plain_pii(text or "")
         assert set(base) <= set(spans) and spans == sorted(spans, key=lambda s: (pii.KINDS.index(s[0]), s[1]))
         assert text != "3.8 and 12 of 40" or not spans
+
+
+def test_pii_of_many_matches(spark):
+    """Matches over many chunks and blocks of one text, with characters of all widths between them."""
+    text = "".join(f"x{i}@mail{i}.com é\U0001F600 (212) 555-{i:04d} a.b{i}[at]c.org {i % 300}.1.1.1\n" for i in range(600))
+    (r,) = pii.find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(s.kind, s.start, s.end) for s in r.base] == plain_pii(text)
+    assert {text[s.start:s.end] for s in r.spans} >= {f"x{i}@mail{i}.com" for i in range(600)}
+
+
+def test_pii_places_in_blocks(spark):
+    text = "".join(chr(0x61 + i % 26) + "\U0001F600\n"[i % 3:i % 3 + 1] for i in range(3000))
+    places = [(at, n) for at in (0, 1, 1023, 1024, 2047, 4000, len(text) - 1, len(text)) for n in (0, 1, 40)]
+    rows = spark.createDataFrame([(text, at, n) for at, n in places], "text string, at int, n int")
+    found = rows.select("at", "n", pii.part(pii.in_blocks(F.col("text")), F.col("at"), F.col("n")).alias("got")).collect()
+    assert all(r.got == text[r.at:r.at + r.n] for r in found)
