@@ -138,7 +138,10 @@ SELECT {ts('datetime', 'datetime')}, {', '.join(r6(q(c)) for c in RAW[1:])}, fal
 def q_requested_report(spark, sf):
     """Report files of ``REPORT_SIZE`` requested features each -> (pos in its list, feature)."""
     path = scratch_dir(spark, "requests")
-    reports = suite.requested_features(spark, sf).groupBy(F.expr(f"pos div {REPORT_SIZE}").alias("report")).agg(
+    # a number of partitions, as AQE goes by bytes and would have one task write thousands of small files
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    requests = suite.requested_features(spark, sf).withColumn("report", F.expr(f"pos div {REPORT_SIZE}"))
+    reports = requests.repartition(tasks, "report").groupBy("report").agg(
         F.array_sort(F.collect_list(F.struct("pos", "feature"))).alias("items"))
     reports.select(F.transform("items", lambda x: x["feature"]).alias("features_to_add")) \
         .write.option("maxRecordsPerFile", 1).json(path)

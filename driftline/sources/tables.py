@@ -108,6 +108,15 @@ def column_catalog(df: DataFrame, name: str = "column_name") -> DataFrame:
 
 def read_requested_features(spark: SparkSession, path: str,
                             member: str = "features_to_add") -> DataFrame:
-    """``(pos, feature)`` from the list member of JSON report files."""
-    df = spark.read.option("multiLine", True).json(path)
-    return df.select(F.posexplode(member).alias("pos", "feature"))
+    """``(pos, feature)`` from the list member of JSON report files.
+
+    The schema is inferred from the files' texts: inference on files of many
+    lines puts all their names into the settings of each one, so its work is
+    quadratic in the files. That is left for files whose texts don't show the
+    member (in UTF-16, say).
+    """
+    schema = spark.read.json(spark.read.text(path, wholetext=True).rdd.map(lambda row: row[0])).schema
+    reader = spark.read.option("multiLine", True)
+    if member in schema.names:
+        reader = reader.schema(schema)
+    return reader.json(path).select(F.posexplode(member).alias("pos", "feature"))

@@ -4,9 +4,12 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from driftline import fixed
+from driftline.plans import files
 from driftline.sources import payload, sinks, tables
 
 
@@ -68,6 +71,43 @@ def test_requested_features(spark, tmp_dir):
     assert [(r["pos"], r["feature"]) for r in rows] == [(0, "a"), (1, "b"), (2, "c")]
 
 
+def test_many_report_files(spark, tmp_dir, monkeypatch):
+    for i in range(30):
+        _write(os.path.join(tmp_dir, f"r{i}.json"), json.dumps({"features_to_add": [f"a{i}", f"b{i}"], "n": i}, indent=2))
+    _write(os.path.join(tmp_dir, "none.json"), json.dumps({"n": 1}))
+    _write(os.path.join(tmp_dir, "empty.json"), json.dumps({"features_to_add": []}))
+    # files must not be read for their schema one by one: that is quadratic in the files
+    given, whole, of_files = DataFrameReader.schema, DataFrameReader.json, []
+    monkeypatch.setattr(DataFrameReader, "schema", lambda self, s: [setattr(self, "given", True), given(self, s)][1])
+    monkeypatch.setattr(DataFrameReader, "json", lambda self, path, *a, **kw: [
+        of_files.append(getattr(self, "given", False)) if isinstance(path, str) else None, whole(self, path, *a, **kw)][1])
+    got = sorted((r["pos"], r["feature"]) for r in tables.read_requested_features(spark, tmp_dir).collect())
+    assert got == sorted((k, f"{c}{i}") for i in range(30) for k, c in enumerate("ab"))
+    assert of_files == [True]
+
+
+def test_report_files_as_before(spark, tmp_dir):
+    wide, odd = os.path.join(tmp_dir, "wide"), os.path.join(tmp_dir, "odd")
+    for d, text, code in ((wide, {"features_to_add": ["a", "b"]}, "utf-16"), (odd, {"other": ["a"]}, "utf-8")):
+        os.mkdir(d)
+        with open(os.path.join(d, "r.json"), "w", encoding=code) as f:
+            json.dump(text, f, indent=2)
+    assert [tuple(r) for r in tables.read_requested_features(spark, wide).collect()] == [(0, "a"), (1, "b")]
+    with pytest.raises(AnalysisException):
+        tables.read_requested_features(spark, odd)
+
+
+def test_requested_report_is_written_by_many_tasks(spark, monkeypatch):
+    read, seen = tables.read_requested_features, []
+    monkeypatch.setattr(tables, "read_requested_features", lambda s, path: [seen.append(path), read(s, path)][1])
+    parts = spark.range(2000).selectExpr("id AS pos", "concat('f', id) AS feature")
+    monkeypatch.setattr(files.suite, "requested_features", lambda *a: parts)
+    rows = files.q_requested_report(spark, "")
+    assert sorted(tuple(r) for r in rows.collect()) == sorted((i % 100, f"f{i}") for i in range(2000))
+    names = [f for f in os.listdir(seen[0].removeprefix("file:")) if f.endswith(".json")]
+    assert len(names) == 20 and len({f.split("-")[1] for f in names}) > 1
+
+
 def test_staged_swap_rewrites_source(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t")
     df = spark.createDataFrame([(dt.datetime(2025, 1, 2), 2.0), (dt.datetime(2025, 1, 1), 1.0)],
