@@ -109,7 +109,7 @@ def lag_features(df: DataFrame, cols: Sequence[str] = tuple(fixed.LAG_SOURCES),
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name(c, k): F.lag(c, k).over(w) for c in cols for k in lags})
-    ranked = add_position(df, keys, order, ranges_for(rows, rows_per_task) * RANGE_SPREAD, POS)
+    ranked = add_position(df, keys, order, ranges_for(rows, rows_per_task) * RANGE_SPREAD, POS, rows)
     return lag_by_position(ranked, keys, POS, cols, lags, name=name).drop(POS)
 
 

@@ -5,7 +5,9 @@ and with no keys at all into ONE partition for the whole table. The helpers
 here give the same answer with work split by ordered ranges:
 
 1. deal rows to ranges of ``(keys, order)`` (sampled splitters, so ranges hold
-   about as many rows whatever the values are) and stage them;
+   about as many rows whatever the values are) and stage them; a task sorts and
+   cuts many small ranges, so that tasks and files grow with the rows and not
+   with the ranges;
 2. count rows per ``(keys, range)`` and prefix-sum the counts per key -> first
    position of each range;
 3. number rows inside ``(keys, range)`` and add the range's offset.
@@ -18,12 +20,14 @@ a join), so there is no second shuffle of the wide rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .sizing import tasks_for
 
 BUCKET = "_dl_bucket"
 POS = "_dl_pos"
@@ -35,24 +39,36 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def in_ranges(df: DataFrame, order: Sequence[str | Column], ranges: int, name: str) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[str | Column], ranges: int, name: str,
+              rows: int | None = None) -> DataFrame:
     """``df`` with the number of its range in ``BUCKET``: rows that come earlier in ``order`` have
-    no larger number, equal rows the same one. Staged, so that every reader sees the same ranges."""
-    dealt = df.repartitionByRange(max(1, int(ranges)), *_order_cols(order))
-    return materialize(dealt.withColumn(BUCKET, F.spark_partition_id()), name)
+    no larger number, equal rows the same one. Staged, so that every reader sees the same ranges.
+
+    A range is a task. Given the number of ``rows``, more ranges than ``tasks_for`` them are cut by
+    number inside sorted tasks; then equal rows may lie on both sides of a cut, and numbers have gaps.
+    """
+    ranges, by = max(1, int(ranges)), _order_cols(order)
+    tasks = ranges if rows is None else min(ranges, tasks_for(df.sparkSession, rows))
+    dealt = df.repartitionByRange(tasks, *by)
+    if tasks == ranges:
+        return materialize(dealt.withColumn(BUCKET, F.spark_partition_id()), name)
+    # the id counts the rows of a task in its lower 33 bits; a range has the id of its first row
+    placed = dealt.sortWithinPartitions(*by).withColumn(BUCKET, F.monotonically_increasing_id())
+    size = max(1, math.ceil(rows / ranges))
+    return materialize(placed.withColumn(BUCKET, F.expr(f"{BUCKET} - ({BUCKET} & {2 ** 33 - 1}L) % {size}")), name)
 
 
 def add_position(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                 ranges: int = 32, pos_col: str = POS) -> DataFrame:
+                 ranges: int = 32, pos_col: str = POS, rows: int | None = None) -> DataFrame:
     """Add ``pos_col``: 1-based row position within each key, in ``order``.
 
     Exactly ``row_number().over(partitionBy(keys).orderBy(order))`` (ties
     broken by the remaining ``order`` columns, which should make it unique),
     but never a single-partition or single-key task. ``order`` may be of any
-    sortable type.
+    sortable type. ``rows``, if known, bounds the tasks (see ``in_ranges``).
     """
     keys = list(keys)
-    b = in_ranges(df, [*[F.col(f"`{k}`") for k in keys], *order], ranges, "series-ranges")
+    b = in_ranges(df, [*[F.col(f"`{k}`") for k in keys], *order], ranges, "series-ranges", rows)
     counts = (b.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n")))
     w_off = (Window.partitionBy(*keys) if keys else Window.partitionBy()) \
         .orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)

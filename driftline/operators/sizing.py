@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows one task may sort in a window before the operator splits the group.
@@ -26,6 +26,11 @@ def ranges_for(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
     return max(1, math.ceil(rows / max(1, rows_per_task)))
 
 
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Number of tasks to sort that many rows: the cluster's cores or, of many rows, as many as ranges by default."""
+    return max(spark.sparkContext.defaultParallelism, ranges_for(rows) * RANGE_SPREAD)
+
+
 def series_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """One job: all rows, and the rows of the largest key."""
     per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

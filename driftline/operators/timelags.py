@@ -73,7 +73,7 @@ def lag_as_of(df: DataFrame, cols: Sequence[str], hours: Sequence[int] = tuple(f
         series, by = marks.withColumn("_first", F.lit(1)), keys
     else:
         dealt = in_ranges(marks, [*[F.col(f"`{k}`") for k in keys], *along],
-                          ranges_for(total, rows_per_task) * RANGE_SPREAD, "as-of-ranges")
+                          ranges_for(total, rows_per_task) * RANGE_SPREAD, "as-of-ranges", total)
         before = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy(BUCKET) \
             .rowsBetween(Window.unboundedPreceding, -1)
         lasts = dealt.groupBy(*keys, BUCKET).agg(

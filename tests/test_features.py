@@ -4,7 +4,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from driftline import fixed
-from driftline.operators import features
+from driftline.operators import features, ranking
 from driftline.operators.ranking import BUCKET, add_position, in_ranges
 from driftline.plans import suite
 
@@ -109,6 +109,24 @@ def test_one_far_timestamp_leaves_ranges_even(spark):
     assert max(r["count"] for r in in_ranges(same, ["t", "id"], 20, "same").groupBy(BUCKET).count().collect()) < 3000
 
 
+def test_small_ranges_share_tasks(spark, monkeypatch):
+    staged, stage = [], ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, name: [staged.append(stage(df, name)), staged[-1]][1])
+    rows = spark.range(20_001).selectExpr("id", "id % 7 AS t", "IF(id % 3 = 0, NULL, id % 5) AS k", "id * 1.0D AS v")
+    for keys in ([], ["k"]):
+        out = features.lag_features(rows, ["v"], [1, 24], keys, ["t", "id"], method="ranked", rows_per_task=200)
+        want = features.lag_features(rows, ["v"], [1, 24], keys, ["t", "id"], method="window")
+        assert sorted(map(repr, out.collect())) == sorted(map(repr, want.select(*out.columns).collect()))
+        files = staged[-1].select(F.input_file_name()).distinct().count()
+        assert files <= spark.sparkContext.defaultParallelism  # 404 ranges
+        sizes = [r["count"] for r in staged[-1].groupBy(BUCKET).count().collect()]
+        assert len(sizes) > 400 and max(sizes) <= 50
+    # ranges follow the order
+    cut = in_ranges(rows, ["t", "id"], 404, "cut", 20_001).groupBy(BUCKET).agg(
+        F.min(F.struct("t", "id")).alias("lo"), F.max(F.struct("t", "id")).alias("hi")).orderBy(BUCKET).collect()
+    assert all(a["hi"] < b["lo"] for a, b in zip(cut, cut[1:]))
+
+
 def test_lag_history_slice_is_exact(spark):
     # full history vs the bounded slice give the same lags for new rows, keyed and not
     ev = _events(spark).withColumnRenamed("ts", "datetime")
