@@ -1,6 +1,7 @@
 """Model features: log, standard score, lags, calendar, cyclic, interactions.
 
-All DataFrame in, DataFrame out, lazy, built-in functions only.
+All DataFrame in, DataFrame out, built-in functions only; lazy but for what
+keyed scaling and lags measure or stage first.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.timeparse import scalar
+from ..session import materialize
 from .ranking import POS, add_position, lag_by_position
 from .incremental import join_keys
 from .sizing import RANGE_SPREAD, ROWS_PER_TASK, ranges_for, series_profile
@@ -67,11 +69,15 @@ def standard_scale(df: DataFrame, cols: Sequence[str] = tuple(fixed.SCALE_COLUMN
     batch only, so results depend on batch boundaries).
 
     Without keys the statistics are one row, joined as a broadcast (size 1).
-    With keys they are one row per key: an equi-join that AQE turns into a
-    broadcast when the runtime size is under the threshold.
+    With keys they are one row per key, staged (one job) so that the join is
+    planned on their size: a broadcast under the threshold, and the rows stay
+    where they are. Planned on an unknown size, all rows would first be
+    shuffled by key, and one task would read most of a hot key's.
     """
     keys = list(keys)
     stats = scaler_stats(fit_on if fit_on is not None else df, cols, keys)
+    if keys:
+        stats = materialize(stats, "scaler-stats")
     joined = df.crossJoin(F.broadcast(stats)) if not keys else \
         join_keys(df, stats, keys, "left")
     out = {f"{prefix}{c}": F.expr(f"({q(c)} - _m{i}) / _s{i}") for i, c in enumerate(cols)}

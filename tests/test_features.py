@@ -127,6 +127,19 @@ def test_small_ranges_share_tasks(spark, monkeypatch):
     assert all(a["hi"] < b["lo"] for a, b in zip(cut, cut[1:]))
 
 
+def test_keyed_scaling_leaves_rows_in_place(spark):
+    # the plan as made, before any run: an input above the broadcast threshold
+    rows = spark.range(1_000_000).selectExpr("id", "IF(id % 2 = 0, NULL, id % 3) AS k", "id * 1.0D AS x", "id * 2.0D AS y")
+    out = features.standard_scale(rows, ["x", "y"], keys=["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    got = {r["k"]: (r["n"], r["m"], r["s"]) for r in out.groupBy("k").agg(
+        F.count("id").alias("n"), F.round(F.avg("scaled_x"), 6).alias("m"), F.round(F.stddev_pop("scaled_y"), 6).alias("s"))
+        .collect()}
+    assert set(got) == {None, 0, 1, 2} and got[None][0] == 500_000
+    assert all(abs(m) < 1e-6 and s == 1.0 for _, m, s in got.values())
+
+
 def test_lag_history_slice_is_exact(spark):
     # full history vs the bounded slice give the same lags for new rows, keyed and not
     ev = _events(spark).withColumnRenamed("ts", "datetime")
